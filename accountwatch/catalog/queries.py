@@ -459,7 +459,9 @@ def knowledge_base(spark, sf_dir):
 def export_actioned(spark, sf_dir):
     path = f"{shared_folder(spark, 'report')}/actioned"
     tables.export_actioned(figures.actioned_accounts(*data.views(spark, sf_dir)).select("account_id", "mrr", "is_approved", "ai_draft"), path)
-    return spark.read.schema("account_id long, mrr double, is_approved boolean, ai_draft string").csv(path, header=True)
+    # A null value other than '' keeps an empty draft ("" in the file) apart from none.
+    report = spark.read.schema("account_id long, mrr double, is_approved boolean, ai_draft string")
+    return report.csv(path, header=True, nullValue="\\N")
 
 
 # Streams: every event once, then stop. Append leaves out windows still open.
