@@ -7,9 +7,8 @@ ORACLE: dict[str, str] = {}
 # Views over the tables, named as in canonical.py. Unused ones cost nothing.
 _VIEWS = r"""
 with account_events as (
-  select e.event_id, e.user_id as account_id, c.c_name as account_name, c.c_acctbal as mrr,
-    case e.event_type when 'error' then 'support_ticket' when 'view' then 'login'
-                      when 'purchase' then 'feature_access' else 'dashboard_view' end as event_type,
+  select e.event_id, cast(e.user_id as varchar) as account_id, c.c_name as account_name, c.c_acctbal as mrr,
+    e.event_type,
     cast(json_extract_string(e.props, '$.k') as int) % 2 as category,
     e.props as event_body,
     cast(json_extract_string(e.props, '$.k') as int) % 5 + 1 as csat_score,
@@ -20,7 +19,7 @@ with account_events as (
 ticket_rows as (
   select event_id, account_id, mrr, category, event_body, csat_score, "timestamp", event_timestamp,
     mrr * (5 - csat_score) as priority_score
-  from account_events where mrr >= 5000 and csat_score <= 3 and event_type = 'support_ticket'
+  from account_events where mrr >= 5000 and csat_score <= 3 and event_type = 'error'
 ),
 sliding as (
   select a.*, time_bucket(interval 2 days, event_timestamp, timestamp '1970-01-01') - i * interval 2 days as window_start
@@ -31,14 +30,14 @@ loop_counts as (
     first(event_body order by event_timestamp, event_id) as event_summary,
     first(event_body order by event_timestamp desc, event_id desc) as last_summary,
     window_start, window_start + interval 4 days as window_end
-  from sliding where event_type = 'support_ticket' and mrr >= 5000
+  from sliding where event_type = 'error' and mrr >= 5000
   group by window_start, account_id, category, mrr
 ),
 loop_rows as (select * exclude (last_summary) from loop_counts where incident_count >= 3),
 churn_rows as (
   select account_id, mrr,
-    count(*) filter (where event_type = 'login') as login_count,
-    count(*) filter (where event_type = 'feature_access') as feature_count,
+    count(*) filter (where event_type = 'view') as login_count,
+    count(*) filter (where event_type = 'purchase') as feature_count,
     window_start, window_start + interval 4 days as window_end
   from sliding where mrr >= 5000
   group by window_start, account_id, mrr
@@ -51,11 +50,11 @@ tickets as (
   from ticket_rows
 ),
 loops as (
-  select *, case when account_id % 3 = 0 then null else 'draft' end as ai_draft, account_id % 5 = 0 as is_approved
+  select *, case when account_id::bigint % 3 = 0 then null else 'draft' end as ai_draft, account_id::bigint % 5 = 0 as is_approved
   from loop_rows
 ),
 churn as (
-  select *, case when account_id % 4 = 0 then null else 'draft' end as ai_draft, account_id % 7 = 0 as is_approved
+  select *, case when account_id::bigint % 4 = 0 then null else 'draft' end as ai_draft, account_id::bigint % 7 = 0 as is_approved
   from churn_rows
 ),
 latest_tickets as (
@@ -139,10 +138,12 @@ def oracle(name: str, sql: str) -> None:
 oracle(
     "parse_events",
     """
-select cast(event_id as varchar) as event_id, cast(account_id as varchar) as user_id, account_name as account_id,
+select cast(event_id as varchar) as event_id, account_id as user_id, account_name as account_id,
   'contact@' || lower(replace(replace(account_name, ' ', ''), ',', '')) || '.com' as email,
   mrr, event_type, cast(category as varchar) as category, event_body, csat_score, "timestamp"
 from account_events where event_id % 11 <> 0
+union all
+select null, null, null, null, null, null, null, null, null, null from account_events where event_id % 11 = 0
 """,
 )
 oracle("rejected_events", "select '{broken ' || event_id as message from account_events where event_id % 11 = 0")
@@ -175,7 +176,7 @@ select account_id, category, mrr, count(*) as incident_count,
   first(event_body order by event_timestamp, event_id) as event_summary,
   time_bucket(interval 4 days, event_timestamp, timestamp '1970-01-01') as window_start,
   time_bucket(interval 4 days, event_timestamp, timestamp '1970-01-01') + interval 4 days as window_end
-from account_events where event_type = 'support_ticket' and mrr >= 5000
+from account_events where event_type = 'error' and mrr >= 5000
 group by all having incident_count >= 3
 """,
 )
@@ -237,9 +238,9 @@ oracle(
     "lane_state",
     """
 select *,
-  case when account_id % 5 = 0 then 'edited' when account_id % 3 <> 0 and account_id % 7 <> 0 then 'draft' end as ai_draft,
-  case when account_id % 3 <> 0 and account_id % 7 <> 0 then window_start end as drafted_at,
-  account_id % 5 = 0 as is_approved
+  case when account_id::bigint % 5 = 0 then 'edited' when account_id::bigint % 3 <> 0 and account_id::bigint % 7 <> 0 then 'draft' end as ai_draft,
+  case when account_id::bigint % 3 <> 0 and account_id::bigint % 7 <> 0 then window_start end as drafted_at,
+  account_id::bigint % 5 = 0 as is_approved
 from loop_rows
 """,
 )
@@ -262,8 +263,8 @@ oracle("nearest_policies_blocked", "select * from ranked where rank <= 2")
 oracle(
     "cosine_distances",
     """
-select e.vec_id, round(list_cosine_distance(e.embedding::double[], kb.embedding), 5) as distance
-from embeddings e join kb on kb.category = 'label ' || e.label
+select vec_id, round(list_cosine_distance(embedding::double[], list_reverse(embedding)::double[]), 5) as distance
+from embeddings
 """,
 )
 oracle(
@@ -332,7 +333,7 @@ select q.event_id,
   || """
     + _CLOSING.format(words=100, tone="direct, empathetic, focused on the solution")
     + """ as brief
-from queue_tickets q left join ranked r on r.vec_id = q.account_id and r.rank = 1
+from queue_tickets q left join ranked r on r.vec_id = q.account_id::bigint and r.rank = 1
 """,
 )
 oracle(
@@ -375,9 +376,9 @@ oracle(
     "draft_with",
     """
 select account_id, category, window_start,
-  case when account_id % 13 <> 0 then 'Here is the email:' || chr(10) || chr(10) || 'Hi ' || account_id || ' Team,'
+  case when account_id::bigint % 13 <> 0 then 'Here is the email:' || chr(10) || chr(10) || 'Hi ' || account_id || ' Team,'
     || chr(10) || 'We are on it.' || chr(10) end as draft,
-  case when account_id % 13 = 0 then 'Agent Error: no answer for ' || account_id end as error
+  case when account_id::bigint % 13 = 0 then 'Agent Error: no answer for ' || account_id end as error
 from loops
 """,
 )
@@ -385,14 +386,14 @@ oracle(
     "ticket_drafts",
     """
 select event_id, 'Hi ' || account_id || ' Team,' || chr(10) || 'We are on it.' as draft
-from queue_tickets where account_id % 13 <> 0
+from queue_tickets where account_id::bigint % 13 <> 0
 """,
 )
 oracle(
     "churn_drafts",
     """
 select account_id, window_start, 'Hi ' || account_id || ' Team,' || chr(10) || 'We are on it.' as draft
-from queue_churn where account_id % 13 <> 0
+from queue_churn where account_id::bigint % 13 <> 0
 """,
 )
 
@@ -492,7 +493,7 @@ oracle(
     """
 select * from loop_rows where window_end <= (
   select max(event_timestamp) - interval 1 minute from account_events
-  where mrr >= 5000 and event_type = 'support_ticket')
+  where mrr >= 5000 and event_type = 'error')
 """,
 )
 oracle(

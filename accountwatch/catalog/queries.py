@@ -43,7 +43,7 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 @query
 def parse_events(spark, sf_dir):
-    return event_source.parse_events(data.raw_messages(spark, sf_dir)).filter(F.col("event_id").isNotNull())
+    return event_source.parse_events(data.raw_messages(spark, sf_dir))
 
 
 @query
@@ -58,7 +58,8 @@ def contact_addresses(spark, sf_dir):
 
 @query
 def event_times(spark, sf_dir):
-    events = data.account_events(spark, sf_dir).select("event_id", "timestamp")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp")
+    events = data.table(spark, sf_dir, "events").select("event_id", seconds)
     return _plain_times(detect.with_event_time(events))
 
 
@@ -234,11 +235,9 @@ def nearest_policies_blocked(spark, sf_dir):
 
 @query
 def cosine_distances(spark, sf_dir):
-    """Each vector against the policy of its own label."""
-    asked = data.embeddings(spark, sf_dir)
-    kb = data.knowledge_base(spark, sf_dir).select("category", F.col("embedding").alias("policy_vector"))
-    pairs = asked.join(kb, F.concat(F.lit("label "), asked.label.cast("string")) == kb.category)
-    return pairs.select("vec_id", F.round(cosine_distance("embedding", "policy_vector"), 5).alias("distance"))
+    """Each vector against itself read backwards."""
+    distance = cosine_distance("embedding", F.reverse("embedding"))
+    return data.embeddings(spark, sf_dir).select("vec_id", F.round(distance, 5).alias("distance"))
 
 
 @query
@@ -302,7 +301,7 @@ def _stand_in():
 
     def make():
         def write(row):
-            if row["account_id"] % 13 == 0:
+            if int(row["account_id"]) % 13 == 0:
                 raise ValueError(f"no answer for {row['account_id']}")
             return f"Here is the email:\n\nHi {row['account_id']} Team,\nWe are on it.\n"
 
@@ -460,7 +459,7 @@ def export_actioned(spark, sf_dir):
     path = f"{shared_folder(spark, 'report')}/actioned"
     tables.export_actioned(figures.actioned_accounts(*data.views(spark, sf_dir)).select("account_id", "mrr", "is_approved", "ai_draft"), path)
     # A null value other than '' keeps an empty draft ("" in the file) apart from none.
-    report = spark.read.schema("account_id long, mrr double, is_approved boolean, ai_draft string")
+    report = spark.read.schema("account_id string, mrr double, is_approved boolean, ai_draft string")
     return report.csv(path, header=True, nullValue="\\N")
 
 

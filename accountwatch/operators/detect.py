@@ -23,8 +23,8 @@ def low_csat_risk(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 
 
 def ticket_alerts(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    tickets = low_csat_risk(events, cfg).filter(F.col("event_type") == cfg.ticket_type)
-    return priority_score(tickets, cfg)
+    tickets = events.filter(F.col("event_type") == cfg.ticket_type)
+    return priority_score(low_csat_risk(tickets, cfg), cfg)
 
 
 def event_window(cfg: RiskConfig) -> Column:

@@ -93,4 +93,6 @@ def compact_lane(spark: SparkSession, root: str, lane: Lane, out: str) -> None:
     """Write the current rows of a lane as one table by day, so that readers can prune."""
     rows = read_lane(spark, root, lane)
     at = F.timestamp_seconds(lane.time) if lane.count is None else F.col(lane.time)
-    rows.withColumn("day", F.to_date(at)).write.mode("overwrite").partitionBy("day").parquet(out)
+    # Rebalancing splits a crowded day over several files and puts quiet days together.
+    days = rows.withColumn("day", F.to_date(at)).hint("rebalance", "day")
+    days.write.mode("overwrite").partitionBy("day").parquet(out)
