@@ -1,7 +1,7 @@
 """Lane tables on Parquet or JDBC.
 
 A stream may deliver a batch twice. Each batch therefore owns the folder
-``run_id=…/batch_id=…`` and a replay overwrites it; over JDBC a replay appends
+``run_id=<run>/batch_id=<batch>`` and a replay overwrites it; over JDBC a replay appends
 again. Either way a reader keeps the newest row of each row key.
 """
 

@@ -152,20 +152,21 @@ def test_console(spark, capsys):
     assert "tickets, batch 3" in capsys.readouterr().out
 
 
-def test_shared_folder_follows_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert first.startswith(str(tmp_path)) and first != second
+def session(settings):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: settings.get(key, default))
+
+    return Session
+
+
+def test_shared_folder_follows_the_session(spark):
+    named = session({"spark.checkpoint.dir": "hdfs://shared/work/", "spark.master": "yarn"})
+    first, second = shared_folder(named, "x"), shared_folder(named, "x")
+    assert first.startswith("hdfs://shared/work/accountwatch/x-") and first != second
     assert shared_folder(spark, "x").startswith("/")
 
 
 def test_a_cluster_must_name_its_folder():
-    class Cluster:
-        class conf:
-            get = staticmethod({"spark.master": "yarn"}.get)
-
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster, "x")
+        shared_folder(session({"spark.master": "yarn"}), "x")

@@ -93,6 +93,7 @@ def test_restart_goes_on_where_it_stopped(spark, topic):
 def test_late_rows_are_dropped(spark, topic):
     topic.send(logins_at(5, 6, 7, 8, 9))
     topic.send(logins_at(600))
+    topic.send(logins_at(601))  # a new watermark rejects rows one batch later
     topic.send(tickets_at(10, event_type="feature_access"))
     query = topic.run(spark, CHURN)
     dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
@@ -103,6 +104,7 @@ def test_late_rows_are_dropped(spark, topic):
 def test_events_below_the_revenue_bound_do_not_move_the_watermark(spark, topic):
     topic.send(logins_at(5, 6, 7, 8, 9))
     topic.send(logins_at(600, mrr=500.0))
+    topic.send(logins_at(601, mrr=500.0))
     topic.send(tickets_at(10, event_type="feature_access"))
     topic.send(logins_at(1200))
     topic.run(spark, CHURN)

@@ -27,9 +27,9 @@ CASES = {
     "This hi x\nHi \nHi y": "Hi y",
     "no greet\n ": "no greet",
     "": "",
-    " intro\n hi 　there": "hi 　there",
+    "\u00a0intro\n\u2003hi \u3000there": "hi \u3000there",
     "\U0001f600\nHi \U0001f600": "Hi \U0001f600",
-    "a Hi B": "a Hi B",
+    "a\u2028Hi B": "a\u2028Hi B",
 }
 
 
@@ -46,7 +46,7 @@ def test_long_draft(spark):
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.text(alphabet="hHiI \n\t\r  \x1cab\U0001f600"), min_size=20, max_size=60))
+@given(st.lists(st.text(alphabet="hHiI \n\t\r\u00a0\u2028\x1cab\U0001f600"), min_size=20, max_size=60))
 def test_any_draft(spark, drafts):
     assert cleaned(spark, drafts) == [expected(d) for d in drafts]
 
