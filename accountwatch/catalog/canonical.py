@@ -42,18 +42,18 @@ def _as_account_events(events: DataFrame, customers: DataFrame) -> DataFrame:
     # k in a step of its own is parsed once per row. Account ids are text, as on the
     # event topic; so later steps do not reuse the partitions of this join, and adaptive
     # execution is free to split the partition of an account with very many events.
-    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return events.join(customers, events.user_id == customers.c_custkey).select(
+    events = events.selectExpr("*", "cast(get_json_object(props, '$.k') as int) as k")
+    return events.join(customers.withColumnRenamed("c_custkey", "user_id"), "user_id").selectExpr(
         "event_id",
-        F.col("user_id").cast("string").alias("account_id"),
-        F.col("c_name").alias("account_name"),
-        F.col("c_acctbal").alias("mrr"),
+        "cast(user_id as string) as account_id",
+        "c_name as account_name",
+        "c_acctbal as mrr",
         "event_type",
-        (F.col("k") % 2).alias("category"),
-        F.col("props").alias("event_body"),
-        (F.col("k") % 5 + 1).alias("csat_score"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
-        F.col("ts").alias("event_timestamp"),
+        "k % 2 as category",
+        "props as event_body",
+        "k % 5 + 1 as csat_score",
+        "unix_seconds(cast(ts as timestamp)) as timestamp",
+        "ts as event_timestamp",
     )
 
 
@@ -72,24 +72,13 @@ def account_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as messages on a topic; every eleventh is not JSON."""
-    e = account_events(spark, sf_dir)
-    message = F.to_json(
-        F.struct(
-            F.col("event_id").cast("string").alias("event_id"),
-            F.col("account_id").alias("user_id"),
-            F.col("account_name").alias("account_id"),
-            contact_address("account_name").alias("email"),
-            "mrr",
-            "event_type",
-            F.col("category").cast("string").alias("category"),
-            "event_body",
-            "csat_score",
-            "timestamp",
-            F.lit("NONE").alias("alert_trigger"),
-        )
+    events = account_events(spark, sf_dir).withColumn("email", contact_address("account_name"))
+    return events.selectExpr(
+        """cast(if(event_id % 11 = 0, concat('{broken ', event_id), to_json(struct(
+             cast(event_id as string) as event_id, account_id as user_id, account_name as account_id, email, mrr,
+             event_type, cast(category as string) as category, event_body, csat_score, timestamp,
+             'NONE' as alert_trigger))) as binary) as value"""
     )
-    broken = F.concat(F.lit("{broken "), F.col("event_id").cast("string"))
-    return e.select(F.when(F.col("event_id") % 11 == 0, broken).otherwise(message).cast("binary").alias("value"))
 
 
 def ticket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,21 +88,23 @@ def ticket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    draft = F.when(key % 3 == 0, None).when(key % 7 == 0, "").otherwise("draft")
-    return ticket_rows(spark, sf_dir).drop("event_timestamp").withColumns({"ai_draft": draft, "is_approved": key % 5 == 0})
+    return ticket_rows(spark, sf_dir).selectExpr(
+        "* except (event_timestamp)",
+        "case when event_id % 3 = 0 then null when event_id % 7 = 0 then '' else 'draft' end as ai_draft",
+        "event_id % 5 = 0 as is_approved",
+    )
 
 
 def loops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("account_id").cast("long")
-    rows = detect.friction_loops(account_events(spark, sf_dir), CFG)
-    return rows.withColumns({"ai_draft": F.when(key % 3 == 0, None).otherwise("draft"), "is_approved": key % 5 == 0})
+    return detect.friction_loops(account_events(spark, sf_dir), CFG).selectExpr(
+        "*", "if(cast(account_id as long) % 3 = 0, null, 'draft') as ai_draft", "cast(account_id as long) % 5 = 0 as is_approved"
+    )
 
 
 def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("account_id").cast("long")
-    rows = detect.silent_churners(account_events(spark, sf_dir), CFG)
-    return rows.withColumns({"ai_draft": F.when(key % 4 == 0, None).otherwise("draft"), "is_approved": key % 7 == 0})
+    return detect.silent_churners(account_events(spark, sf_dir), CFG).selectExpr(
+        "*", "if(cast(account_id as long) % 4 = 0, null, 'draft') as ai_draft", "cast(account_id as long) % 7 = 0 as is_approved"
+    )
 
 
 def state(spark: SparkSession, sf_dir: str, lane: Lane) -> DataFrame:
@@ -126,49 +117,46 @@ def views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 def status_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older alert shape: a three-step status and recovery_draft."""
-    status = F.when(F.col("is_approved"), "sent").when(F.col("ai_draft").isNotNull(), "completed").otherwise("pending")
-    return (
-        tickets(spark, sf_dir)
-        .withColumn("status", status)
-        .withColumnRenamed("ai_draft", "recovery_draft")
-        .drop("is_approved", "category", "csat_score", "priority_score")
+    return tickets(spark, sf_dir).selectExpr(
+        "event_id",
+        "account_id",
+        "mrr",
+        "timestamp",
+        "event_body",
+        "ai_draft as recovery_draft",
+        "case when is_approved then 'sent' when ai_draft is not null then 'completed' else 'pending' end as status",
     )
 
 
 def ticket_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One draft for two thirds of the events and a second one for half of those."""
-    key = F.col("event_id")
-    events = table(spark, sf_dir, "events").filter(key % 3 != 0)
-    turns = events.select("event_id", "ts", F.explode(F.when(key % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("n"))
-    return turns.select(
+    events = table(spark, sf_dir, "events").filter("event_id % 3 <> 0")
+    turns = events.selectExpr("event_id", "ts", "explode(if(event_id % 2 = 0, array(1, 2), array(1))) as n")
+    return turns.selectExpr(
         "event_id",
-        F.when(key % 7 == 0, "").otherwise(F.concat(F.lit("draft "), F.col("n").cast("string"))).alias("draft"),
-        (F.col("ts") + F.make_dt_interval(hours=F.col("n"))).cast("timestamp").alias("drafted_at"),
+        "if(event_id % 7 = 0, '', concat('draft ', n)) as draft",
+        "cast(ts + make_dt_interval(0, n) as timestamp) as drafted_at",
     )
 
 
 def ticket_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    events = table(spark, sf_dir, "events").filter(key % 5 == 0)
-    return events.select(
+    return table(spark, sf_dir, "events").filter("event_id % 5 = 0").selectExpr(
         "event_id",
-        F.when(key % 10 != 0, "edited").alias("final_draft"),
-        (F.col("ts") + F.make_dt_interval(days=F.lit(1))).cast("timestamp").alias("approved_at"),
+        "if(event_id % 10 <> 0, 'edited', null) as final_draft",
+        "cast(ts + interval 1 day as timestamp) as approved_at",
     )
 
 
 def loop_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Drafts (some empty, which this lane does not store) and approvals by window."""
-    key = F.col("account_id").cast("long")
     rows = detect.friction_loops(account_events(spark, sf_dir), CFG).select(*LOOPS.change_key)
-    at = F.col("window_start").cast("timestamp")
-    drafts = rows.filter(key % 3 != 0).select(
+    drafts = rows.filter("cast(account_id as long) % 3 <> 0").selectExpr(
         *LOOPS.change_key,
-        F.when(key % 7 == 0, "").otherwise("draft").alias("draft"),
-        at.alias("drafted_at"),
+        "if(cast(account_id as long) % 7 = 0, '', 'draft') as draft",
+        "cast(window_start as timestamp) as drafted_at",
     )
-    approvals = rows.filter(key % 5 == 0).select(
-        *LOOPS.change_key, F.lit("edited").alias("final_draft"), at.alias("approved_at")
+    approvals = rows.filter("cast(account_id as long) % 5 = 0").selectExpr(
+        *LOOPS.change_key, "'edited' as final_draft", "cast(window_start as timestamp) as approved_at"
     )
     return drafts, approvals
 
@@ -180,12 +168,8 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first vector of each label stands for the policy of that label."""
     first = keep_first(embeddings(spark, sf_dir), ["label"], [F.asc("vec_id")])
-    label = F.col("label").cast("string")
-    return first.select(
-        F.col("vec_id").alias("sop_id"),
-        F.concat(F.lit("label "), label).alias("category"),
-        F.concat(F.lit("Policy for label "), label).alias("content"),
-        "embedding",
+    return first.selectExpr(
+        "vec_id as sop_id", "concat('label ', label) as category", "concat('Policy for label ', label) as content", "embedding"
     )
 
 

@@ -36,17 +36,16 @@ def _sum(value: Column | str, condition: Column | None = None) -> Column:
 
 
 def _lane_rows(latest_rows: DataFrame, lane: Lane) -> DataFrame:
-    drafted = F.col("ai_draft").isNotNull() if lane is TICKETS else F.lit(False)
-    return latest_rows.select(
+    return latest_rows.selectExpr(
         "account_id",
         "mrr",
         "is_approved",
         "ai_draft",
-        F.lit(lane.label).alias("lane"),
-        F.lit(lane.rank).alias("lane_rank"),
-        drafted.alias("has_draft"),
-        *([F.col("timestamp")] if lane is TICKETS else [F.col("window_start")]),
-        *([F.col("category")] if "category" in lane.subject else []),
+        f"'{lane.label}' as lane",
+        f"{lane.rank} as lane_rank",
+        ("ai_draft is not null" if lane is TICKETS else "false") + " as has_draft",
+        lane.time,
+        *(["category"] if "category" in lane.subject else []),
     )
 
 
