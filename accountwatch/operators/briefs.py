@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -99,12 +99,22 @@ def draft_brief(df: DataFrame, kind: Lane | str, sender: Sender = Sender()) -> D
     return df.withColumn("brief", _BRIEFS[name](sender))
 
 
-def draft_with(df: DataFrame, make_writer: Callable[[], Callable[[dict], str | None]], keys: tuple[str, ...], complaint: str | None = None) -> DataFrame:
+def draft_with(
+    df: DataFrame,
+    make_writer: Callable[[], Callable[[dict], str | None]],
+    keys: Sequence[str],
+    complaint: str | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
     """Have a caller-supplied writer draft each row: the keys, ``draft`` and ``error``.
 
     ``make_writer`` runs once per task, so a client is opened once and not per
     row. A failing row keeps its message in ``error`` and does not stop the job.
+    Briefs are small and a writer is slow: ``tasks`` spreads them over that many
+    tasks where Spark, going by size, would pack them into few.
     """
+    if tasks is not None:
+        df = df.repartition(tasks)
     schema = T.StructType(
         [df.schema[k] for k in keys] + [T.StructField("draft", T.StringType()), T.StructField("error", T.StringType())]
     )

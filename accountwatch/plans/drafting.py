@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from accountwatch.config import LOW_CSAT, RiskConfig
 from accountwatch.functions.tiers import OFFER_TIERS, response_tier
 from accountwatch.lanes import TICKETS, Lane
 from accountwatch.operators.briefs import Sender, clean_drafts, draft_brief, draft_with
+from accountwatch.operators.detect import low_csat_risk
 from accountwatch.operators.keep import draft_queue
 from accountwatch.operators.nearest import nearest_policy
 
@@ -22,17 +24,32 @@ def ticket_briefs(state: DataFrame, vectors: DataFrame, kb: DataFrame, sender: S
 
 
 def draft_tickets(
-    state: DataFrame, vectors: DataFrame, kb: DataFrame, writer: Writer, sender: Sender = Sender(), limit: int | None = None
+    state: DataFrame,
+    vectors: DataFrame,
+    kb: DataFrame,
+    writer: Writer,
+    sender: Sender = Sender(),
+    limit: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     briefs = ticket_briefs(state, vectors, kb, sender, limit)
-    return clean_drafts(draft_with(briefs, writer, TICKETS.change_key))
+    return clean_drafts(draft_with(briefs, writer, TICKETS.change_key, tasks=tasks))
 
 
-def draft_lane(state: DataFrame, lane: Lane, writer: Writer, sender: Sender = Sender()) -> DataFrame:
+def draft_lane(
+    state: DataFrame, lane: Lane, writer: Writer, sender: Sender = Sender(), tasks: int | None = None
+) -> DataFrame:
     """Loops and churn need no policy: the pattern itself is the story."""
-    return clean_drafts(draft_with(draft_brief(draft_queue(state, lane), lane, sender), writer, lane.change_key))
+    briefs = draft_brief(draft_queue(state, lane), lane, sender)
+    return clean_drafts(draft_with(briefs, writer, lane.change_key, tasks=tasks))
 
 
 def offer_briefs(alerts: DataFrame, sender: Sender = Sender()) -> DataFrame:
     """The older route: a revenue rule picks the offer, no policy is looked up."""
     return draft_brief(response_tier(alerts, OFFER_TIERS, policy=None), "offer", sender)
+
+
+def screened_drafts(events: DataFrame, writer: Writer, cfg: RiskConfig = LOW_CSAT) -> DataFrame:
+    """The first route, batch or stream: loose screen, then a draft beside every screened event."""
+    risky = low_csat_risk(events, cfg)
+    return draft_with(risky, writer, risky.columns, complaint="event_body")

@@ -40,13 +40,18 @@ def parquet_sink(root: str, run_id: str, files_per_batch: int | None = None) ->
     return for_lane
 
 
-def jdbc_sink(url: str, tables: dict[str, str], run_id: str, properties: dict[str, str]) -> Sink:
-    """Append each batch to the lane's table, tagged with its run and batch."""
+# Table names of the lanes.
+TABLES = {"tickets": "high_priority_alerts", "loops": "friction_loops", "churn": "silent_churners"}
+
+
+def jdbc_sink(url: str, properties: dict[str, str], run_id: str | None = None, tables: dict[str, str] = TABLES) -> Sink:
+    """Append each batch to the lane's table; with a run id, tagged with its run and batch."""
 
     def for_lane(lane: Lane) -> BatchWriter:
         def write_lane(batch: DataFrame, batch_id: int) -> None:
-            tagged = batch.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            tagged.write.jdbc(url=url, table=tables[lane.name], mode="append", properties=properties)
+            if run_id is not None:
+                batch = batch.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            batch.write.jdbc(url=url, table=tables[lane.name], mode="append", properties=properties)
 
         return write_lane
 
@@ -65,8 +70,13 @@ def console_sink(rows: int = 20) -> Sink:
 
 
 def newest_rows(stored: DataFrame, lane: Lane) -> DataFrame:
-    """One row per row key: the last run's, and in it the last batch's."""
-    order = [F.desc(F.col("run_id").cast("string")), F.desc(F.col("batch_id").cast("long"))]
+    """One row per row key: the last run's, and in it the last batch's.
+
+    Rows without tags come from plain appends; there the highest count is the newest.
+    """
+    tags = [F.desc(F.col("run_id").cast("string")), F.desc(F.col("batch_id").cast("long"))]
+    untagged = [F.desc(lane.count or lane.time)]
+    order = tags if {"run_id", "batch_id"} <= set(stored.columns) else untagged
     return keep_first(stored, lane.row_key, order).drop("run_id", "batch_id")
 
 
@@ -83,10 +93,11 @@ def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = N
 
 
 def read_lane_jdbc(
-    spark: SparkSession, url: str, table: str, lane: Lane, properties: dict[str, str], **partitioning: object
+    spark: SparkSession, url: str, lane: Lane, properties: dict[str, str], table: str | None = None, **partitioning: object
 ) -> DataFrame:
     """The same over JDBC. Pass column, lowerBound, upperBound and numPartitions to read in parallel."""
-    return newest_rows(spark.read.jdbc(url=url, table=table, properties=properties, **partitioning), lane)
+    stored = spark.read.jdbc(url=url, table=table or TABLES[lane.name], properties=properties, **partitioning)
+    return newest_rows(stored, lane)
 
 
 def compact_lane(spark: SparkSession, root: str, lane: Lane, out: str) -> None:

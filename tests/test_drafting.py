@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -6,9 +7,10 @@ from test_state import CHURN_ROW, LOOP
 from accountwatch import CHURN, LOOPS, TICKETS
 from accountwatch.operators.briefs import NO_COMPLAINT, NO_DRAFT, Sender, clean_drafts, draft_with
 from accountwatch.operators.state import apply_drafts
-from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs
+from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs, screened_drafts
 from accountwatch.plans.overview import overview
-from accountwatch.schemas import KNOWLEDGE_BASE
+from accountwatch.schemas import KNOWLEDGE_BASE, SHORT_EVENT
+from accountwatch.sources.events import parse_events, read_event_files
 
 T0 = datetime(2024, 1, 1)
 TICKET = (
@@ -97,6 +99,26 @@ def test_the_writer_is_made_once_per_task(spark, tmp_path):
     assert len(open(log).read()) == 2
 
 
+def test_briefs_spread_over_tasks(spark):
+    drafted = draft_with(tickets(spark).coalesce(1), polite(), ("event_id",), tasks=3)
+    assert drafted.rdd.getNumPartitions() == 3
+
+
+def test_screen_with_drafts_on_a_stream(spark, tmp_path):
+    body = [{"account_id": "a", "mrr": m, "event_body": "slow", "csat_score": 2} for m in (999.0, 1000.0)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.json").write_text("\n".join(map(json.dumps, body)))
+
+    def make():
+        return lambda row: f"Hi {row['account_id']}"
+
+    events = parse_events(read_event_files(spark, str(tmp_path / "in")), SHORT_EVENT)
+    writer = screened_drafts(events, make).writeStream.format("memory").queryName("screened")
+    query = writer.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [tuple(r) for r in spark.table("screened").collect()] == [("a", 1000.0, "slow", 2, "Hi a", None)]
+
+
 def test_overview_has_every_table(spark):
     lanes = (
         tickets(spark).withColumn("is_approved", F.col("event_id") == "e3"),

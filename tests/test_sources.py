@@ -142,9 +142,18 @@ class Frame:
 
 def test_jdbc_appends_tagged_batches(spark):
     frame = Frame()
-    store.jdbc_sink("jdbc:x", {"tickets": "alerts"}, "run-1", {"user": "u"})(TICKETS)(frame, 4)
+    store.jdbc_sink("jdbc:x", {"user": "u"}, "run-1")(TICKETS)(frame, 4)
     assert frame.columns == ["run_id", "batch_id"]
-    assert frame.calls == [dict(url="jdbc:x", table="alerts", mode="append", properties={"user": "u"})]
+    assert frame.calls == [dict(url="jdbc:x", table="high_priority_alerts", mode="append", properties={"user": "u"})]
+    plain = Frame()
+    store.jdbc_sink("jdbc:x", {}, tables={"loops": "mine"})(LOOPS)(plain, 4)
+    assert plain.columns == [] and plain.calls[0]["table"] == "mine"
+
+
+def test_untagged_rows_keep_the_highest_count(spark):
+    rows = [("a", "c", 1.0, n, 0) for n in (3, 5, 4)]
+    stored = spark.createDataFrame(rows, "account_id string, category string, mrr double, incident_count long, window_start int")
+    assert [r["incident_count"] for r in store.newest_rows(stored, LOOPS).collect()] == [5]
 
 
 def test_console(spark, capsys):

@@ -13,6 +13,7 @@ from accountwatch.operators import detect
 from accountwatch.sources import lanes as store
 from accountwatch.sources.events import parse_events, read_event_files
 from accountwatch.streaming import lanes as streaming
+from accountwatch.streaming.__main__ import arguments, main
 
 _IDS = itertools.count()
 
@@ -169,3 +170,12 @@ def test_one_failure_stops_all(spark, topic):
     with pytest.raises(StreamingQueryException, match="disk full"):
         streaming.await_lanes(started)
     assert not any(query.isActive for query in started.values())
+
+
+def test_command_line(spark, topic):
+    topic.send(tickets_at(5, 6, 7, 8))
+    topic.send(CLOSER)
+    main(["--files", str(topic.root), "--lanes", topic.lanes, "--checkpoints", topic.checkpoints, "--once"])
+    assert store.read_lane(spark, topic.lanes, LOOPS).count() == 2
+    with pytest.raises(SystemExit):
+        arguments(["--topic", "events", "--console", "--checkpoints", "x"])
