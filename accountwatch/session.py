@@ -20,6 +20,7 @@ def local_session(cpus: int = 8, memory: str = "16g", app: str = "accountwatch")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 

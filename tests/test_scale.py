@@ -13,10 +13,7 @@ from accountwatch.operators import detect, figures, keep
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def plan(df, run=False):
-    if run:
-        df.write.format("noop").mode("overwrite").save()
-        df.collect()
+def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
