@@ -46,5 +46,5 @@ def rejected_events(raw: DataFrame, schema: T.StructType = RAW_EVENT) -> DataFra
     """The messages ``parse_events`` could not read in full, as ``message``."""
     checked = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT}
-    event = F.from_json(_text(), checked, options)
-    return raw.select(event[_REJECT].alias("message")).filter(F.col("message").isNotNull())
+    reject = F.from_json(_text(), checked, options)[_REJECT]
+    return raw.filter(reject.isNotNull()).select(_text().alias("message"))
