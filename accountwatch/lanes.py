@@ -20,6 +20,7 @@ class Lane:
     keeps_empty_drafts: bool  # an empty draft overwrites the stored one
 
 
+# Lane labels and key columns.
 TICKETS = Lane(
     name="tickets",
     rank=1,

@@ -15,6 +15,7 @@ from accountwatch.lanes import CHURN, LOOPS, TICKETS, Lane
 # Texts stored when there is nothing to write about or nothing came back.
 NO_COMPLAINT = "No complaint provided."
 NO_DRAFT = "Draft generation failed."
+FAILED = "Agent Error: "
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,7 @@ def draft_with(
     schema = T.StructType(
         [df.schema[k] for k in keys] + [T.StructField("draft", T.StringType()), T.StructField("error", T.StringType())]
     )
-    no_complaint, no_draft = NO_COMPLAINT, NO_DRAFT
+    no_complaint, no_draft, failed = NO_COMPLAINT, NO_DRAFT, FAILED
 
     def write(batches):
         import pyarrow as pa
@@ -136,7 +137,7 @@ def draft_with(
                         draft = writer(row)
                         draft = no_draft if draft is None else draft
                     except Exception as failure:  # the writer is foreign code
-                        error = f"Agent Error: {failure}"
+                        error = f"{failed}{failure}"
                 drafts.append(draft)
                 errors.append(error)
             columns = [batch.column(key) for key in keys]

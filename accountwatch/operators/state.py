@@ -68,6 +68,7 @@ def lane_state(rows: DataFrame, drafts: DataFrame, approvals: DataFrame, lane: L
 
 def alert_status(approved: Column | str = "is_approved") -> Column:
     flag = F.col(approved) if isinstance(approved, str) else approved
+    # Status words.
     return F.when(flag, "Actioned").when(~flag, "At Risk")
 
 
