@@ -47,6 +47,7 @@ class ChunkEncoder:
         self.encode_words = encode_words
         self.words = Generations(entries)
         self.spaced = Generations(entries)
+        self.whole = Generations(entries)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # One piece stands for a text that may not be cut at its spaces.
@@ -55,6 +56,21 @@ class ChunkEncoder:
         known = self.spaced.holding(set().union(*(pieces[1:] for pieces in cut)), self._encode_spaced)
         return [head + b"".join(map(known.__getitem__, pieces[1:])) for head, pieces in zip(heads, cut, strict=True)]
 
+    def pieces(self, text: str) -> list[str]:
+        """The text in pieces that are encoded one by one: its chunks, or its words if it may not be cut."""
+        if _UNCUT.search(text):
+            return self.pattern.findall(text)
+        first, *rest = text.split(" ")
+        return [first, *(" " + piece for piece in rest)] if first else [" " + piece for piece in rest]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        known = self.whole.holding(set(pieces), self._encode_chunks)
+        return list(map(known.__getitem__, pieces))
+
+    def encode_words_known(self, words: list[str]) -> list[bytes]:
+        known = self.words.holding(set(words), self.encode_words)
+        return list(map(known.__getitem__, words))
+
     def _encode_spaced(self, pieces: list[str]) -> list[bytes]:
         return self._encode_chunks([" " + piece for piece in pieces])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from accountwatch.llm import bpe, exact, packing, pii, quality, shards, simhash, toxicity
+from accountwatch.llm import bpe, exact, html, packing, pii, quality, shards, simhash, token_counts, toxicity
 from accountwatch.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html(spark, sf_dir):
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -63,6 +68,14 @@ def op6_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op7_token_counts(spark, sf_dir):
+    """Counts of every document before and after four edits drawn from its id."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_with_edits(docs, ranks, public_tokenizers.PATTERN, token_counts.drawn_edits())
+
+
 @query
 def op8_simhash(spark, sf_dir):
     classes = simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))

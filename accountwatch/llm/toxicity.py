@@ -21,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,13 @@ MODEL_WORDS = 50_000
 #: A toxic word is so much likelier in toxic texts, and this many standard errors off zero.
 LEAST_ODDS = math.log(8.0)
 LEAST_Z = 3.0
-#: Texts that the prior weighs.
+#: What the prior weighs: so much for any word, and so much in all by the words' share of both kinds.
+LEAST_PRIOR = 0.5
 PRIOR = 10.0
+#: Lengths of the beginnings of words that are tokens too.
+BEGINNINGS = (4, 5, 6, 7)
+#: Words whose score a worker remembers.
+REMEMBERED = 300_000
 #: Segments of a text that count together, at most so many: the best ones.
 SEGMENTS_TOGETHER = 64
 
@@ -49,6 +55,11 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def tokens_of(word: str) -> list[str]:
+    """The word and its beginnings, which stand for its inflections and compounds."""
+    return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
+
+
 @dataclass
 class Model:
     scores: dict[str, float] = field(default_factory=dict)
@@ -57,9 +68,16 @@ class Model:
     scale: float = 1.0
     intercept: float = -40.0
     slope: float = 0.0
-
-    def passages(self, tokens: list[str]) -> list[tuple[int, int, float]]:
-        hits = [(i, self.scores[w]) for i, w in enumerate(tokens) if w in self.scores]
+    seen: dict[str, float] = field(default_factory=dict, repr=False)
+
+    def passages(self, words: list[str]) -> list[tuple[int, int, float]]:
+        new = set(words).difference(self.seen)
+        if len(self.seen) + len(new) > REMEMBERED:
+            self.seen.clear()
+            new = set(words)
+        for word in new:
+            self.seen[word] = max((self.scores.get(t, 0.0) for t in tokens_of(word)), default=0.0)
+        hits = [(i, score) for i, score in enumerate(map(self.seen.__getitem__, words)) if score > 0]
         return maximal_segments(hits, self.cost)
 
     def surprise(self, passages: list[tuple[int, int, float]], n: int) -> float:
@@ -107,12 +125,10 @@ def learn_words(toxic: Counter[str], other: Counter[str]) -> Model:
     n1, n0 = sum(toxic.values()), sum(other.values())
     if not n1 or not n0:
         return Model()
-    weight = PRIOR / (n1 + n0)
     ranked = []
     for word, y1 in toxic.items():
         y0 = other.get(word, 0)
-        prior = weight * (y1 + y0) * (n1 + n0) / max(n1, n0)
-        prior = max(prior, 0.05)
+        prior = LEAST_PRIOR + PRIOR * (y1 + y0) / (n1 + n0)
         odds = math.log((y1 + prior) / (n1 + PRIOR - y1)) - math.log((y0 + prior) / (n0 + PRIOR - y0))
         z = odds / math.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
         if odds >= LEAST_ODDS and z >= LEAST_Z:
@@ -183,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         for batch in batches:
             counts: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[min(max(toxic, 0), 1)].update(set(words_of(text)))
+                counts[min(max(toxic, 0), 1)].update(set(chain.from_iterable(map(tokens_of, set(words_of(text))))))
             for toxic, found in counts.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([toxic] * len(found), pa.int32()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
