@@ -87,11 +87,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ca
         .where("_size > 1")
     )
     best = F.col("_best")
-    return rows.join(groups, "_hash", "left").select(
-        *plain,
-        F.when(best.isNull(), F.col(id_col)).otherwise(best["i"]).alias("keep_id"),
-        F.coalesce("_size", F.lit(1)).alias("group_size"),
-        F.coalesce(best["r"] == F.col("_row"), F.lit(True)).alias("kept"),
+    # Rows without a full hash are alone; in the join their nulls would meet in one task.
+    alone = rows.where("_hash is null").select(*plain, F.col(id_col).alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"))
+    return alone.union(
+        rows.where("_hash is not null")
+        .join(groups, "_hash", "left")
+        .select(
+            *plain,
+            F.when(best.isNull(), F.col(id_col)).otherwise(best["i"]).alias("keep_id"),
+            F.coalesce("_size", F.lit(1)).alias("group_size"),
+            F.coalesce(best["r"] == F.col("_row"), F.lit(True)).alias("kept"),
+        )
     )
 
 
