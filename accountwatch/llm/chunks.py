@@ -6,6 +6,7 @@ stands before a non-blank: the space begins the next match. Texts are cut there.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import regex
@@ -81,7 +82,7 @@ class ChunkEncoder:
 
 
 #: A space before a blank or the end, where the space does not begin a match.
-_UNCUT = regex.compile(r" (?:\s|\Z)")
+_UNCUT = re.compile(r" (?:\s|\Z)")
 
 
 def slices(texts: list[str], most: int = 4_000_000):

@@ -17,6 +17,7 @@ result. A batch holds a bounded number of ids, so no task grows with the input.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -89,15 +90,24 @@ def cut(total: int, fine: bool, capacity: int = CAPACITY) -> list[tuple[int, int
     return [(at, capacity) for at in range(0, full, capacity)] + [(at, min(step, total - at)) for at in range(full, total, step)]
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in the vocabulary: itself if it prints, else the next free one from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printed)]
+    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 @lru_cache(maxsize=2)
 def worker_encoder(path: str, pattern: str) -> ChunkEncoder:
+    """The file's BPE model, asked word by word: the pattern has cut the words already."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenize = Tokenizer.from_file(path).model.tokenize
+    alphabet = byte_alphabet()
 
     def encode(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        spelled = (word.encode("utf-8").decode("latin-1").translate(alphabet) for word in words)
+        return [array("I", [token.id for token in tokenize(word)]).tobytes() for word in spelled]
 
     return ChunkEncoder(pattern, encode)
 
