@@ -30,6 +30,9 @@ from accountwatch.llm.text import whole
 
 #: Bytes of distinct words that are replayed together.
 PART_BYTES = 1 << 21
+#: A few short words, as an edit brings them, are not worth an index.
+SHORT_PART = 2_000
+SHORT_WORD = 64
 #: A merge with so many places is applied to all of them at once.
 MANY = 48
 
@@ -104,6 +107,8 @@ class MergeReplay:
         return rank
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
+        if sum(map(len, words)) < SHORT_PART and all(len(word) <= SHORT_WORD for word in words):
+            return [np.array(self._merge_word(word), dtype="<u4") for word in words]
         out: list[np.ndarray] = []
         begin = size = 0
         for i, word in enumerate(words):
@@ -113,6 +118,18 @@ class MergeReplay:
                 begin, size = i + 1, 0
         return out
 
+    def _merge_word(self, word: bytes) -> list[int]:
+        """A short word by itself: its lowest merge, leftmost first, until it has none."""
+        ids = [self.ranks[word[i : i + 1]] for i in range(len(word))]
+        while len(ids) > 1:
+            ranks = [self.pair_rank(a * self.wide + b) for a, b in zip(ids, ids[1:], strict=False)]
+            lowest = min((r for r in ranks if r >= 0), default=-1)
+            if lowest < 0:
+                break
+            at = ranks.index(lowest)
+            ids[at : at + 2] = [lowest]
+        return ids
+
     def _replay(self, words: list[bytes]) -> list[np.ndarray]:
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         ends = np.cumsum(lengths)

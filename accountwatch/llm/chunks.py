@@ -29,7 +29,7 @@ class Generations:
         if len(self.young) + len(missing) > self.entries:
             self.old, self.young = self.young, {}
             missing = keys
-        again = missing.intersection(self.old)
+        again = {key for key in missing if key in self.old}
         self.young.update((key, self.old[key]) for key in again)
         new = list(missing.difference(again))
         self.young.update(zip(new, make(new), strict=True))
@@ -64,6 +64,10 @@ class ChunkEncoder:
         first, *rest = text.split(" ")
         return [first, *(" " + piece for piece in rest)] if first else [" " + piece for piece in rest]
 
+    def prepare(self, texts: list[str]) -> None:
+        """Encodes all new pieces of the texts together, so that each text finds its own known."""
+        self.whole.holding(set().union(*map(self.pieces, texts)), self._encode_chunks)
+
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         known = self.whole.holding(set(pieces), self._encode_chunks)
         return list(map(known.__getitem__, pieces))

@@ -153,6 +153,7 @@ def count_with_edits(
             texts, scripts = batch.column(1).to_pylist(), batch.column(2)
             for begin, stop in slices(texts):
                 rows = []
+                bpe.chunks.prepare(texts[begin:stop])
                 for text, script in zip(texts[begin:stop], scripts.slice(begin, stop - begin).to_pylist(), strict=True):
                     counted = CountedText(text, bpe)
                     before = counted.n_tokens
