@@ -64,9 +64,11 @@ class ChunkEncoder:
         first, *rest = text.split(" ")
         return [first, *(" " + piece for piece in rest)] if first else [" " + piece for piece in rest]
 
-    def prepare(self, texts: list[str]) -> None:
-        """Encodes all new pieces of the texts together, so that each text finds its own known."""
-        self.whole.holding(set().union(*map(self.pieces, texts)), self._encode_chunks)
+    def prepare(self, texts: list[str]) -> list[list[str]]:
+        """The pieces of each text; all new ones are encoded together, so that each text finds its own known."""
+        cut = [self.pieces(text) for text in texts]
+        self.whole.holding(set().union(*cut), self._encode_chunks)
+        return cut
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         known = self.whole.holding(set(pieces), self._encode_chunks)

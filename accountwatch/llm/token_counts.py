@@ -31,7 +31,7 @@ from accountwatch.llm.chunks import slices
 from accountwatch.llm.text import whole
 
 #: Pre-token runs (cut at spaces) of a leaf.
-LEAF = 48
+LEAF = 24
 #: Characters past its end that decide where a match ends: an apostrophe and what follows it.
 CONTEXT = 3
 EDITS = "array<struct<begin:int,end:int,text:string>>"
@@ -75,19 +75,18 @@ class TokenTree:
 class CountedText:
     """A text whose token count follows its edits."""
 
-    def __init__(self, text: str, bpe: Bpe):
+    def __init__(self, text: str, bpe: Bpe, pieces: list[str] | None = None):
         self.text = text
         self.bpe = bpe
         self.recoded = 0
-        self.tree = self._tree(text)
+        self.tree = self._tree(bpe.chunks.pieces(text) if pieces is None else pieces)
 
     @property
     def n_tokens(self) -> int:
         return self.tree.tokens[1]
 
-    def _tree(self, text: str) -> TokenTree:
-        pieces = self.bpe.chunks.pieces(text)
-        chars = [len(p) for p in pieces]
+    def _tree(self, pieces: list[str]) -> TokenTree:
+        chars = list(map(len, pieces))
         tokens = [len(ids) // 4 for ids in self.bpe.chunks.encode_pieces(pieces)]
         groups = range(0, len(pieces), LEAF)
         return TokenTree([sum(chars[g : g + LEAF]) for g in groups], [sum(tokens[g : g + LEAF]) for g in groups])
@@ -153,9 +152,9 @@ def count_with_edits(
             texts, scripts = batch.column(1).to_pylist(), batch.column(2)
             for begin, stop in slices(texts):
                 rows = []
-                bpe.chunks.prepare(texts[begin:stop])
-                for text, script in zip(texts[begin:stop], scripts.slice(begin, stop - begin).to_pylist(), strict=True):
-                    counted = CountedText(text, bpe)
+                cut = bpe.chunks.prepare(texts[begin:stop])
+                for text, pieces, script in zip(texts[begin:stop], cut, scripts.slice(begin, stop - begin).to_pylist(), strict=True):
+                    counted = CountedText(text, bpe, pieces)
                     before = counted.n_tokens
                     script = [edit for edit in script or [] if edit]
                     for edit in script:
