@@ -110,7 +110,7 @@ def draft_with(
     """Have a caller-supplied writer draft each row: the keys, ``draft`` and ``error``.
 
     ``make_writer`` runs once per task, so a client is opened once and not per
-    row. A failing row keeps its message in ``error`` and does not stop the job.
+    row; if that fails, the task does. A failing row keeps its message in ``error`` and does not stop the job.
     Briefs are small and a writer is slow: ``tasks`` spreads them over that many
     tasks where Spark, going by size, would pack them into few.
     """
@@ -124,7 +124,7 @@ def draft_with(
     def write(batches):
         import pyarrow as pa
 
-        writer = None
+        writer = make_writer()
         for batch in batches:
             drafts, errors = [], []
             for row in batch.to_pylist():
@@ -133,7 +133,6 @@ def draft_with(
                     draft = no_complaint
                 else:
                     try:
-                        writer = writer or make_writer()
                         draft = writer(row)
                         draft = no_draft if draft is None else draft
                     except Exception as failure:  # the writer is foreign code
