@@ -16,9 +16,9 @@ result. A batch holds a bounded number of ids, so no task grows with the input.
 
 from __future__ import annotations
 
+import json
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountwatch.llm.chunks import ChunkEncoder, slices
+from accountwatch.llm.chunks import slices
 from accountwatch.llm.text import whole
 
 CAPACITY = 1024
@@ -90,26 +90,37 @@ def cut(total: int, fine: bool, capacity: int = CAPACITY) -> list[tuple[int, int
     return [(at, capacity) for at in range(0, full, capacity)] + [(at, min(step, total - at)) for at in range(full, total, step)]
 
 
-def byte_alphabet() -> dict[int, str]:
-    """The character that stands for each byte in the vocabulary: itself if it prints, else the next free one from 256 on."""
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of the vocabulary stands for: its own if it prints, else the next one that does not."""
     printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(printed)]
-    return {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def merge_ranks(path: str) -> dict[bytes, int]:
+    """Bytes and id of every token of a byte-level BPE file whose ids follow the order of its merges.
+
+    Then merging the pair of the lowest id is merging by the file's order: within the
+    span of a token, nothing outside has a say as long as no merge crosses its edges.
+    """
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    vocabulary = model["vocab"]
+    pairs = (merge if isinstance(merge, list) else merge.split(" ") for merge in model["merges"])
+    made = [vocabulary["".join(pair)] for pair in pairs]
+    if any(a >= b for a, b in zip(made, made[1:], strict=False)) or len(vocabulary) - len(made) != 256:
+        raise ValueError(f"{path}: ids do not follow the order of merges over 256 bytes")
+    alphabet = byte_alphabet()
+    return {bytes(map(alphabet.__getitem__, token)): rank for token, rank in vocabulary.items()}
 
 
 @lru_cache(maxsize=2)
-def worker_encoder(path: str, pattern: str) -> ChunkEncoder:
-    """The file's BPE model, asked word by word: the pattern has cut the words already."""
-    from tokenizers import Tokenizer
-
-    tokenize = Tokenizer.from_file(path).model.tokenize
-    alphabet = byte_alphabet()
-
-    def encode(words: list[str]) -> list[bytes]:
-        spelled = (word.encode("utf-8").decode("latin-1").translate(alphabet) for word in words)
-        return [array("I", [token.id for token in tokenize(word)]).tobytes() for word in spelled]
+def worker_encoder(path: str, pattern: str) -> Callable[[str], bytes]:
+    """Encodes a whole text by the file's vocabulary and merges, without special tokens."""
+    import tiktoken
 
-    return ChunkEncoder(pattern, encode)
+    encode = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=merge_ranks(path), special_tokens={}).encode_ordinary
+    return lambda text: np.array(encode(text), dtype="<u4").tobytes()
 
 
 def pieces(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,13 +128,13 @@ def pieces(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     end = np.array([END], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(path, pattern)
+        encode = worker_encoder(path, pattern)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for begin, stop in slices(texts):
                 rows: list[tuple[int, int, int, int, int]] = []
-                for at, ids in enumerate(encoder.encode(texts[begin:stop]), begin):
-                    ids += end
+                for at in range(begin, stop):
+                    ids = encode(texts[at]) + end
                     total = len(ids) // 4
                     fine = zlib.crc32(ids) % FINE_SHARE == 0
                     rows += [(at, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)]), total) for s, n in cut(total, fine)]

@@ -90,6 +90,14 @@ def test_op4_whole_table(spark):
     assert tokens / (1024 * sequences) > 0.97
 
 
+def test_packing_encodes_as_the_file_says(hard_texts):
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    encode = packing.worker_encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
+    for text in [t or "" for t in hard_texts] + drawn_texts(5, 2000) + ["<|endoftext|>", "a" * 50_000, " \n" * 50_000, "é日" * 5000]:
+        assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_packing_of_hard_rows(spark, hard_docs):
     out = packing.pack(hard_docs, P.path("byte_bpe_50k.json"), P.PATTERN)
     rows = out.collect()
