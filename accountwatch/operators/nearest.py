@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from accountwatch.functions.tiers import policy_or_default
 from accountwatch.operators.keep import keep_first
+from accountwatch.session import shared_folder
 
 SHIPPED_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
@@ -106,15 +107,20 @@ def _shipped(complaints: DataFrame, kb: DataFrame, vector: str, dim: int, k: int
     return complaints.mapInArrow(search, schema)
 
 
-def _blocked(complaints: DataFrame, kb: DataFrame, key: str, vector: str, dim: int, k: int, blocks: int, slices: int) -> DataFrame:
+def _blocked(complaints: DataFrame, kb: DataFrame, vector: str, dim: int, k: int, blocks: int, block_bytes: int) -> DataFrame:
     """Every slice of complaints against every block of policies, k candidates from each.
 
-    A task holds one slice and one block; ids spread both evenly whatever the
-    data looks like, and the candidates merge by a bounded keep-first.
+    Complaints are written once with a row number, which names them whatever their own
+    keys are. A task holds one slice and one block; numbers spread both evenly, and the
+    candidates merge by a bounded keep-first.
     """
     matrix, nearest = _kernel(k)
-    key_field = complaints.schema[key]
-    schema = T.StructType([T.StructField("__key", key_field.dataType)] + _MATCH.fields)
+    schema = T.StructType([T.StructField("__row", T.LongType())] + _MATCH.fields)
+    spark = complaints.sparkSession
+    path = shared_folder(spark, "complaints")
+    complaints.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    slices = max(1, -(-numbered.count() * dim * 8 // block_bytes))
 
     def spread(column: str, n: int):
         return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
@@ -122,8 +128,8 @@ def _blocked(complaints: DataFrame, kb: DataFrame, key: str, vector: str, dim: i
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = complaints.filter(F.col(vector).isNotNull()).select(
-        F.col(key).alias("__key"), F.col(vector).alias("__vector"), spread(key, slices).alias("slice"), every(blocks).alias("block")
+    left = numbered.filter(F.col(vector).isNotNull()).select(
+        "__row", F.col(vector).alias("__vector"), spread("__row", slices).alias("slice"), every(blocks).alias("block")
     )
     right = kb.select(
         "sop_id", "embedding", every(slices).alias("slice"), spread("sop_id", blocks).alias("block")
@@ -138,7 +144,7 @@ def _blocked(complaints: DataFrame, kb: DataFrame, key: str, vector: str, dim: i
         hit, sop, distance, rank = nearest(matrix(asked["__vector"], dim), ids, policies)
         return pa.table(
             {
-                "__key": asked["__key"].combine_chunks().take(pa.array(hit)),
+                "__row": asked["__row"].combine_chunks().take(pa.array(hit)),
                 "sop_id": pa.array(sop),
                 "distance": pa.array(distance),
                 "rank": pa.array(rank),
@@ -148,40 +154,54 @@ def _blocked(complaints: DataFrame, kb: DataFrame, key: str, vector: str, dim: i
     candidates = (
         left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(search, schema).drop("rank")
     )
-    best = keep_first(candidates, ["__key"], [F.asc("distance"), F.asc("sop_id")], k, rank="rank")
-    joined = complaints.drop(vector).join(best, F.col(key) == F.col("__key"), "left").drop("__key")
+    best = keep_first(candidates, ["__row"], [F.asc("distance"), F.asc("sop_id")], k, rank="rank")
+    joined = numbered.drop(vector).join(best, "__row", "left").drop("__row")
     return joined.withColumn("rank", F.coalesce("rank", F.lit(1)))
 
 
+def _dimension(vectors: DataFrame) -> int:
+    """The one length of the policies' vectors; names those that stand out."""
+    lengths = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"), F.min("sop_id").alias("first"))
+    found = lengths.orderBy(F.desc("n"), "dim").limit(6).collect()
+    if len(found) > 1:
+        told = ", ".join(f"{r['n']} of length {r['dim']} (first sop_id {r['first']})" for r in found)
+        raise ValueError(f"policy vectors differ in length: {told}; pass dim to search one length only")
+    return max(found[0]["dim"], 1) if found else 1
+
+
 def nearest_policy(
     complaints: DataFrame,
     kb: DataFrame,
-    key: str,
     vector: str = "embedding",
     k: int = 1,
+    dim: int | None = None,
     shipped_bytes: int = SHIPPED_BYTES,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Add sop_id, distance, rank and policy for the ``k`` nearest policies of each complaint.
 
-    ``key`` is unique per complaint. Every complaint stays: without a usable
-    vector, or with an empty knowledge base, it gets the default policy.
+    Every complaint stays, whatever its keys: without a usable vector, or with an empty
+    knowledge base, it gets the default policy. A policy counts once however often it is
+    stored; of rows with one ``sop_id`` the first by content stays, one with a vector
+    before others. Policies without an id or a vector are not searched. All their vectors
+    have one length, or ``dim`` says which length is searched. Both forms, for a small
+    and a large knowledge base, give the same rows.
     """
+    kb = keep_first(
+        kb.filter(F.col("sop_id").isNotNull()), ["sop_id"], [F.col("embedding").isNull().asc(), F.asc("content"), F.asc("embedding")]
+    )
     vectors = kb.filter(F.col("embedding").isNotNull())
+    if dim is None:
+        dim = _dimension(vectors)
+    vectors = vectors.filter(F.size("embedding") == dim)
     size = kb.agg(
-        F.count("embedding").alias("n"),
-        F.max(F.size("embedding")).alias("dim"),
-        F.sum(F.octet_length("content")).alias("text_bytes"),
+        F.count(F.when(F.size("embedding") == dim, F.lit(1))).alias("n"), F.sum(F.octet_length("content")).alias("text_bytes")
     ).first()
-    dim = max(size["dim"] or 1, 1)
     kb_bytes = size["n"] * dim * 8
     if kb_bytes <= shipped_bytes:
         ranked = _shipped(complaints, vectors, vector, dim, k)
     else:
-        asked_bytes = complaints.count() * dim * 8
-        blocks = -(-kb_bytes // block_bytes)
-        slices = max(1, -(-asked_bytes // block_bytes))
-        ranked = _blocked(complaints, vectors, key, vector, dim, k, blocks, slices)
+        ranked = _blocked(complaints, vectors, vector, dim, k, -(-kb_bytes // block_bytes), block_bytes)
     policies = kb.select("sop_id", F.col("content").alias("policy"))
     if kb_bytes + (size["text_bytes"] or 0) <= shipped_bytes:
         policies = F.broadcast(policies)

@@ -23,12 +23,11 @@ def asked(spark, vectors):
 @pytest.mark.parametrize("form", FORMS)
 def test_geometry_and_ties(spark, form):
     kb = base(spark, {7: [1.0, 0.0], 3: [2.0, 0.0], 5: [0.0, 1.0], 9: [0.0, 0.0], 8: None, 6: [1.0, 2.0, 3.0]})
-    kb = kb.filter("sop_id <> 6")
     q = asked(
         spark,
         {"same": [3.0, 0.0], "up": [0.1, 1.0], "away": [-1.0, 0.0], "zero": [0.0, 0.0], "none": None, "long": [1.0, 0.0, 0.0]},
     )
-    got = {r["k"]: r for r in nearest_policy(q, kb, "k", **FORMS[form]).collect()}
+    got = {r["k"]: r for r in nearest_policy(q, kb, dim=2, **FORMS[form]).collect()}
     assert len(got) == 6
     assert (got["same"]["sop_id"], got["same"]["distance"], got["same"]["policy"]) == (3, 0.0, "policy 3")
     assert got["up"]["sop_id"] == 5
@@ -39,7 +38,7 @@ def test_geometry_and_ties(spark, form):
 
 @pytest.mark.parametrize("form", FORMS)
 def test_empty_knowledge_base(spark, form):
-    got = nearest_policy(asked(spark, {"a": [1.0]}), base(spark, {}), "k", **FORMS[form]).collect()
+    got = nearest_policy(asked(spark, {"a": [1.0]}), base(spark, {}), **FORMS[form]).collect()
     assert [(r["k"], r["policy"]) for r in got] == [("a", NO_POLICY)]
 
 
@@ -51,7 +50,7 @@ def test_equals_brute_force(spark, form, k):
     queries = rng.integers(-3, 4, (200, 5)).astype(float)
     kb = base(spark, {i: v.tolist() for i, v in enumerate(policies)})
     q = asked(spark, {str(i): v.tolist() for i, v in enumerate(queries)})
-    got = nearest_policy(q.repartition(5), kb, "k", k=k, **FORMS[form])
+    got = nearest_policy(q.repartition(5), kb, k=k, **FORMS[form])
     found = {}
     for r in got.orderBy("rank").collect():
         found.setdefault(int(r["k"]), []).append(r["sop_id"])
@@ -67,7 +66,7 @@ def test_equals_brute_force(spark, form, k):
 
 def test_other_columns_travel_along(spark):
     q = asked(spark, {"a": [1.0, 0.0]}).withColumn("mrr", F.lit(5.0)).withColumn("at", F.current_timestamp())
-    got = nearest_policy(q, base(spark, {1: [1.0, 1.0]}), "k").first()
+    got = nearest_policy(q, base(spark, {1: [1.0, 1.0]})).first()
     assert got["mrr"] == 5.0 and got["at"] is not None and "embedding" not in got
 
 
@@ -75,3 +74,18 @@ def test_column_form(spark):
     pairs = [([1.0, 0.0], [2.0, 0.0]), ([1.0, 0.0], [0.0, 1.0]), ([1.0], [-1.0]), ([0.0], [1.0]), ([1.0], [1.0, 2.0]), (None, [1.0])]
     df = spark.createDataFrame(pairs, "a array<float>, b array<float>")
     assert [r[0] for r in df.select(cosine_distance("a", "b")).collect()] == [0.0, 1.0, 2.0, None, None, None]
+
+
+def test_vectors_of_mixed_length_are_named(spark):
+    kb = base(spark, {1: [1.0, 0.0], 2: [0.0, 1.0], 6: [1.0, 2.0, 3.0]})
+    with pytest.raises(ValueError, match="1 of length 3 .first sop_id 6."):
+        nearest_policy(asked(spark, {"a": [1.0, 0.0]}), kb)
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_doubled_policies_and_odd_keys(spark, form):
+    kb = base(spark, {1: [1.0, 0.0], 2: [0.0, 1.0]})
+    q = spark.createDataFrame([(None, [1.0, 0.1]), (None, [0.1, 1.0]), ("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", None)], "k string, embedding array<float>")
+    got = nearest_policy(q, kb.union(kb), k=2, **FORMS[form]).filter("rank = 1").select("k", "sop_id").collect()
+    assert sorted(((r["k"] or "", r["sop_id"] or 0) for r in got)) == [("", 1), ("", 2), ("a", 1), ("a", 2), ("b", 0)]
+    assert nearest_policy(q, kb.union(kb), k=2, **FORMS[form]).count() == 9
