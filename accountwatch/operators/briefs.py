@@ -106,14 +106,19 @@ def draft_with(
     keys: Sequence[str],
     complaint: str | None = None,
     tasks: int | None = None,
+    reads: Sequence[str] | None = None,
 ) -> DataFrame:
     """Have a caller-supplied writer draft each row: the keys, ``draft`` and ``error``.
 
     ``make_writer`` runs once per task, so a client is opened once and not per
-    row; if that fails, the task does. A failing row keeps its message in ``error`` and does not stop the job.
+    row; if that fails, the task does. A row without a draft says why in ``error``: nothing
+    to write about, nothing came back, or the writer's failure, which does not stop the job.
     Briefs are small and a writer is slow: ``tasks`` spreads them over that many
-    tasks where Spark, going by size, would pack them into few.
+    tasks where Spark, going by size, would pack them into few. ``reads`` names the
+    columns the writer needs, if not all.
     """
+    if reads is not None:
+        df = df.select(*dict.fromkeys([*keys, *reads, *([complaint] if complaint else [])]))
     if tasks is not None:
         df = df.repartition(tasks)
     schema = T.StructType(
@@ -130,11 +135,11 @@ def draft_with(
             for row in batch.to_pylist():
                 draft = error = None
                 if complaint is not None and not row[complaint]:
-                    draft = no_complaint
+                    error = no_complaint
                 else:
                     try:
                         draft = writer(row)
-                        draft = no_draft if draft is None else draft
+                        error = no_draft if draft is None else None
                     except Exception as failure:  # the writer is foreign code
                         error = f"{failed}{failure}"
                 drafts.append(draft)

@@ -62,8 +62,35 @@ def apply_approvals(rows: DataFrame, approvals: DataFrame, lane: Lane) -> DataFr
 
 
 def lane_state(rows: DataFrame, drafts: DataFrame, approvals: DataFrame, lane: Lane) -> DataFrame:
-    """The view every queue and figure reads."""
-    return apply_approvals(apply_drafts(rows, drafts, lane), approvals, lane)
+    """The view every queue and figure reads: the last text wins, be it a draft or a reviewer's edit.
+
+    Drafts and approvals are one log, reduced to one row per key before the one join.
+    At the same time an edit outranks a draft; an approval without a text only approves.
+    """
+    rows = with_state_columns(rows)
+    log = _storable(drafts, lane).select(
+        *lane.change_key, F.col("draft").alias("__text"), F.col("drafted_at").alias("__at"), F.lit(False).alias("__edit")
+    )
+    edits = approvals.select(
+        *lane.change_key, F.col("final_draft").alias("__text"), F.col("approved_at").alias("__at"), F.lit(True).alias("__edit")
+    )
+    turn = F.struct("__at", "__edit", "__text")
+    changes = (
+        log.unionByName(edits)
+        .groupBy(*lane.change_key)
+        .agg(
+            F.max_by("__text", F.when(F.col("__text").isNotNull(), turn)).alias("__text"),
+            F.max(F.when(~F.col("__edit"), F.col("__at"))).alias("__drafted_at"),
+            F.bool_or("__edit").alias("__approved"),
+        )
+    )
+    return (
+        rows.join(changes, list(lane.change_key), "left")
+        .withColumn("ai_draft", F.coalesce("__text", "ai_draft"))
+        .withColumn("drafted_at", F.coalesce("__drafted_at", "drafted_at"))
+        .withColumn("is_approved", F.coalesce("__approved", F.lit(False)) | F.col("is_approved"))
+        .select(*rows.columns)
+    )
 
 
 def alert_status(approved: Column | str = "is_approved") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from accountwatch.config import LOW_CSAT, RiskConfig
 from accountwatch.functions.tiers import OFFER_TIERS, response_tier
@@ -20,7 +21,7 @@ Writer = Callable[[], Callable[[dict], str | None]]
 def ticket_briefs(state: DataFrame, vectors: DataFrame, kb: DataFrame, sender: Sender = Sender(), limit: int | None = None) -> DataFrame:
     """Queue, nearest policy, tier and brief. ``vectors`` is (event_id, embedding)."""
     queue = draft_queue(state, TICKETS, limit).join(vectors, "event_id", "left")
-    return draft_brief(response_tier(nearest_policy(queue, kb, "event_id")), TICKETS, sender)
+    return draft_brief(response_tier(nearest_policy(queue, kb)), TICKETS, sender)
 
 
 def draft_tickets(
@@ -50,6 +51,10 @@ def offer_briefs(alerts: DataFrame, sender: Sender = Sender()) -> DataFrame:
 
 
 def screened_drafts(events: DataFrame, writer: Writer, cfg: RiskConfig = LOW_CSAT) -> DataFrame:
-    """The first route, batch or stream: loose screen, then a draft beside every screened event."""
+    """The first route, batch or stream: loose screen, then a draft beside every screened event.
+
+    It only shows drafts, so where there is none the reason stands in its place.
+    """
     risky = low_csat_risk(events, cfg)
-    return draft_with(risky, writer, risky.columns, complaint="event_body")
+    drafted = draft_with(risky, writer, risky.columns, complaint="event_body")
+    return drafted.withColumn("draft", F.coalesce("draft", "error"))

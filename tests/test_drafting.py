@@ -6,6 +6,7 @@ from test_state import CHURN_ROW, LOOP
 
 from accountwatch import CHURN, LOOPS, TICKETS
 from accountwatch.operators.briefs import NO_COMPLAINT, NO_DRAFT, Sender, clean_drafts, draft_with
+from accountwatch.operators.keep import needs_draft
 from accountwatch.operators.state import apply_drafts
 from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs, screened_drafts
 from accountwatch.plans.overview import overview
@@ -81,9 +82,11 @@ def test_failures_stay_in_their_row(spark):
 
     briefed = tickets(spark)
     got = {r["event_id"]: (r["draft"], r["error"]) for r in draft_with(briefed, make, ("event_id",), "event_body").collect()}
-    assert got == {"e1": (None, "Agent Error: busy"), "e2": (NO_DRAFT, None), "e3": (NO_COMPLAINT, None)}
+    assert got == {"e1": (None, "Agent Error: busy"), "e2": (None, NO_DRAFT), "e3": (None, NO_COMPLAINT)}
     kept = clean_drafts(draft_with(briefed, make, ("event_id",), "event_body"))
-    assert sorted(r["event_id"] for r in kept.collect()) == ["e2", "e3"]
+    assert kept.count() == 0
+    state = apply_drafts(tickets(spark), kept, TICKETS)
+    assert needs_draft(state, TICKETS).count() == 3
 
 
 def test_the_writer_is_made_once_per_task(spark, tmp_path):
@@ -99,6 +102,14 @@ def test_the_writer_is_made_once_per_task(spark, tmp_path):
     assert len(open(log).read()) == 2
 
 
+def test_a_writer_sees_what_it_reads(spark):
+    def make():
+        return lambda row: ",".join(row)
+
+    drafted = draft_with(tickets(spark), make, ("event_id",), "event_body", reads=("account_id",))
+    assert {r["draft"] for r in drafted.collect()} == {"event_id,account_id,event_body", None}
+
+
 def test_briefs_spread_over_tasks(spark):
     drafted = draft_with(tickets(spark).coalesce(1), polite(), ("event_id",), tasks=3)
     assert drafted.rdd.getNumPartitions() == 3

@@ -115,6 +115,16 @@ def test_state_defaults_and_approval(spark):
     ]
 
 
+def test_the_last_change_wins(spark):
+    rows = spark.createDataFrame([("a", "c", 1.0, 3, T[0], None, False), ("b", "c", 1.0, 3, T[0], None, False)], LOOP)
+    key = "account_id string, category string, window_start timestamp"
+    drafts = spark.createDataFrame([("a", "c", T[0], "draft", T[3]), ("b", "c", T[0], "draft", T[1])], f"{key}, draft string, drafted_at timestamp")
+    edits = spark.createDataFrame([("a", "c", T[0], "", T[2]), ("b", "c", T[0], "edit", T[2])], f"{key}, final_draft string, approved_at timestamp")
+    got = state.lane_state(rows, drafts, edits, LOOPS).orderBy("account_id")
+    assert [(r["ai_draft"], r["drafted_at"], r["is_approved"]) for r in got.collect()] == [("draft", T[3], True), ("edit", T[1], True)]
+    assert ids(keep.needs_draft(got, LOOPS), "account_id") == []
+
+
 def test_status_words(spark):
     rows = spark.createDataFrame([(True,), (False,), (None,)], "is_approved boolean")
     assert [r[0] for r in rows.select(state.alert_status()).collect()] == ["Actioned", "At Risk", None]
