@@ -161,6 +161,20 @@ def loop_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return drafts, approvals
 
 
+def timed_loop_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A draft for every window, up to two hours after its start, and approvals one hour after it."""
+    rows = detect.friction_loops(account_events(spark, sf_dir), CFG).select(*LOOPS.change_key)
+    drafts = rows.selectExpr(
+        *LOOPS.change_key,
+        "'draft' as draft",
+        "cast(window_start as timestamp) + make_dt_interval(0, cast(cast(account_id as long) % 3 as int)) as drafted_at",
+    )
+    approvals = rows.filter("cast(account_id as long) % 2 = 0").selectExpr(
+        *LOOPS.change_key, "'edited' as final_draft", "cast(window_start as timestamp) + interval 1 hour as approved_at"
+    )
+    return drafts, approvals
+
+
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings")
 

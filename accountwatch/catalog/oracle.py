@@ -216,6 +216,8 @@ oracle(
 )
 oracle("pending_review", "select * from latest_loops where not is_approved")
 
+oracle("pending_review_churn", "select * from latest_churn where not is_approved")
+
 # State
 
 oracle(
@@ -244,6 +246,16 @@ select *,
 from loop_rows
 """,
 )
+oracle(
+    "lane_state_by_time",
+    """
+select *,
+  case when account_id::bigint % 2 = 0 and account_id::bigint % 3 <> 2 then 'edited' else 'draft' end as ai_draft,
+  window_start + (account_id::bigint % 3) * interval 1 hour as drafted_at,
+  account_id::bigint % 2 = 0 as is_approved
+from loop_rows
+""",
+)
 oracle("alert_status", "select event_id, case when is_approved then 'Actioned' else 'At Risk' end as status from tickets")
 oracle("drafted_rows", "select account_id, mrr, recovery_draft from status_alerts where status = 'completed'")
 oracle(
@@ -258,6 +270,8 @@ from status_alerts
 # Policies, tiers, briefs and drafts
 
 oracle("nearest_policies", "select * from ranked where rank = 1")
+oracle("nearest_policies_doubled", "select * from ranked where rank = 1")
+oracle("nearest_policies_one_length", "select * from ranked where rank = 1")
 oracle("nearest_policies_topk", "select * from ranked where rank <= 3")
 oracle("nearest_policies_blocked", "select * from ranked where rank <= 2")
 oracle(
@@ -382,6 +396,24 @@ select account_id, category, window_start,
 from loops
 """,
 )
+oracle(
+    "undrafted_after_failures",
+    """
+select event_id, account_id, cast(null as varchar) as ai_draft from ticket_rows
+where account_id::bigint % 13 = 0 or account_id::bigint % 11 = 0 or event_id % 17 = 0
+""",
+)
+oracle(
+    "screened_drafts",
+    """
+select event_id, account_id,
+  case when account_id::bigint % 13 = 0 then 'Agent Error: no answer for ' || account_id
+    when coalesce(event_body, '') = '' then 'No complaint provided.'
+    else 'Here is the email:' || chr(10) || chr(10) || 'Hi ' || account_id || ' Team,' || chr(10) || 'We are on it.' || chr(10) end as draft,
+  case when account_id::bigint % 13 = 0 then 'Agent Error: no answer for ' || account_id end as error
+from account_events where mrr >= 1000 and csat_score <= 3
+""",
+)
 oracle(
     "ticket_drafts",
     """
@@ -429,6 +461,8 @@ select 'Revenue Actioned', round(coalesce(sum(mrr), 0), 2) from accounts where i
 )
 oracle("top_exposed_accounts", "select account_id, mrr from exposed order by mrr desc, account_id limit 10")
 oracle("alert_counts", "select account_id, is_approved, count(*) as alerts from latest_tickets group by all")
+oracle("alert_counts_loops", "select account_id, is_approved, count(*) as alerts from latest_loops group by all")
+oracle("alert_counts_churn", "select account_id, is_approved, count(*) as alerts from latest_churn group by all")
 oracle(
     "draft_backlog",
     """

@@ -17,6 +17,7 @@ from accountwatch.lanes import CHURN, LOOPS, TICKETS, Lane
 from accountwatch.operators import briefs, detect, figures, keep, state
 from accountwatch.operators.nearest import nearest_policy
 from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs, ticket_briefs
+from accountwatch.plans.drafting import screened_drafts as screen_and_draft
 from accountwatch.session import shared_folder
 from accountwatch.sources import events as event_source
 from accountwatch.sources import lanes as lane_store
@@ -168,6 +169,11 @@ def pending_review(spark, sf_dir):
     return keep.pending(keep.latest(data.loops(spark, sf_dir), LOOPS))
 
 
+@query
+def pending_review_churn(spark, sf_dir):
+    return keep.pending(keep.latest(data.churn(spark, sf_dir), CHURN))
+
+
 # State
 
 
@@ -190,6 +196,14 @@ def lane_state(spark, sf_dir):
     return _plain_times(state.lane_state(rows, drafts, approvals, LOOPS))
 
 
+@query
+def lane_state_by_time(spark, sf_dir):
+    """Drafts before, with and after the approval: the last text wins."""
+    rows = detect.friction_loops(data.account_events(spark, sf_dir), CFG)
+    drafts, approvals = data.timed_loop_changes(spark, sf_dir)
+    return _plain_times(state.lane_state(rows, drafts, approvals, LOOPS))
+
+
 @query
 def alert_status(spark, sf_dir):
     return data.tickets(spark, sf_dir).select("event_id", state.alert_status().alias("status"))
@@ -216,13 +230,13 @@ def _rounded(ranked: DataFrame) -> DataFrame:
 @query
 def nearest_policies(spark, sf_dir):
     asked = data.embeddings(spark, sf_dir).select("vec_id", "embedding")
-    return _rounded(nearest_policy(asked, data.knowledge_base(spark, sf_dir), "vec_id"))
+    return _rounded(nearest_policy(asked, data.knowledge_base(spark, sf_dir)))
 
 
 @query
 def nearest_policies_topk(spark, sf_dir):
     asked = data.embeddings(spark, sf_dir).select("vec_id", "embedding")
-    return _rounded(nearest_policy(asked, data.knowledge_base(spark, sf_dir), "vec_id", k=3))
+    return _rounded(nearest_policy(asked, data.knowledge_base(spark, sf_dir), k=3))
 
 
 @query
@@ -230,7 +244,25 @@ def nearest_policies_blocked(spark, sf_dir):
     """The form for a knowledge base beyond the size bound, forced by a bound of nothing."""
     asked = data.embeddings(spark, sf_dir).select("vec_id", "embedding")
     kb = data.knowledge_base(spark, sf_dir)
-    return _rounded(nearest_policy(asked, kb, "vec_id", k=2, shipped_bytes=0, block_bytes=1 << 20))
+    return _rounded(nearest_policy(asked, kb, k=2, shipped_bytes=0, block_bytes=1 << 20))
+
+
+@query
+def nearest_policies_doubled(spark, sf_dir):
+    """Every policy stored twice, complaints found beyond the size bound: still one row per complaint."""
+    asked = data.embeddings(spark, sf_dir).select("vec_id", "embedding")
+    kb = data.knowledge_base(spark, sf_dir)
+    return _rounded(nearest_policy(asked, kb.union(kb), shipped_bytes=0, block_bytes=1 << 20))
+
+
+@query
+def nearest_policies_one_length(spark, sf_dir):
+    """Policies with cut vectors stand beside the others and are set aside by a stated length."""
+    asked = data.embeddings(spark, sf_dir).select("vec_id", "embedding")
+    kb = data.knowledge_base(spark, sf_dir)
+    dim = kb.select(F.size("embedding")).first()[0]
+    cut = kb.withColumn("sop_id", -F.col("sop_id") - 1).withColumn("embedding", F.slice("embedding", 1, 3))
+    return _rounded(nearest_policy(asked, kb.union(cut), dim=dim))
 
 
 @query
@@ -310,12 +342,38 @@ def _stand_in():
     return make
 
 
+def _silent_stand_in():
+    """The same, but it gives nothing back for some other accounts."""
+    make = _stand_in()
+
+    def make_silent():
+        write = make()
+        return lambda row: None if int(row["account_id"]) % 11 == 0 else write(row)
+
+    return make_silent
+
+
 @query
 def draft_with(spark, sf_dir):
     briefed = briefs.draft_brief(data.loops(spark, sf_dir), LOOPS, _SENDER)
     return briefs.draft_with(briefed, _stand_in(), LOOPS.change_key)
 
 
+@query
+def undrafted_after_failures(spark, sf_dir):
+    """Rows still without a draft where the writer failed, gave nothing back or had no complaint."""
+    rows = data.ticket_rows(spark, sf_dir).withColumn("event_body", F.when(F.col("event_id") % 17 != 0, F.col("event_body")))
+    drafts = briefs.clean_drafts(briefs.draft_with(rows, _silent_stand_in(), TICKETS.change_key, "event_body", reads=["account_id"]))
+    after = state.lane_state(rows, drafts, data.ticket_approvals(spark, sf_dir).limit(0), TICKETS)
+    return keep.needs_draft(after, TICKETS).select("event_id", "account_id", "ai_draft")
+
+
+@query
+def screened_drafts(spark, sf_dir):
+    screened = screen_and_draft(data.account_events(spark, sf_dir), _stand_in(), LOW_CSAT)
+    return screened.select("event_id", "account_id", "draft", "error")
+
+
 @query
 def ticket_drafts(spark, sf_dir):
     drafts = draft_tickets(
@@ -377,6 +435,16 @@ def alert_counts(spark, sf_dir):
     return figures.alert_counts(keep.latest(data.tickets(spark, sf_dir), TICKETS))
 
 
+@query
+def alert_counts_loops(spark, sf_dir):
+    return figures.alert_counts(keep.latest(data.loops(spark, sf_dir), LOOPS))
+
+
+@query
+def alert_counts_churn(spark, sf_dir):
+    return figures.alert_counts(keep.latest(data.churn(spark, sf_dir), CHURN))
+
+
 @query
 def draft_backlog(spark, sf_dir):
     backlog = figures.draft_backlog(data.tickets(spark, sf_dir))

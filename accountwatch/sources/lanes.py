@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountwatch.lanes import Lane
@@ -61,8 +62,11 @@ def jdbc_sink(url: str, properties: dict[str, str], run_id: str | None = None, t
 def console_sink(rows: int = 20) -> Sink:
     def for_lane(lane: Lane) -> BatchWriter:
         def write_lane(batch: DataFrame, batch_id: int) -> None:
-            print(f"{lane.name}, batch {batch_id}")
+            batch = batch.persist()
+            hidden = max(0, batch.count() - rows)
+            print(f"{lane.name}, batch {batch_id}" + (f", {hidden} more rows not shown" if hidden else ""))
             batch.show(rows, truncate=False)
+            batch.unpersist()
 
         return write_lane
 
@@ -72,12 +76,19 @@ def console_sink(rows: int = 20) -> Sink:
 def newest_rows(stored: DataFrame, lane: Lane) -> DataFrame:
     """One row per row key: the last run's, and in it the last batch's.
 
-    Rows without tags come from plain appends; there the highest count is the newest.
+    Rows without tags come from plain appends; there the highest counts are the newest,
+    as no count of a window ever falls. Rows whose key has a null are one by their content.
     """
     tags = [F.desc(F.col("run_id").cast("string")), F.desc(F.col("batch_id").cast("long"))]
-    untagged = [F.desc(lane.count or lane.time)]
+    counts = [lane.count, *(["feature_count"] if "feature_count" in stored.columns else [])]
+    untagged = [F.desc(lane.time)] if lane.count is None else [F.desc_nulls_last(c) for c in counts]
     order = tags if {"run_id", "batch_id"} <= set(stored.columns) else untagged
-    return keep_first(stored, lane.row_key, order).drop("run_id", "batch_id")
+    content = [c for c in stored.columns if c not in ("run_id", "batch_id")]
+    if lane.count is None:
+        nameless = reduce(Column.__or__, [F.col(c).isNull() for c in lane.row_key])
+        stored = stored.withColumn("__content", F.when(nameless, F.to_json(F.struct(*content))))
+        return keep_first(stored, [*lane.row_key, "__content"], order).select(*content)
+    return keep_first(stored, lane.row_key, order).select(*content)
 
 
 def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = None) -> DataFrame:

@@ -28,10 +28,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     sink.add_argument("--lanes", help="folder for the lane tables")
     sink.add_argument("--jdbc-url")
     sink.add_argument("--console", action="store_true")
+    parser.add_argument("--console-rows", type=int, default=20, help="rows of a batch to print, with --console")
+    parser.add_argument("--files-per-batch", type=int, help="files that a batch is written to, with --lanes")
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--checkpoints", required=True, help="shared folder for stream state and offsets")
     parser.add_argument("--mode", choices=("append", "update"), default="append")
-    parser.add_argument("--once", action="store_true", help="stop when everything available is processed")
+    parser.add_argument(
+        "--once", action="store_true", help="stop when everything available is processed; windows still open are not stored in append mode"
+    )
     parser.add_argument("--min-mrr", type=float, default=RiskConfig.min_mrr)
     parser.add_argument("--width", default=RiskConfig.window_width)
     parser.add_argument("--slide", default=RiskConfig.window_slide)
@@ -50,11 +54,13 @@ def main(argv: list[str] | None = None) -> None:
     else:
         raw = read_event_files(spark, args.files)
     if args.lanes:
-        sink = store.parquet_sink(args.lanes, store.new_run_id())
+        sink = store.parquet_sink(args.lanes, store.new_run_id(), args.files_per_batch)
     elif args.jdbc_url:
-        sink = store.jdbc_sink(args.jdbc_url, dict(p.split("=", 1) for p in args.jdbc_property))
+        # Rows that replace earlier ones need their run and batch to be told apart.
+        run_id = store.new_run_id() if args.mode == "update" else None
+        sink = store.jdbc_sink(args.jdbc_url, dict(p.split("=", 1) for p in args.jdbc_property), run_id)
     else:
-        sink = store.console_sink()
+        sink = store.console_sink(args.console_rows)
     cfg = RiskConfig(
         min_mrr=args.min_mrr, window_width=args.width, window_slide=args.slide, watermark=args.watermark
     )

@@ -73,7 +73,15 @@ def start_lanes(
     trigger: dict | None = None,
 ) -> dict[str, StreamingQuery]:
     """One query per lane, each with its own checkpoint and its own pace."""
-    return {lane.name: start_lane(events, lane, sink, checkpoint_root, cfg, mode, trigger) for lane in LANES}
+    started: dict[str, StreamingQuery] = {}
+    try:
+        for lane in LANES:
+            started[lane.name] = start_lane(events, lane, sink, checkpoint_root, cfg, mode, trigger)
+    except Exception:
+        for query in started.values():
+            query.stop()
+        raise
+    return started
 
 
 def await_lanes(queries: dict[str, StreamingQuery], poll_seconds: float = 0.2) -> None:
@@ -93,5 +101,9 @@ def await_lanes(queries: dict[str, StreamingQuery], poll_seconds: float = 0.2) -
 
 def read_early_lane(spark: SparkSession, root: str, lane: Lane, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The current alerts of a lane that was written in update mode."""
-    rows = read_lane(spark, root, lane)
+    return current_alerts(read_lane(spark, root, lane), lane, cfg)
+
+
+def current_alerts(rows: DataFrame, lane: Lane, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """What counts as an alert among the newest rows of a lane, from whichever store they were read."""
     return rows if lane is TICKETS else _THRESHOLD[lane.name](rows, cfg)

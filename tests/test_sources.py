@@ -5,13 +5,14 @@ from helpers import raw, tickets_at
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from accountwatch import LOOPS, TICKETS
+from accountwatch import CHURN, LOOPS, TICKETS
 from accountwatch.operators.detect import ticket_alerts
 from accountwatch.schemas import RAW_EVENT, SHORT_EVENT
 from accountwatch.session import shared_folder
 from accountwatch.sources import events as source
 from accountwatch.sources import lanes as store
 from accountwatch.sources import tables
+from accountwatch.streaming.lanes import current_alerts
 
 GOOD = {"event_id": "e1", "mrr": 1.5, "csat_score": 2, "timestamp": 7, "alert_trigger": "FRICTION_LOOP"}
 
@@ -156,9 +157,25 @@ def test_untagged_rows_keep_the_highest_count(spark):
     assert [r["incident_count"] for r in store.newest_rows(stored, LOOPS).collect()] == [5]
 
 
+def test_untagged_churn_rows_keep_the_latest_feature_use(spark):
+    rows = [("a", 1.0, 5, n, 0) for n in (0, 1, 0)]
+    stored = spark.createDataFrame(rows, "account_id string, mrr double, login_count long, feature_count long, window_start int")
+    assert [r["feature_count"] for r in store.newest_rows(stored, CHURN).collect()] == [1]
+    assert current_alerts(store.newest_rows(stored, CHURN), CHURN).count() == 0
+
+
+def test_alerts_without_an_id_are_kept(spark):
+    rows = [(None, "a", 1, "r", 0), (None, "b", 1, "r", 0), (None, "a", 1, "r", 1), ("e", "a", 1, "r", 0), ("e", "a", 1, "r", 1)]
+    stored = spark.createDataFrame(rows, "event_id string, account_id string, timestamp long, run_id string, batch_id long")
+    got = sorted((r["event_id"] or "", r["account_id"]) for r in store.newest_rows(stored, TICKETS).collect())
+    assert got == [("", "a"), ("", "b"), ("e", "a")]
+
+
 def test_console(spark, capsys):
     store.console_sink(5)(TICKETS)(lane_rows(spark, 1), 3)
     assert "tickets, batch 3" in capsys.readouterr().out
+    store.console_sink(5)(TICKETS)(spark.range(7), 4)
+    assert "2 more rows not shown" in capsys.readouterr().out
 
 
 def session(settings):
