@@ -64,7 +64,11 @@ def account_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def account_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as a stream. Event time is an instant here, as watermarks require."""
     # A file source wants a folder or a pattern; this one fits a single file and a folder of parts.
-    events = spark.readStream.schema(_SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
+    return streamed_events(spark, sf_dir, f"{sf_dir}/events.parque[t]")
+
+
+def streamed_events(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    events = spark.readStream.schema(_SCHEMAS["events"]).parquet(path)
     return _as_account_events(events, table(spark, sf_dir, "customer")).withColumn(
         "event_timestamp", F.col("event_timestamp").cast("timestamp")
     )

@@ -516,6 +516,7 @@ oracle(
     "lane_compaction",
     "select event_id, account_id, mrr, strftime(event_timestamp, '%Y-%m-%d') as day from ticket_rows",
 )
+oracle("folded_lane", "select * from loop_rows")
 oracle("knowledge_base", "select sop_id, category, content, cast(len(embedding) as int) as dimensions from kb")
 oracle("export_actioned", "select account_id, mrr, is_approved, ai_draft from accounts where is_approved")
 
@@ -539,3 +540,32 @@ select * from churn_rows where window_end <= (
 )
 oracle("friction_loops_early_stream", "select * from loop_rows")
 oracle("silent_churners_early_stream", "select * from churn_rows")
+oracle("friction_loops_early_slices", "select * from loop_rows")
+oracle("silent_churners_early_slices", "select * from churn_rows")
+oracle(
+    "lanes_stream",
+    """
+select 'tickets' as lane, account_id, mrr from ticket_rows
+union all
+select 'loops', account_id, mrr from loop_rows where window_end <= (
+  select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000 and event_type = 'error')
+union all
+select 'churn', account_id, mrr from churn_rows where window_end <= (
+  select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000)
+""",
+)
+oracle(
+    "friction_loops_late_rows",
+    """
+, middle as (
+  select min(epoch_us(ts)) + (max(epoch_us(ts)) + 1 - min(epoch_us(ts))) // 2 as micros from events
+)
+select account_id, category, mrr, count(*) as incident_count,
+  first(event_body order by event_timestamp, event_id) as event_summary,
+  window_start, window_start + interval 4 days as window_end
+from sliding, middle where event_type = 'error' and mrr >= 5000 and epoch_us(event_timestamp) >= middle.micros
+group by window_start, account_id, category, mrr
+having count(*) >= 3 and window_start + interval 4 days <= (
+  select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000 and event_type = 'error')
+""",
+)

@@ -13,7 +13,7 @@ from accountwatch.config import LOW_CSAT
 from accountwatch.functions.text import contact_address, strip_preamble
 from accountwatch.functions.tiers import OFFER_TIERS, response_tier
 from accountwatch.functions.vector import cosine_distance
-from accountwatch.lanes import CHURN, LOOPS, TICKETS, Lane
+from accountwatch.lanes import CHURN, LANES, LOOPS, TICKETS, Lane
 from accountwatch.operators import briefs, detect, figures, keep, state
 from accountwatch.operators.nearest import nearest_policy
 from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs, ticket_briefs
@@ -514,6 +514,22 @@ def lane_compaction(spark, sf_dir):
     return spark.read.parquet(f"{root}/current").select("event_id", "account_id", "mrr", F.col("day").cast("string").alias("day"))
 
 
+@query
+def folded_lane(spark, sf_dir):
+    """Counts that grow over four batches, folded after the second and the third, then read."""
+    root = shared_folder(spark, "lane")
+    write = lane_store.parquet_sink(root, lane_store.new_run_id())(LOOPS)
+    events = data.account_events(spark, sf_dir)
+    account = F.col("account_id").cast("long")
+    write(detect.ticket_counts(events.where("event_id % 2 = 0"), CFG), 0)
+    write(detect.ticket_counts(events.where(account % 2 == 0), CFG), 1)
+    lane_store.fold_batches(spark, root, LOOPS)
+    write(detect.ticket_counts(events, CFG), 2)
+    lane_store.fold_batches(spark, root, LOOPS)
+    write(detect.ticket_counts(events.where(account % 3 == 0), CFG), 3)
+    return streaming.read_early_lane(spark, root, LOOPS, CFG)
+
+
 @query
 def knowledge_base(spark, sf_dir):
     path = f"{shared_folder(spark, 'kb')}/kb"
@@ -569,3 +585,55 @@ def friction_loops_early_stream(spark, sf_dir):
 @query
 def silent_churners_early_stream(spark, sf_dir):
     return _plain_times(streaming.read_early_lane(spark, _run_lane(spark, sf_dir, CHURN, "update"), CHURN, CFG))
+
+
+@query
+def lanes_stream(spark, sf_dir):
+    """The three lanes started together."""
+    root = shared_folder(spark, "stream")
+    sink = lane_store.parquet_sink(f"{root}/lanes", lane_store.new_run_id())
+    events = data.account_events_stream(spark, sf_dir)
+    streaming.await_lanes(streaming.start_lanes(events, sink, f"{root}/checkpoints", CFG, trigger={"availableNow": True}))
+    stored = [
+        lane_store.read_lane(spark, f"{root}/lanes", lane).select(F.lit(lane.name).alias("lane"), "account_id", "mrr")
+        for lane in LANES
+    ]
+    return stored[0].union(stored[1]).union(stored[2])
+
+
+def _run_slices(spark: SparkSession, sf_dir: str, lane: Lane, mode: str, slices: list[int], of: int) -> str:
+    """The events delivered slice by slice of their time span, one start of the stream for each."""
+    root = shared_folder(spark, "stream")
+    sink = lane_store.parquet_sink(f"{root}/lanes", lane_store.new_run_id())
+    events = data.table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    bounds = [first + (last + 1 - first) * i // of for i in range(of + 1)]
+    for i in slices:
+        part = events.where((micros >= bounds[i]) & (micros < bounds[i + 1]))
+        part.write.mode("append").parquet(f"{root}/events")
+        started = streaming.start_lane(
+            data.streamed_events(spark, sf_dir, f"{root}/events"), lane, sink, f"{root}/checkpoints", CFG, mode, trigger={"availableNow": True}
+        )
+        streaming.await_lanes({lane.name: started})
+    return f"{root}/lanes"
+
+
+@query
+def friction_loops_early_slices(spark, sf_dir):
+    """Counts that grow from batch to batch and over restarts."""
+    path = _run_slices(spark, sf_dir, LOOPS, "update", [0, 1, 2, 3, 4], 5)
+    return _plain_times(streaming.read_early_lane(spark, path, LOOPS, CFG))
+
+
+@query
+def silent_churners_early_slices(spark, sf_dir):
+    """Alerts of one batch that a feature use in a later one takes back."""
+    path = _run_slices(spark, sf_dir, CHURN, "update", [0, 1, 2, 3, 4], 5)
+    return _plain_times(streaming.read_early_lane(spark, path, CHURN, CFG))
+
+
+@query
+def friction_loops_late_rows(spark, sf_dir):
+    """The later half of the time span comes first; the earlier one is late for every closed window."""
+    return _plain_times(lane_store.read_lane(spark, _run_slices(spark, sf_dir, LOOPS, "append", [1, 0], 2), LOOPS))

@@ -3,6 +3,9 @@
 A stream may deliver a batch twice. Each batch therefore owns the folder
 ``run_id=<run>/batch_id=<batch>`` and a replay overwrites it; over JDBC a replay appends
 again. Either way a reader keeps the newest row of each row key.
+
+``fold_batches`` keeps a lane cheap to read: it puts the current rows of all batches but
+the newest into one table by day. Readers then scan that table and the later batches.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from accountwatch.lanes import Lane
@@ -73,34 +76,94 @@ def console_sink(rows: int = 20) -> Sink:
     return for_lane
 
 
-def newest_rows(stored: DataFrame, lane: Lane) -> DataFrame:
-    """One row per row key: the last run's, and in it the last batch's.
+_TAGS = ("run_id", "batch_id")
 
-    Rows without tags come from plain appends; there the highest counts are the newest,
-    as no count of a window ever falls. Rows whose key has a null are one by their content.
-    """
+
+def _newest_stored(stored: DataFrame, lane: Lane) -> DataFrame:
     tags = [F.desc(F.col("run_id").cast("string")), F.desc(F.col("batch_id").cast("long"))]
     counts = [lane.count, *(["feature_count"] if "feature_count" in stored.columns else [])]
     untagged = [F.desc(lane.time)] if lane.count is None else [F.desc_nulls_last(c) for c in counts]
-    order = tags if {"run_id", "batch_id"} <= set(stored.columns) else untagged
-    content = [c for c in stored.columns if c not in ("run_id", "batch_id")]
+    order = tags if set(_TAGS) <= set(stored.columns) else untagged
     if lane.count is None:
+        content = [c for c in stored.columns if c not in _TAGS]
         nameless = reduce(Column.__or__, [F.col(c).isNull() for c in lane.row_key])
         stored = stored.withColumn("__content", F.when(nameless, F.to_json(F.struct(*content))))
-        return keep_first(stored, [*lane.row_key, "__content"], order).select(*content)
-    return keep_first(stored, lane.row_key, order).select(*content)
+        return keep_first(stored, [*lane.row_key, "__content"], order).drop("__content")
+    return keep_first(stored, lane.row_key, order)
+
+
+def newest_rows(stored: DataFrame, lane: Lane) -> DataFrame:
+    """One row per row key: the last run's, and in it the last batch's.
+
+    Rows without tags come from plain appends; there the highest counts are the newest,
+    as no count of a window ever falls. Rows whose key has a null are one by their content.
+    """
+    return _newest_stored(stored, lane).drop(*_TAGS)
+
+
+def _day(lane: Lane) -> Column:
+    return F.to_date(F.timestamp_seconds(lane.time) if lane.count is None else F.col(lane.time))
 
 
-def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = None) -> DataFrame:
-    """The current rows of a lane. With a schema, a lane nobody has written yet reads as empty."""
-    reader = spark.read.option("basePath", f"{root}/{lane.name}")
+def _last_fold(spark: SparkSession, root: str, lane: Lane) -> Row | None:
+    """Folder and last batch of the newest complete fold of a lane."""
     try:
-        stored = reader.parquet(f"{root}/{lane.name}")
+        folds = spark.read.schema("base string, run_id string, batch_id long").parquet(f"{root}/{lane.name}-folds")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return folds.orderBy(F.desc("run_id"), F.desc("batch_id")).first()
+
+
+def _stored_since(spark: SparkSession, root: str, lane: Lane, fold: Row | None, since: str | None) -> tuple[DataFrame | None, DataFrame]:
+    """The folded rows, if any, and the batches after them, both with their tags."""
+    batches = spark.read.option("basePath", f"{root}/{lane.name}").parquet(f"{root}/{lane.name}")
+    batches = batches.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("long")})
+    if since is not None:
+        batches = batches.where(_day(lane) >= F.lit(since).cast("date"))
+    if fold is None:
+        return None, batches
+    later = (F.col("run_id") > fold.run_id) | ((F.col("run_id") == fold.run_id) & (F.col("batch_id") > fold.batch_id))
+    folded = spark.read.parquet(f"{root}/{lane.name}-bases/{fold.base}")
+    if since is not None:
+        folded = folded.where(F.col("day").cast("date") >= F.lit(since).cast("date"))
+    return folded.drop("day"), batches.where(later)
+
+
+def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = None, since: str | None = None) -> DataFrame:
+    """The current rows of a lane, with ``since`` (a date) only those of that day and later.
+
+    With a schema, a lane nobody has written yet reads as empty.
+    """
+    try:
+        folded, batches = _stored_since(spark, root, lane, _last_fold(spark, root, lane), since)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return newest_rows(stored, lane)
+    return newest_rows(batches if folded is None else folded.unionByName(batches), lane)
+
+
+def fold_batches(spark: SparkSession, root: str, lane: Lane) -> None:
+    """Put the current rows of all batches but the newest into one table by day, for ``read_lane``.
+
+    The newest batch stays out, since it may still be written or delivered again. The new
+    table counts once its mark is stored; a fold that breaks off before leaves the lane as
+    it was. One fold of a lane runs at a time. Folded batches are no longer read.
+    """
+    folded, batches = _stored_since(spark, root, lane, _last_fold(spark, root, lane), None)
+    tags = batches.select(*_TAGS).distinct()
+    last = tags.orderBy(*(F.desc(c) for c in _TAGS)).offset(1).first()
+    if last is None:
+        return
+    newest = (F.col("run_id") > last.run_id) | ((F.col("run_id") == last.run_id) & (F.col("batch_id") > last.batch_id))
+    done = batches.where(~newest)
+    rows = _newest_stored(done if folded is None else folded.unionByName(done), lane)
+    base = new_run_id()
+    _write_by_day(rows, lane, f"{root}/{lane.name}-bases/{base}")
+    mark = spark.range(1).select(F.lit(base).alias("base"), F.lit(last.run_id).alias("run_id"), F.lit(last.batch_id).alias("batch_id"))
+    mark.coalesce(1).write.mode("append").parquet(f"{root}/{lane.name}-folds")
 
 
 def read_lane_jdbc(
@@ -112,9 +175,11 @@ def read_lane_jdbc(
 
 
 def compact_lane(spark: SparkSession, root: str, lane: Lane, out: str) -> None:
-    """Write the current rows of a lane as one table by day, so that readers can prune."""
-    rows = read_lane(spark, root, lane)
-    at = F.timestamp_seconds(lane.time) if lane.count is None else F.col(lane.time)
+    """Write the current rows of a lane as one table by day outside the lane, for other readers."""
+    _write_by_day(read_lane(spark, root, lane), lane, out)
+
+
+def _write_by_day(rows: DataFrame, lane: Lane, out: str) -> None:
     # Rebalancing splits a crowded day over several files and puts quiet days together.
-    days = rows.withColumn("day", F.to_date(at)).hint("rebalance", "day")
+    days = rows.withColumn("day", _day(lane)).hint("rebalance", "day")
     days.write.mode("overwrite").partitionBy("day").parquet(out)

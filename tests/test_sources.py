@@ -126,6 +126,53 @@ def test_compaction_by_day(spark, tmp_path):
     assert [r["count"] for r in days] == [1, 2]
 
 
+def written(spark, root, run, batch, counts):
+    """Loop counts of accounts, all of one window, as one batch."""
+    rows = [(account, "x", 9.0, n, f"text {n}", start) for account, n, start in counts]
+    schema = "account_id string, category string, mrr double, incident_count long, event_summary string, start string"
+    rows = spark.createDataFrame(rows, schema).selectExpr("* except (start)", "cast(start as timestamp) as window_start")
+    store.parquet_sink(root, run)(LOOPS)(rows, batch)
+
+
+def counts_in(spark, root, **options):
+    rows = store.read_lane(spark, root, LOOPS, **options).collect()
+    return sorted((r["account_id"], r["incident_count"]) for r in rows)
+
+
+def test_folded_batches(spark, tmp_path):
+    root, day = str(tmp_path), "2024-01-01"
+    written(spark, root, "run-1", 0, [("a", 1, day), ("b", 1, "2024-01-05")])
+    store.fold_batches(spark, root, LOOPS)
+    assert not (tmp_path / "loops-folds").exists(), "the only batch may still be delivered again"
+    written(spark, root, "run-1", 1, [("a", 2, day)])
+    written(spark, root, "run-1", 10, [("a", 3, day)])
+    store.fold_batches(spark, root, LOOPS)
+    assert counts_in(spark, root) == [("a", 3), ("b", 1)]
+    written(spark, root, "run-1", 10, [("a", 4, day)])
+    assert counts_in(spark, root) == [("a", 4), ("b", 1)], "the newest batch, delivered again, counts"
+    written(spark, root, "run-2", 0, [("b", 7, "2024-01-05"), ("c", None, None)])
+    store.fold_batches(spark, root, LOOPS)
+    store.fold_batches(spark, root, LOOPS)
+    assert counts_in(spark, root) == [("a", 4), ("b", 7), ("c", None)]
+    assert counts_in(spark, root, since="2024-01-02") == [("b", 7)]
+    assert store.read_lane(spark, root, LOOPS).columns == ["account_id", "category", "mrr", "incident_count", "event_summary", "window_start"]
+
+
+def test_folded_batches_are_not_scanned(spark, tmp_path):
+    root = str(tmp_path)
+    for batch in range(3):
+        written(spark, root, "run-1", batch, [("a", batch, "2024-01-01")])
+    store.fold_batches(spark, root, LOOPS)
+    for batch in range(2):
+        for file in (tmp_path / f"loops/run_id=run-1/batch_id={batch}").glob("*.parquet"):
+            file.rename(file.with_name(f"_{file.name}"))
+    assert counts_in(spark, root) == [("a", 2)]
+    plan = store.read_lane(spark, root, LOOPS, since="2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("batch_id" in f.split("PartitionFilters")[1].split("Pushed")[0] for f in filters)
+    assert any("day" in f.split("PartitionFilters")[1].split("Pushed")[0] for f in filters)
+
+
 class Frame:
     """Records a JDBC write; no database is started for a test."""
 
