@@ -3,13 +3,17 @@
 A page is a stream of tokens, each the path of tags around a text slot; neighbours with
 equal tokens, or equal groups of up to four, fold into a repeated group. The streams of
 a host are aligned one after the other: what both have stays, a group repeated in one is
-repeated in both, and a mismatch becomes an optional group. Slots of the wrapper are
-main text or not by what they hold over all pages of the host: tags and names that say
-so, links, and text that is the same on most pages. Pages are then read by their host's
-wrapper.
+repeated in both, and a mismatch becomes an optional group. Each stream is then matched
+with its host's wrapper, which gives every slot a place in it; of all ways that fit, the
+one that leaves out the fewest groups that are not optional. What a slot is follows from
+its place: what stands there over all pages of the host (links, text that is the same on
+most pages, a group on all pages with one text), and the tags and names around it. A
+page's main text are the slots of its own stream at such places, so that pages of
+several templates on one host are judged apart.
 
 Only distinct streams and sums by slot are shuffled, combined before. A host's streams
-are aligned in parts, then the parts; texts of a host never meet in a task.
+are aligned in parts of bounded size, then the parts, until one is left; texts of a host
+never meet in a task.
 
 Defined results: a null or empty html gives the empty text; a null url has the host '';
 repeated rows are extracted alike; broken markup is read as far as it goes, an open tag
@@ -34,8 +38,8 @@ from pyspark.sql import functions as F
 
 from accountwatch.session import shared_folder
 
-#: Parts in which a host's distinct streams are aligned before the parts are.
-PARTS = 16
+#: Streams of a host that one task aligns, about.
+PART_STREAMS = 64
 #: Tokens of a repeated group, at most.
 LONGEST_GROUP = 4
 #: A slot on so many pages whose text has so few variants per page is part of the template.
@@ -169,25 +173,30 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def folded(paths: list[str]) -> list[Item]:
-    """The stream with neighbouring equal tokens, then equal groups of tokens, as repeated groups."""
-    items: list[Item] = []
+def traced(paths: list[str]) -> list[tuple[Item, list[int]]]:
+    """The stream with neighbouring equal tokens, then equal groups of tokens, as repeated groups.
+
+    With each group the token of it that every slot of the page is.
+    """
+    items: list[tuple[Item, list[int]]] = []
     for path in paths:
-        if items and items[-1].paths == (path,):
-            items[-1] = Item((path,), repeated=True)
+        if items and items[-1][0].paths == (path,):
+            items[-1] = (Item((path,), repeated=True), [*items[-1][1], 0])
         else:
-            items.append(Item((path,)))
+            items.append((Item((path,)), [0]))
     for size in range(2, LONGEST_GROUP + 1):
-        out: list[Item] = []
+        out: list[tuple[Item, list[int]]] = []
         at = 0
         while at < len(items):
             group = items[at : at + size]
             end = at + size
-            same = [i.paths for i in group]
-            while len(group) == size and [i.paths for i in items[end : end + size]] == same:
+            same = [i.paths for i, _ in group]
+            while len(group) == size and [i.paths for i, _ in items[end : end + size]] == same:
                 end += size
             if end > at + size:
-                out.append(Item(tuple(p for i in group for p in i.paths), repeated=True))
+                starts = [sum(map(len, same[:n])) for n in range(size)]
+                tokens = [starts[n % size] + token for n, (_, own) in enumerate(items[at:end]) for token in own]
+                out.append((Item(tuple(p for paths in same for p in paths), repeated=True), tokens))
                 at = end
             else:
                 out.append(items[at])
@@ -196,8 +205,45 @@ def folded(paths: list[str]) -> list[Item]:
     return items
 
 
+def folded(paths: list[str]) -> list[Item]:
+    return [item for item, _ in traced(paths)]
+
+
+def streamed(found: list[Block]) -> tuple[str, list[int]]:
+    """The stream of a page as an expression, and which slot of it every block fills."""
+    items = traced([b.path for b in found])
+    slots: list[int] = []
+    first = 0
+    for item, tokens in items:
+        slots += [first + token for token in tokens]
+        first += len(item.paths)
+    return written([item for item, _ in items]), slots
+
+
+def grouped(items: list[Item], groups: set[tuple[str, ...]]) -> list[Item]:
+    """Single tokens in a row that spell one of the groups, as that group. Tokens that may be missing stay single."""
+    sizes = sorted({len(g) for g in groups}, reverse=True)
+    out: list[Item] = []
+    at = 0
+    while at < len(items):
+        for size in sizes:
+            run = items[at : at + size]
+            paths = tuple(p for i in run for p in i.paths)
+            if paths in groups and len(run) == size and not any(i.repeated or i.optional for i in run):
+                out.append(Item(paths))
+                at += size
+                break
+        else:
+            out.append(items[at])
+            at += 1
+    return out
+
+
 def aligned(wrapper: list[Item], other: list[Item]) -> list[Item]:
     """A wrapper of all that either describes; mismatches become optional groups."""
+    groups = {i.paths for i in (*wrapper, *other) if len(i.paths) > 1}
+    if groups:
+        wrapper, other = grouped(wrapper, groups), grouped(other, groups)
     match = SequenceMatcher(None, [i.paths for i in wrapper], [i.paths for i in other], autojunk=False)
     out: list[Item] = []
     for tag, a, b, c, d in match.get_opcodes():
@@ -229,61 +275,139 @@ def read_wrapper(text: str) -> list[Item]:
     return out
 
 
-def main_slots(slots: pd.DataFrame) -> list[str]:
-    """The paths that hold main text. Columns: path, pages, chars, link_chars, variants."""
-    outside = slots.path.map(lambda p: any(label.startswith("-") for label in p.split("/")))
-    named = slots.path.map(lambda p: any(label.startswith("+") for label in p.split("/"))) & ~outside
-    if named.any():
-        return sorted(slots.path[named])
-    template = (slots.pages >= TEMPLATE_PAGES) & (slots.variants <= TEMPLATE_VARIANTS * slots.pages)
-    linked = slots.link_chars > LINK_SHARE * slots.chars
-    rest = slots[~outside & ~template & ~linked]
-    if rest.empty:
-        return sorted(slots.path[~outside & ~linked])
+def matched(wrapper: list[Item], stream: list[Item]) -> list[tuple[int, int]] | None:
+    """The place (group of the wrapper, token in it) of every slot of a stream, or nothing if the wrapper does not describe it."""
+    at_paths: dict[tuple[str, ...], list[int]] = {}
+    fixed = [0]  # groups before each that no page may leave out
+    for i, item in enumerate(wrapper):
+        at_paths.setdefault(item.paths, []).append(i)
+        fixed.append(fixed[-1] + (not item.optional))
+    sizes = sorted({1, *(len(i.paths) for i in wrapper)})
+    # After so many items of the stream, by the last group used: groups left out, items and group before.
+    ways: list[dict[int, tuple[int, int, int]]] = [{} for _ in range(len(stream) + 1)]
+    ways[0][-1] = (0, 0, -1)
+    for k, item in enumerate(stream):
+        if not ways[k]:
+            continue
+        for size in sizes:
+            run = stream[k : k + size]
+            if len(run) < size or (size > 1 and any(i.repeated or len(i.paths) > 1 for i in run)):
+                break
+            for i in at_paths.get(tuple(p for r in run for p in r.paths), ()):
+                if item.repeated and not wrapper[i].repeated:
+                    continue
+                for j, (left_out, _, _) in ways[k].items():
+                    if j < i or (j == i and wrapper[i].repeated):
+                        cost = left_out + max(0, fixed[i] - fixed[j + 1])
+                        if i not in ways[k + size] or cost < ways[k + size][i][0]:
+                            ways[k + size][i] = (cost, k, j)
+    if not ways[-1]:
+        return None
+    group = min(ways[-1], key=lambda i: (ways[-1][i][0] + fixed[-1] - fixed[i + 1], i))
+    places: list[tuple[int, int]] = []
+    k = len(stream)
+    while k:
+        _, before, last = ways[k][group]
+        width = sum(len(i.paths) for i in stream[before:k])
+        places[:0] = [(group, n) for n in range(width)]
+        k, group = before, last
+    return places
+
+
+class Slot(NamedTuple):
+    """A slot of a stream with what stands at its place on all pages of the host."""
+
+    path: str
+    repeated: bool
+    optional: bool
+    pages: int
+    chars: int
+    link_chars: int
+    variants: int
+
+
+def main_slots(slots: list[Slot]) -> list[int]:
+    """Which slots of a stream hold main text."""
+    every = range(len(slots))
+    outside = {k for k in every if any(label.startswith("-") for label in slots[k].path.split("/"))}
+    named = [k for k in every if k not in outside and any(label.startswith("+") for label in slots[k].path.split("/"))]
+    if named:
+        # In a container that says it holds the text, only a group on every page with one text is part of the template.
+        fixed = {k for k in named if slots[k].pages >= TEMPLATE_PAGES and slots[k].variants == 1 and not (slots[k].optional or slots[k].repeated)}
+        return [k for k in named if k not in fixed] or named
+    inside = [k for k in every if k not in outside and slots[k].link_chars <= LINK_SHARE * slots[k].chars]
+    rest = [k for k in inside if slots[k].pages < TEMPLATE_PAGES or slots[k].variants > TEMPLATE_VARIANTS * slots[k].pages]
+    if not rest:
+        return inside
     # The deepest container that still holds most of what is left.
-    total, best = rest.chars.sum(), ""
-    for path in sorted(rest.path):
-        labels = path.split("/")
+    held: dict[str, int] = {}
+    for k in rest:
+        labels = slots[k].path.split("/")
         for depth in range(len(labels)):
             container = "/".join(labels[:depth])
-            inside = rest.path.map(lambda p, c=container: p == c or p.startswith(c + "/") or not c)
-            if rest.chars[inside].sum() >= MAIN_SHARE * total and len(container) > len(best):
-                best = container
-    return sorted(p for p in rest.path if p == best or p.startswith(best + "/") or not best)
+            held[container] = held.get(container, 0) + slots[k].chars
+    for k in rest:
+        if slots[k].path and slots[k].path in held:
+            held[slots[k].path] += slots[k].chars
+    total = sum(slots[k].chars for k in rest)
+    best = min((c for c in held if held[c] >= MAIN_SHARE * total), key=lambda c: (-len(c), c), default="")
+    return [k for k in rest if slots[k].path == best or slots[k].path.startswith(best + "/") or not best]
 
 
 def host_of(url: str):
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
+def name_of(stream: str) -> str:
+    return xxhash.xxh128_hexdigest(stream)
+
+
 def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, ``wrapper`` and ``main`` (the paths of main text) of every host."""
+    """host, ``stream`` (its name) and ``main`` (its slots of main text, by their places in the host's wrapper) of every stream."""
+    spark = pages.sparkSession
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = blocks(page)
-                if found:
-                    rows.append((host, "stream", written(folded([b.path for b in found])), 0, 0, 0))
-                for path in dict.fromkeys(b.path for b in found):
-                    mine = [b for b in found if b.path == path]
+                if not found:
+                    continue
+                what, slots = streamed(found)
+                texts: dict[int, list[Block]] = {}
+                for slot, block in zip(slots, found, strict=True):
+                    texts.setdefault(slot, []).append(block)
+                name = name_of(what)
+                for slot, mine in texts.items():
                     digest = xxhash.xxh64_intdigest("\n".join(b.text for b in mine)) >> 1
-                    rows.append((host, "slot", path, sum(len(b.text) for b in mine), sum(b.link_chars for b in mine), digest))
+                    sizes = sum(len(b.text) for b in mine), sum(b.link_chars for b in mine)
+                    rows.append((host, name, slot, "" if slot else what, *sizes, digest))
             if rows:
                 columns = zip(*rows, strict=True)
-                kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "kind", "what", "chars", "link_chars", "digest"]
-                )
+                kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                names = ["host", "stream", "slot", "what", "chars", "link_chars", "digest"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     seen = pages.select(host_of(url).alias("host"), F.coalesce(html, F.lit("")).alias("html")).mapInArrow(
-        describe, "host string, kind string, what string, chars bigint, link_chars bigint, digest bigint"
+        describe, "host string, stream string, slot int, what string, chars bigint, link_chars bigint, digest bigint"
     )
-    sums = seen.groupBy("host", "kind", "what").agg(
-        F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"), F.approx_count_distinct("digest").alias("variants")
+    # Tables are stored between the steps, so that Spark knows their size when it joins.
+    root = shared_folder(spark, "streams")
+
+    def stored(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    sums = stored(
+        seen.groupBy("host", "stream", "slot", "what").agg(
+            F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"), F.hll_sketch_agg("digest").alias("texts")
+        ),
+        "sums",
     )
-    sums = sums.checkpoint()
+
+    def in_parts(table: DataFrame, by: str) -> DataFrame:
+        parts = table.groupBy("host").agg(F.ceil(F.count("*") / PART_STREAMS).cast("int").alias("parts"))
+        return table.join(parts, "host").withColumn("part", F.pmod(F.xxhash64(by), F.col("parts")).cast("int"))
 
     def align(streams: pd.DataFrame) -> pd.DataFrame:
         # The commonest stream first, ties by its text, so that the result does not depend on the order of rows.
@@ -293,32 +417,85 @@ def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Da
             wrapper = aligned(wrapper, read_wrapper(what)) if i else read_wrapper(what)
         return pd.DataFrame({"host": [streams.host.iloc[0]], "what": [written(wrapper)], "pages": [int(streams.pages.sum())]})
 
-    streams = sums.where("kind = 'stream'").select("host", "what", "pages", F.pmod(F.xxhash64("what"), F.lit(PARTS)).alias("part"))
-    schema = "host string, what string, pages bigint"
-    parts = streams.groupBy("host", "part").applyInPandas(align, schema)
-    wrappers = parts.groupBy("host").applyInPandas(align, schema).select("host", F.col("what").alias("wrapper"))
-
-    def choose(slots: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [slots.host.iloc[0]], "main": [main_slots(slots.rename(columns={"what": "path"}))]})
-
-    chosen = sums.where("kind = 'slot'").groupBy("host").applyInPandas(choose, "host string, main array<string>")
-    return wrappers.join(chosen, "host", "left")
+    streams = stored(in_parts(sums.where("slot = 0").select("host", "stream", "what", "pages"), "stream"), "parts")
+    wrappers, level = streams, 0
+    while True:
+        wrappers = stored(wrappers.groupBy("host", "part").applyInPandas(align, "host string, what string, pages bigint"), f"wrappers-{level}")
+        if wrappers.groupBy("host").count().where("count > 1").isEmpty():
+            break
+        wrappers, level = in_parts(wrappers, "what"), level + 1
+    wrappers = wrappers.select("host", F.col("what").alias("wrapper"))
+    # One copy of a host's wrapper meets each part of its streams.
+    copies = spark.read.parquet(f"{root}/parts").select("host", "part").distinct()
+
+    def place(streams: pd.DataFrame, wrapper: pd.DataFrame) -> pd.DataFrame:
+        items = read_wrapper(wrapper.wrapper.iloc[0])
+        rows = []
+        for host, name, what in zip(streams.host, streams.stream, streams.what, strict=True):
+            places = matched(items, read_wrapper(what))
+            if places is None:
+                raise ValueError(f"the wrapper of {host} does not describe one of its streams: {what}")
+            rows += [(host, name, slot, group, token) for slot, (group, token) in enumerate(places)]
+        return pd.DataFrame(rows, columns=["host", "stream", "slot", "group", "token"])
+
+    places = stored(
+        streams.groupBy("host", "part").cogroup(copies.join(wrappers, "host").groupBy("host", "part")).applyInPandas(
+            place, "host string, stream string, slot int, group int, token int"
+        ),
+        "places",
+    )
+    held = stored(
+        sums.join(places, ["host", "stream", "slot"]).groupBy("host", "group", "token").agg(
+            F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"),
+            F.hll_sketch_estimate(F.hll_union_agg("texts")).alias("variants"),
+        ).groupBy("host").agg(F.collect_list(F.struct("group", "token", "pages", "chars", "link_chars", "variants")).alias("held")),
+        "held",
+    )
+
+    def choose(streams: pd.DataFrame, wrapper: pd.DataFrame) -> pd.DataFrame:
+        items = read_wrapper(wrapper.wrapper.iloc[0])
+        at = {(h["group"], h["token"]): (h["pages"], h["chars"], h["link_chars"], h["variants"]) for h in wrapper.held.iloc[0]}
+        main = []
+        for what in streams.what:
+            places = matched(items, read_wrapper(what)) or []
+            main.append(main_slots([Slot(items[g].paths[n], items[g].repeated, items[g].optional, *at[g, n]) for g, n in places]))
+        return pd.DataFrame({"host": streams.host, "stream": streams.stream, "main": main})
+
+    described = copies.join(wrappers, "host").join(held, "host")
+    return streams.groupBy("host", "part").cogroup(described.groupBy("host", "part")).applyInPandas(
+        choose, "host string, stream string, main array<int>"
+    )
 
 
 def extract(pages: DataFrame, wrappers: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """id, url, ``text`` and ``n_chars`` of every page: its main slots in page order."""
-
-    @F.pandas_udf("string")
-    def texts(html: pd.Series, main: pd.Series) -> pd.Series:
-        out = []
-        for page, paths in zip(html, main, strict=True):
-            wanted = set(paths) if paths is not None else set()
-            out.append("\n\n".join(b.text for b in blocks(page or "") if b.path in wanted))
-        return pd.Series(out, dtype="object")
-
-    rows = pages.select(id_col, url, F.col(html).alias("_html"), host_of(url).alias("_host"))
-    joined = rows.join(wrappers.select(F.col("host").alias("_host"), "main"), "_host", "left")
-    return joined.select(id_col, url, texts("_html", "main").alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
+    """id, url, ``text`` and ``n_chars`` of every page: the main slots of its stream in page order.
+
+    A page whose stream is not among those described is judged by what it holds itself.
+    """
+
+    @F.pandas_udf("stream string, slots array<int>, texts array<string>, own array<int>")
+    def read(html: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in html:
+            found = blocks(page or "")
+            what, slots = streamed(found)
+            chars: dict[int, list[int]] = {}
+            for slot, block in zip(slots, found, strict=True):
+                sums = chars.setdefault(slot, [0, 0])
+                sums[0] += len(block.text)
+                sums[1] += block.link_chars
+            paths = [p for item in read_wrapper(what) for p in item.paths]
+            own = main_slots([Slot(p, False, False, 1, *chars[slot], 1) for slot, p in enumerate(paths)]) if found else []
+            rows.append((name_of(what), slots, [b.text for b in found], own))
+        return pd.DataFrame(rows, columns=["stream", "slots", "texts", "own"])
+
+    rows = pages.select(id_col, url, host_of(url).alias("_host"), read(html).alias("_page"))
+    rows = rows.withColumn("_stream", F.col("_page.stream"))
+    known = wrappers.select(F.col("host").alias("_host"), F.col("stream").alias("_stream"), "main")
+    joined = rows.join(known, ["_host", "_stream"], "left")
+    main = F.coalesce("main", "_page.own")
+    kept = F.filter(F.col("_page.texts"), lambda text, at: F.array_contains(main, F.get("_page.slots", at)))
+    return joined.select(id_col, url, F.array_join(kept, "\n\n").alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -129,6 +129,54 @@ def test_alignment_finds_optional_and_repeated_groups():
     assert html.written(html.folded("x t d t d t d y".split())) == "(x#)\n(t# d#)+\n(y#)"
 
 
+def test_alignment_meets_a_group_and_its_single_tokens():
+    one, two = html.folded("x t d y".split()), html.folded("x t d t d y".split())
+    both = html.aligned(one, two)
+    assert html.written(both) == "(x#)\n(t# d#)+\n(y#)"
+    assert html.matched(both, one) == [(0, 0), (1, 0), (1, 1), (2, 0)] == html.matched(both, two)
+    assert html.matched(both, html.folded("x d y".split())) is None
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_a_wrapper_describes_its_streams(seed):
+    import random
+
+    rnd = random.Random(seed)
+    streams = [html.folded([rnd.choice("abcd") for _ in range(rnd.randint(1, 14))]) for _ in range(12)]
+    parts = []
+    for lot in (streams[:5], streams[5:9], streams[9:]):
+        wrapper = lot[0]
+        for stream in lot[1:]:
+            wrapper = html.aligned(wrapper, stream)
+        parts.append(wrapper)
+    whole = html.aligned(html.aligned(parts[0], parts[1]), parts[2])
+    for stream in streams:
+        places = html.matched(whole, stream)
+        assert [whole[g].paths[n] for g, n in places] == [p for i in stream for p in i.paths]
+        assert [g for g, _ in places] == sorted(g for g, _ in places)
+        assert {g for g, item in enumerate(whole) if not item.optional} <= {g for g, _ in places}
+
+
+def test_the_place_in_the_wrapper_decides(spark):
+    """The same path holds main text at one place and the template's last line at another."""
+    rows = [(i, "http://p.example/", f"<body><p>text {i} {'w ' * 30}</p><p>more {i}</p><ul><li>item {i}</ul><p>same on all</p>") for i in range(12)]
+    rows += [(20 + i, "http://a.example/", f"<article><h1>title {i}</h1><p>share this text</p><ul><li>x</ul><p>body {i}</p></article>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    out = {r.page_id: r.text for r in html.main_text(pages).collect()}
+    words = " ".join(["w"] * 30)
+    assert out[3] == f"text 3 {words}\n\nmore 3\n\nitem 3"
+    assert out[25] == "title 5\n\nbody 5"
+
+
+def test_many_streams_of_a_host_are_aligned_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(html, "PART_STREAMS", 2)
+    rows = [(i, "http://m.example/", "<main>" + "".join(f"<h{2 + (i >> k & 1)}>t{i} {k}</h{2 + (i >> k & 1)}><p>w{i} {k}</p>" for k in range(4)) + "</main>") for i in range(16)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    assert html.infer_wrappers(pages).count() == 16
+    out = {r.page_id: r.text for r in html.main_text(pages).collect()}
+    assert all(out[i] == "\n\n".join(f"t{i} {k}\n\nw{i} {k}" for k in range(4)) for i in range(16))
+
+
 def test_op1_reads_articles(spark):
     rows = {r.page_id: r for r in QUERIES["op1_html"](spark, SF).collect()}
     for page in spark.read.parquet(f"{SF}/pages.parquet").collect():
