@@ -48,6 +48,8 @@ TEMPLATE_VARIANTS = 0.1
 LINK_SHARE = 0.6
 #: Share of the text that the container of the main text holds, if no tag names one.
 MAIN_SHARE = 0.75
+#: A container with so much of the text is the page's frame, whatever its class words say.
+WIDE_SHARE = 0.5
 
 # Tags and words in class, id and role that say what an element is.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -61,6 +63,9 @@ OUTSIDE_WORDS = set(
 )
 MAIN_TAGS = {"article", "main"}
 NOT_THE_ARTICLE = set("comment comments reply replies ad ads advert sponsored promo related teaser".split())
+# Names with these first or last words speak of something else than the element itself, as "has-sidebar" or "comments-open".
+OF_ELSE = set("has with no without category tag".split())
+STATES = set("open closed enabled disabled allowed free".split())
 MAIN_WORDS = set("article main content post entry story".split())
 CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -96,15 +101,25 @@ class Item(NamedTuple):
 
 @lru_cache(maxsize=20_000)
 def _label(name: str, attributes: str) -> str:
-    """The tag, marked ``-`` if it stands outside the main text and ``+`` if it says it holds it, and its names."""
+    """The tag with its names. Marks: ``+`` says that it holds the main text, ``-`` that it does not.
+
+    ``~`` and ``^``: only class words say that it does not, as a name's last word or before it
+    ("site-header", "header-fixed"); a frame around the text may have such names too.
+    """
     names = [n for found in _NAMES.findall(attributes) for n in " ".join(found).split()]
-    # "has-sidebar" speaks of something else than the element itself.
-    own = [[w.lower() for w in _WORDS.findall(n)] for n in names if n.lower().split("-")[0] not in ("has", "with", "no", "without")]
+    own = [[w.lower() for w in _WORDS.findall(n)] for n in names]
+    own = [group for group in own if group and group[0] not in OF_ELSE and group[-1] not in STATES]
     words = [w for group in own for w in group]
-    if name in MAIN_TAGS:
-        mark = "-" if NOT_THE_ARTICLE.intersection(words) else "+"
-    elif name in OUTSIDE_TAGS or OUTSIDE_WORDS.intersection(words):
+    if name in ("html", "body"):
+        mark = ""
+    elif name in OUTSIDE_TAGS or NOT_THE_ARTICLE.intersection(words):
         mark = "-"
+    elif name in MAIN_TAGS:
+        mark = "+"
+    elif any(group[-1] in OUTSIDE_WORDS for group in own):
+        mark = "~"
+    elif OUTSIDE_WORDS.intersection(words):
+        mark = "^"
     else:
         mark = "+" if MAIN_WORDS.intersection(words) else ""
     return mark + ".".join([name, *dict.fromkeys(words)][:4])
@@ -326,31 +341,58 @@ class Slot(NamedTuple):
     variants: int
 
 
+def _template(slot: Slot) -> bool:
+    return slot.pages >= TEMPLATE_PAGES and slot.variants <= TEMPLATE_VARIANTS * slot.pages
+
+
+def _outside(slots: list[Slot]) -> set[int]:
+    """The slots that tags and names put outside the main text."""
+    every = [slot.path.split("/") for slot in slots]
+    out = {k for k, labels in enumerate(every) if any(label.startswith("-") for label in labels)}
+    # Text of an average page that neither links nor the template make up, by container.
+    held: dict[tuple[str, ...], float] = {}
+    for k, labels in enumerate(every):
+        if k not in out and not _template(slots[k]):
+            for depth in range(len(labels) + 1):
+                container = tuple(labels[:depth])
+                held[container] = held.get(container, 0) + (slots[k].chars - slots[k].link_chars) / slots[k].pages
+    for k, labels in enumerate(every):
+        for depth, label in enumerate(labels):
+            if label[:1] not in ("~", "^"):
+                continue
+            inside = held.get(tuple(labels[: depth + 1]), 0)
+            wide = inside > 0 and inside >= WIDE_SHARE * held[()]
+            article = any(x[:1] == "+" and x[1:].split(".")[0] in MAIN_TAGS for x in labels[depth + 1 :])
+            if not wide or (label[0] == "~" and not article):
+                out.add(k)
+    return out
+
+
 def main_slots(slots: list[Slot]) -> list[int]:
     """Which slots of a stream hold main text."""
     every = range(len(slots))
-    outside = {k for k in every if any(label.startswith("-") for label in slots[k].path.split("/"))}
+    outside = _outside(slots)
     named = [k for k in every if k not in outside and any(label.startswith("+") for label in slots[k].path.split("/"))]
     if named:
         # In a container that says it holds the text, only a group on every page with one text is part of the template.
         fixed = {k for k in named if slots[k].pages >= TEMPLATE_PAGES and slots[k].variants == 1 and not (slots[k].optional or slots[k].repeated)}
         return [k for k in named if k not in fixed] or named
     inside = [k for k in every if k not in outside and slots[k].link_chars <= LINK_SHARE * slots[k].chars]
-    rest = [k for k in inside if slots[k].pages < TEMPLATE_PAGES or slots[k].variants > TEMPLATE_VARIANTS * slots[k].pages]
+    rest = [k for k in inside if not _template(slots[k])]
     if not rest:
         return inside
-    # The deepest container that still holds most of what is left.
-    held: dict[str, int] = {}
+    # The deepest container that still holds most of what is left of an average page.
+    held: dict[str, float] = {}
     for k in rest:
         labels = slots[k].path.split("/")
         for depth in range(len(labels)):
             container = "/".join(labels[:depth])
-            held[container] = held.get(container, 0) + slots[k].chars
+            held[container] = held.get(container, 0) + slots[k].chars / slots[k].pages
     for k in rest:
         if slots[k].path and slots[k].path in held:
-            held[slots[k].path] += slots[k].chars
-    total = sum(slots[k].chars for k in rest)
-    best = min((c for c in held if held[c] >= MAIN_SHARE * total), key=lambda c: (-len(c), c), default="")
+            held[slots[k].path] += slots[k].chars / slots[k].pages
+    most = MAIN_SHARE * sum(slots[k].chars / slots[k].pages for k in rest)
+    best = min((c for c in held if not c or held[c] >= most), key=lambda c: (-len(c), c))
     return [k for k in rest if slots[k].path == best or slots[k].path.startswith(best + "/") or not best]
 
 

@@ -177,6 +177,35 @@ def test_many_streams_of_a_host_are_aligned_in_parts(spark, monkeypatch):
     assert all(out[i] == "\n\n".join(f"t{i} {k}\n\nw{i} {k}" for k in range(4)) for i in range(16))
 
 
+def test_templates_of_a_host_are_judged_apart(spark):
+    """Some pages have an <article>, the others of the host none."""
+    rows = [(i, "http://t.example/", f"<body><article><p>news {i} {'w ' * 20}</p></article></body>") for i in range(6)]
+    rows += [(6 + i, "http://t.example/", f"<body><div class=txt><p>plain {i} {'w ' * 20}</p><p>b {i}</p></div></body>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    out = {r.page_id: r.text for r in html.main_text(pages).collect()}
+    words = " ".join(["w"] * 20)
+    assert out[2] == f"news 2 {words}" and out[8] == f"plain 2 {words}\n\nb 2"
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        "<body class='sidebar-right'><article>{0}</article>",
+        "<html class='no-js overlay'><body class='nav sidebar'><div class='txt'>{0}</div>",
+        "<body><div class='layout header-fixed'><article>{0}</article></div>",
+        "<body><div class='layout sidebar'><main>{0}</main></div>",
+        "<body><div class='layout header-fixed'><div class='txt'>{0}</div></div>",
+        "<body><article class='post comments-open category-ads'>{0}</article>",
+    ],
+)
+def test_class_words_of_a_frame_do_not_drop_its_text(frame):
+    out = "<div class='sidebar'><article><p>older news</p></article></div><div class='site-footer'><p>legal words</p></div>"
+    talk = "<div class='comments'><p>" + "nice " * 100 + "</p></div><div class='nav-links'><p>further</p></div>"
+    found = html.blocks(frame.format("<p>text " + "w " * 30 + "</p><p>end</p>") + out + talk)
+    slots = [html.Slot(b.path, False, False, 1, len(b.text), b.link_chars, 1) for b in found]
+    assert [found[k].text for k in html.main_slots(slots)] == ["text " + " ".join(["w"] * 30), "end"]
+
+
 def test_op1_reads_articles(spark):
     rows = {r.page_id: r for r in QUERIES["op1_html"](spark, SF).collect()}
     for page in spark.read.parquet(f"{SF}/pages.parquet").collect():
