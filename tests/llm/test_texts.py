@@ -59,6 +59,44 @@ def test_op9_whole_table(spark):
             assert old not in r.text
 
 
+def test_entities_in_other_forms_and_side_by_side(spark):
+    cases = {
+        'TOKEN = "9233A8ECF1": "Api_Key": "zz81kk22mm"': ("9233A8ECF1", "zz81kk22mm"),
+        "+1 (826) 555-4081 190.137.223.204 end": ("555-4081", "190.137", "223.204"),
+        "+1 (826) 555-4081 4111 1111 1111 1111 and +1 (826) 555-4082 123-45-6789": ("4111", "1111", "4082", "123-45", "6789"),
+        "DE89 3704 0044 0532 0130 00 and GB82 WEST 1234 5698 7654 32.": ("3704", "0532", "0130", "WEST", "5698"),
+        "2001:db8:85a3::8a2e:370:7334 or 2001:0db8:0000:0000:0000:ff00:0042:8329": ("85a3", "8a2e", "7334", "ff00", "8329"),
+        "3782 822463 10005 or 3056-930902-5904": ("822463", "10005", "930902"),
+        "Dr. Eva Stone": ("Eva", "Stone"),
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id int, text string")
+    out = {r.doc_id: r.text for r in pii.replace_entities(rows).collect()}
+    for i, (text, old) in enumerate(cases.items()):
+        assert len(out[i]) == len(text) or i in (1, 6)
+        assert not [o for o in old if o in out[i]], out[i]
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} (?:\d{1,3}\.){3}\d{1,3} end", out[1])
+    assert re.fullmatch(r"DE\d\d(?: \d{4}){4} \d\d and GB\d\d [A-Z]{4}(?: \d{4}){3} \d\d\.", out[3])
+    assert re.fullmatch(r"[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}::[0-9a-f:]+ or (?:[0-9a-f]{4}:){7}[0-9a-f]{4}", out[4])
+    kept = ["BE68 5390 0754 7034 THIS IS IT", "std::face a::b 12:30:45 C::D", "call +49 30 12.34.56.78 now"]
+    rows = spark.createDataFrame(list(enumerate(kept)), "doc_id int, text string")
+    out = {r.doc_id: r.text for r in pii.replace_entities(rows).collect()}
+    assert out[0].endswith(" THIS IS IT") and out[1] == kept[1] and re.fullmatch(r"call \+49 \d\d \d\d\.\d\d\.\d\d\.\d\d now", out[2])
+
+
+def test_no_planted_value_survives(spark):
+    """Over whole documents, in any case and next to another entity."""
+    planted = r"(?i)(?:password|passwd|token|secret|api_?key)[\"']? {0,2}[=:] {0,2}[\"']?[0-9a-z_+/\-]{8,}|\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])"
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where(F.col("text").rlike(planted)).localCheckpoint()
+    out = {r.doc_id: r.text for r in pii.replace_entities(docs).collect()}
+    values = 0
+    for r in docs.collect():
+        for found in re.finditer(planted, r.text):
+            value = re.split(r"[=:] {0,2}[\"']?", found[0], maxsplit=1)[-1]
+            values += 1
+            assert value not in out[r.doc_id], (r.doc_id, found[0])
+    assert values > 300
+
+
 def brute_segments(hits, cost, n):
     """All maximal segments by their recursive definition: the best one, then what lies beside it."""
     scores = [-cost] * n
