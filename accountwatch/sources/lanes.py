@@ -5,7 +5,8 @@ A stream may deliver a batch twice. Each batch therefore owns the folder
 again. Either way a reader keeps the newest row of each row key.
 
 ``fold_batches`` keeps a lane cheap to read: it puts the current rows of all batches but
-the newest into one table by day. Readers then scan that table and the later batches.
+the newest of each run into one table by day. Readers then scan that table and the later
+batches of each run. Several runs may write a lane at a time.
 """
 
 from __future__ import annotations
@@ -105,30 +106,36 @@ def _day(lane: Lane) -> Column:
     return F.to_date(F.timestamp_seconds(lane.time) if lane.count is None else F.col(lane.time))
 
 
-def _last_fold(spark: SparkSession, root: str, lane: Lane) -> Row | None:
-    """Folder and last batch of the newest complete fold of a lane."""
+def _last_fold(spark: SparkSession, root: str, lane: Lane) -> list[Row]:
+    """The newest complete fold of a lane: its folder, with the last folded batch of each run."""
     try:
         folds = spark.read.schema("base string, run_id string, batch_id long").parquet(f"{root}/{lane.name}-folds")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return folds.orderBy(F.desc("run_id"), F.desc("batch_id")).first()
+        return []
+    newest = folds.agg(F.max("base")).first()[0]
+    return folds.where(F.col("base") == newest).collect()
 
 
-def _stored_since(spark: SparkSession, root: str, lane: Lane, fold: Row | None, since: str | None) -> tuple[DataFrame | None, DataFrame]:
+def _up_to(marks: dict[str, int]) -> Column:
+    """Whether a batch is not above its own run's mark; a run without a mark has no such batch."""
+    by_run = F.create_map(*[F.lit(x) for mark in marks.items() for x in mark])
+    return F.coalesce(F.col("batch_id") <= F.try_element_at(by_run, F.col("run_id")), F.lit(False))
+
+
+def _stored_since(spark: SparkSession, root: str, lane: Lane, fold: list[Row], since: str | None) -> tuple[DataFrame | None, DataFrame]:
     """The folded rows, if any, and the batches after them, both with their tags."""
     batches = spark.read.option("basePath", f"{root}/{lane.name}").parquet(f"{root}/{lane.name}")
     batches = batches.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("long")})
     if since is not None:
         batches = batches.where(_day(lane) >= F.lit(since).cast("date"))
-    if fold is None:
+    if not fold:
         return None, batches
-    later = (F.col("run_id") > fold.run_id) | ((F.col("run_id") == fold.run_id) & (F.col("batch_id") > fold.batch_id))
-    folded = spark.read.parquet(f"{root}/{lane.name}-bases/{fold.base}")
+    folded = spark.read.parquet(f"{root}/{lane.name}-bases/{fold[0].base}")
     if since is not None:
         folded = folded.where(F.col("day").cast("date") >= F.lit(since).cast("date"))
-    return folded.drop("day"), batches.where(later)
+    return folded.drop("day"), batches.where(~_up_to({mark.run_id: mark.batch_id for mark in fold}))
 
 
 def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = None, since: str | None = None) -> DataFrame:
@@ -146,24 +153,25 @@ def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = N
 
 
 def fold_batches(spark: SparkSession, root: str, lane: Lane) -> None:
-    """Put the current rows of all batches but the newest into one table by day, for ``read_lane``.
+    """Put the current rows of all batches but the newest of each run into one table by day, for ``read_lane``.
 
-    The newest batch stays out, since it may still be written or delivered again. The new
-    table counts once its mark is stored; a fold that breaks off before leaves the lane as
-    it was. One fold of a lane runs at a time. Folded batches are no longer read.
+    The newest batch of a run stays out, since it may still be written or delivered again.
+    The new table counts once its marks are stored; a fold that breaks off before leaves
+    the lane as it was. One fold of a lane runs at a time. Folded batches are no longer read.
     """
-    folded, batches = _stored_since(spark, root, lane, _last_fold(spark, root, lane), None)
-    tags = batches.select(*_TAGS).distinct()
-    last = tags.orderBy(*(F.desc(c) for c in _TAGS)).offset(1).first()
-    if last is None:
+    fold = _last_fold(spark, root, lane)
+    folded, batches = _stored_since(spark, root, lane, fold, None)
+    last_but_one = F.try_element_at(F.array_sort(F.collect_set("batch_id")), F.lit(-2))
+    marks = {r.run_id: r.batch_id for r in batches.groupBy("run_id").agg(last_but_one.alias("batch_id")).dropna().collect()}
+    if not marks:
         return
-    newest = (F.col("run_id") > last.run_id) | ((F.col("run_id") == last.run_id) & (F.col("batch_id") > last.batch_id))
-    done = batches.where(~newest)
+    done = batches.where(_up_to(marks))
     rows = _newest_stored(done if folded is None else folded.unionByName(done), lane)
     base = new_run_id()
     _write_by_day(rows, lane, f"{root}/{lane.name}-bases/{base}")
-    mark = spark.range(1).select(F.lit(base).alias("base"), F.lit(last.run_id).alias("run_id"), F.lit(last.batch_id).alias("batch_id"))
-    mark.coalesce(1).write.mode("append").parquet(f"{root}/{lane.name}-folds")
+    marks = {mark.run_id: mark.batch_id for mark in fold} | marks
+    stored = spark.createDataFrame([(base, *mark) for mark in marks.items()], "base string, run_id string, batch_id long")
+    stored.coalesce(1).write.mode("append").parquet(f"{root}/{lane.name}-folds")
 
 
 def read_lane_jdbc(

@@ -158,6 +158,23 @@ def test_folded_batches(spark, tmp_path):
     assert store.read_lane(spark, root, LOOPS).columns == ["account_id", "category", "mrr", "incident_count", "event_summary", "window_start"]
 
 
+def test_folds_of_two_runs_at_a_time(spark, tmp_path):
+    """An older run that goes on writing after a newer one has started is read and folded too."""
+    root, day = str(tmp_path), "2024-01-01"
+    for batch in range(2):
+        written(spark, root, "run-1", batch, [(f"old{batch}", 1, day)])
+        written(spark, root, "run-2", batch, [(f"new{batch}", 1, day)])
+    store.fold_batches(spark, root, LOOPS)
+    written(spark, root, "run-1", 1, [("again", 1, day)])
+    written(spark, root, "run-1", 2, [("late", 1, day)])
+    want = [("again", 1), ("late", 1), ("new0", 1), ("new1", 1), ("old0", 1)]
+    assert counts_in(spark, root) == want, "each run's newest batch may be delivered again, and others follow"
+    written(spark, root, "run-1", 3, [("later", 1, day)])
+    store.fold_batches(spark, root, LOOPS)
+    written(spark, root, "run-0", 0, [("backfill", 1, day)])
+    assert counts_in(spark, root) == sorted([*want, ("later", 1), ("backfill", 1)])
+
+
 def test_folded_batches_are_not_scanned(spark, tmp_path):
     root = str(tmp_path)
     for batch in range(3):
