@@ -46,3 +46,26 @@ ranked as (
     from bare window w as (partition by text_sha256 order by chars desc, doc_id nulls last))
 select doc_id, text_sha256, keep_id, group_size, place = 1 as kept from ranked
 """
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+ORACLE["op12_ranked_search"] = f"""
+with cut as (select row_number() over () as r, doc_id, {_TERMS.format("text")} as t from documents),
+held as (select r, doc_id, len(t)::bigint as n, t from cut where len(t) > 0),
+sizes as (select count(*)::bigint as docs, sum(n)::bigint as terms from held),
+asked as (select item_id, unnest({_TERMS.format("text")}) as term from benchmark),
+needed as (select item_id, term, count(*)::bigint as times from asked group by all),
+tfs as (select r, doc_id, n, term, count(*)::bigint as tf from (select r, doc_id, n, unnest(t) as term from held)
+        where term in (select term from needed) group by all),
+weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from tfs, sizes group by term, docs),
+scores as (
+    select item_id, r, doc_id,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::bigint as score
+    from needed join tfs using (term) join weights using (term), sizes group by item_id, r, doc_id),
+ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+    from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from accountwatch.llm import bpe, exact, html, packing, pii, quality, shards, simhash, token_counts, toxicity
+from accountwatch.llm import bpe, exact, html, packing, pii, quality, search, shards, simhash, token_counts, toxicity
 from accountwatch.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,8 @@ def op9_pii(spark, sf_dir):
 def op10_exact_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("text_sha256", exact.full_hash(exact.normalised("text")))
     return exact.exact_groups(docs, carry=("text_sha256",))
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
