@@ -69,3 +69,29 @@ ranked as (
     from scores where score > 0)
 select item_id, rank, doc_id, score from ranked where rank <= 20
 """
+
+ORACLE["op11_collocations"] = f"""
+with pieces as (select coalesce(lang, 'und') as lang,
+                       unnest(regexp_split_to_array({_LOWER.format("text")}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+cut as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+sizes as (select lang, sum(len(w))::hugeint as n from cut group by lang),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from cut),
+grams as (select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase from starts, range(1, 6) t(m) where i + m - 1 <= len(w)),
+counts as (select lang, m, phrase, count(*)::hugeint as f from grams group by all having count(*) >= 100),
+candidates as (select *, string_split(phrase, ' ') as w from counts where m >= 2),
+inner_parts as (
+    select lang, array_to_string(w[i:i + s - 1], ' ') as phrase, max(f) as most
+    from candidates, range(2, 5) a(s), range(1, 5) b(i) where s < m and i + s - 1 <= m group by all),
+cuts as (
+    select c.lang, c.phrase, c.f as a, x.f as l, y.f as r, n, k, (1000 * c.f * n) // (x.f * y.f) as score
+    from candidates c join sizes using (lang), range(1, 5) t(k)
+    join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:k], ' ')
+    join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[k + 1:], ' ')
+    where k < c.m),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (
+    select l.lang, row_number() over (partition by l.lang order by score desc, a desc, l.phrase) as rank, l.phrase, a, l, r, n, score
+    from lowest l left join inner_parts i on i.lang = l.lang and i.phrase = l.phrase where most is null or most < a)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked where rank <= 2000
+"""

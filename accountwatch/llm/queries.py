@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from accountwatch.llm import bpe, exact, html, packing, pii, quality, search, shards, simhash, token_counts, toxicity
+from accountwatch.llm import bpe, collocations, exact, html, packing, pii, quality, search, shards, simhash, token_counts, toxicity
 from accountwatch.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op10_exact_dedup(spark, sf_dir):
     return exact.exact_groups(docs, carry=("text_sha256",))
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 @query
 def op12_ranked_search(spark, sf_dir):
     return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
