@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from accountwatch.llm import bpe, collocations, exact, html, packing, pii, quality, search, shards, simhash, token_counts, toxicity
+from accountwatch.llm import bpe, collocations, exact, html, lm, packing, pii, quality, search, shards, simhash, token_counts, toxicity
 from accountwatch.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,8 @@ def op11_collocations(spark, sf_dir):
 @query
 def op12_ranked_search(spark, sf_dir):
     return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_lm_scores(spark, sf_dir):
+    return lm.score_documents(table(spark, sf_dir, "documents"), held_out=toxicity.remainder("doc_id") == 1)
