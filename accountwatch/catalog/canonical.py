@@ -85,6 +85,23 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as messages of a topic of three partitions, every eleventh not JSON, with offsets and event time."""
+    events = account_events(spark, sf_dir).withColumn("email", contact_address("account_name"))
+    return events.selectExpr(
+        """cast(if(event_id % 11 = 0, concat('{broken ', event_id), to_json(struct(
+             cast(event_id as string) as event_id, account_id as user_id, account_id, email, mrr, event_type,
+             cast(category as string) as category, event_body, csat_score, timestamp))) as binary) as value""",
+        "'events' as topic",
+        "cast(event_id % 3 as int) as partition",
+        "event_id div 3 as offset",
+    )
+
+
+#: The columns of a topic that the routed stream reads.
+TOPIC = "value binary, topic string, partition int, offset long"
+
+
 def ticket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.ticket_alerts(account_events(spark, sf_dir), CFG).select(
         "event_id", "account_id", "mrr", "category", "event_body", "csat_score", "timestamp", "event_timestamp", "priority_score"

@@ -569,3 +569,48 @@ having count(*) >= 3 and window_start + interval 4 days <= (
   select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000 and event_type = 'error')
 """,
 )
+
+# One stream for all outputs: messages that are not JSON count nowhere but among the rejects.
+
+_READ = """
+, read_events as (select * from account_events where event_id % 11 <> 0),
+read_sliding as (select * from sliding where event_id % 11 <> 0),
+read_loops as (
+  select account_id, category::varchar as category, mrr, count(*) as incident_count,
+    first(event_body order by event_timestamp, event_id::varchar) as event_summary,
+    window_start, window_start + interval 4 days as window_end
+  from (select * replace (date_trunc('second', event_timestamp) as event_timestamp) from read_sliding)
+  where event_type = 'error' and mrr >= 5000 group by window_start, account_id, category, mrr having count(*) >= 3
+),
+read_churn as (
+  select account_id, mrr, count(*) filter (where event_type = 'view') as login_count,
+    count(*) filter (where event_type = 'purchase') as feature_count,
+    window_start, window_start + interval 4 days as window_end
+  from read_sliding where mrr >= 5000 group by window_start, account_id, mrr having login_count >= 2 and feature_count = 0
+)
+"""
+oracle(
+    "routed_messages",
+    """
+select case when event_id % 11 <> 0 then event_id::varchar end as event_id,
+  case when event_id % 11 <> 0 then account_id end as account_id, case when event_id % 11 <> 0 then mrr end as mrr,
+  case when event_id % 11 <> 0 then event_type end as event_type, case when event_id % 11 <> 0 then category::varchar end as category,
+  case when event_id % 11 <> 0 then csat_score end as csat_score, case when event_id % 11 <> 0 then "timestamp" end as "timestamp",
+  null::varchar as message
+from account_events
+union all
+select null, null, null, null, null, null, null, '{broken ' || event_id from account_events where event_id % 11 = 0
+""",
+)
+oracle(
+    "routed_alerts",
+    _READ
+    + """
+select 'tickets' as lane, account_id, mrr, 1::bigint as number from read_events
+where mrr >= 5000 and csat_score <= 3 and event_type = 'error'
+union all select 'loops', account_id, mrr, incident_count from read_loops
+union all select 'churn', account_id, mrr, login_count from read_churn
+""",
+)
+oracle("routed_loops_after_lost_checkpoint", _READ + "select * from read_loops")
+oracle("routed_churn_after_lost_checkpoint", _READ + "select * from read_churn")

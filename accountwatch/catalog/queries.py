@@ -23,6 +23,7 @@ from accountwatch.sources import events as event_source
 from accountwatch.sources import lanes as lane_store
 from accountwatch.sources import tables
 from accountwatch.streaming import lanes as streaming
+from accountwatch.streaming import router
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -637,3 +638,68 @@ def silent_churners_early_slices(spark, sf_dir):
 def friction_loops_late_rows(spark, sf_dir):
     """The later half of the time span comes first; the earlier one is late for every closed window."""
     return _plain_times(lane_store.read_lane(spark, _run_slices(spark, sf_dir, LOOPS, "append", [1, 0], 2), LOOPS))
+
+
+# One stream for all outputs, and what survives a lost checkpoint
+
+
+def _route(spark: SparkSession, folder: str, root: str, checkpoint: str) -> None:
+    """One run of the routed stream over the topic as far as it has been written."""
+    raw = spark.readStream.schema(data.TOPIC).parquet(folder)
+    streaming.await_lanes({"router": router.start_router(raw, root, checkpoint, CFG, trigger={"availableNow": True})})
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> str:
+    """The whole topic routed in two runs of one checkpoint, half of its offsets in each."""
+    root = shared_folder(spark, "router")
+    messages = data.topic_messages(spark, sf_dir)
+    middle = messages.agg(F.max("offset")).first()[0] // 2
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        messages.where(part).write.mode("append").parquet(f"{root}/topic")
+        _route(spark, f"{root}/topic", root, f"{root}/checkpoint")
+    return root
+
+
+@query
+def routed_messages(spark, sf_dir):
+    """Parsed and rejected messages that one pass over the topic has stored."""
+    root = _routed(spark, sf_dir)
+    events = router.read_log(spark, root).select("event_id", "account_id", "mrr", "event_type", "category", "csat_score", "timestamp", F.lit(None).cast("string").alias("message"))
+    return events.unionByName(router.read_rejects(spark, root), allowMissingColumns=True)
+
+
+@query
+def routed_alerts(spark, sf_dir):
+    """The three lanes of the same pass."""
+    root = _routed(spark, sf_dir)
+    counts = {TICKETS.name: F.lit(1).cast("long"), LOOPS.name: F.col(LOOPS.count), CHURN.name: F.col(CHURN.count)}
+    alerts = [
+        router.read_alerts(spark, root, lane, CFG).select(F.lit(lane.name).alias("lane"), "account_id", "mrr", counts[lane.name].alias("number"))
+        for lane in LANES
+    ]
+    return alerts[0].union(alerts[1]).union(alerts[2])
+
+
+def _after_lost_checkpoint(spark: SparkSession, sf_dir: str, again: bool) -> str:
+    """A run over the first part of the topic; its checkpoint is lost. The next one starts with
+    the rest, or, with ``again``, from the beginning in larger batches that overlap stored ones."""
+    root = shared_folder(spark, "router")
+    messages = data.topic_messages(spark, sf_dir)
+    middle = messages.agg(F.max("offset")).first()[0] // 2
+    messages.where(F.col("offset") <= middle).write.parquet(f"{root}/topic-1")
+    _route(spark, f"{root}/topic-1", root, f"{root}/checkpoint-1")
+    messages.where(F.lit(again) | (F.col("offset") > middle)).write.parquet(f"{root}/topic-2")
+    _route(spark, f"{root}/topic-2", root, f"{root}/checkpoint-2")
+    return root
+
+
+@query
+def routed_loops_after_lost_checkpoint(spark, sf_dir):
+    """Counts that go on from later offsets."""
+    return _plain_times(router.read_alerts(spark, _after_lost_checkpoint(spark, sf_dir, again=False), LOOPS, CFG))
+
+
+@query
+def routed_churn_after_lost_checkpoint(spark, sf_dir):
+    """Counts that go on after a start from the beginning, in which half of the messages are stored already."""
+    return _plain_times(router.read_alerts(spark, _after_lost_checkpoint(spark, sf_dir, again=True), CHURN, CFG))

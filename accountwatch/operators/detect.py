@@ -67,6 +67,26 @@ def ticket_counts(events: DataFrame, cfg: RiskConfig = DEFAULT, summary: str = "
     return _with_bounds(counts, "account_id", "category", "mrr", "incident_count", "event_summary")
 
 
+def added_tickets(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """What some events add to the counts of their windows, with the first text and where it stands in time."""
+    first = F.struct("event_timestamp", "event_id")
+    counts = (
+        events.filter((F.col("event_type") == cfg.ticket_type) & (F.col("mrr") >= cfg.min_mrr))
+        .groupBy(event_window(cfg), "account_id", "category", "mrr")
+        .agg(F.count("*").alias("incident_count"), F.min_by("event_body", first).alias("event_summary"), F.min(first).alias("__first"))
+    )
+    bounded = _with_bounds(counts, "account_id", "category", "mrr", "incident_count", "event_summary", "__first")
+    return bounded.withColumns({"first_at": F.col("__first.event_timestamp"), "first_id": F.col("__first.event_id")}).drop("__first")
+
+
+def summed_tickets(added: DataFrame) -> DataFrame:
+    """``ticket_counts`` from what its parts have added."""
+    return added.groupBy("window_start", "window_end", "account_id", "category", "mrr").agg(
+        F.sum("incident_count").alias("incident_count"),
+        F.min_by("event_summary", F.struct("first_at", "first_id")).alias("event_summary"),
+    ).select("account_id", "category", "mrr", "incident_count", "event_summary", "window_start", "window_end")
+
+
 def friction_loops(events: DataFrame, cfg: RiskConfig = DEFAULT, summary: str = "first") -> DataFrame:
     """The same account reporting the same category again and again."""
     return enough_incidents(ticket_counts(events, cfg, summary), cfg)
@@ -82,6 +102,13 @@ def usage_counts(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     return _with_bounds(counts, "account_id", "mrr", "login_count", "feature_count")
 
 
+def summed_usage(added: DataFrame) -> DataFrame:
+    """``usage_counts`` from what its parts have added; their rows are such counts themselves."""
+    return added.groupBy("window_start", "window_end", "account_id", "mrr").agg(
+        F.sum("login_count").alias("login_count"), F.sum("feature_count").alias("feature_count")
+    ).select("account_id", "mrr", "login_count", "feature_count", "window_start", "window_end")
+
+
 def silent_churners(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Many logins and no feature use within one window."""
     if cfg.min_logins > 0 and not events.isStreaming:

@@ -42,6 +42,16 @@ def parse_events(raw: DataFrame, schema: T.StructType = RAW_EVENT) -> DataFrame:
     return raw.select(F.from_json(_text(), schema).alias("event")).select("event.*")
 
 
+def parsed_once(raw: DataFrame, schema: T.StructType = RAW_EVENT) -> DataFrame:
+    """The columns beside ``value``, the declared fields and, where they could not be read in full, the ``message``."""
+    checked = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT}
+    others = [c for c in raw.columns if c != "value"]
+    parsed = raw.select(*others, _text().alias("__text"), F.from_json(_text(), checked, options).alias("event"))
+    message = F.when(F.col(f"event.{_REJECT}").isNotNull(), F.col("__text")).alias("message")
+    return parsed.select(*others, message, *[F.col(f"event.{name}") for name in schema.names])
+
+
 def rejected_events(raw: DataFrame, schema: T.StructType = RAW_EVENT) -> DataFrame:
     """The messages ``parse_events`` could not read in full, as ``message``."""
     checked = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType())])
