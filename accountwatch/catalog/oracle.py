@@ -614,3 +614,20 @@ union all select 'churn', account_id, mrr, login_count from read_churn
 )
 oracle("routed_loops_after_lost_checkpoint", _READ + "select * from read_loops")
 oracle("routed_churn_after_lost_checkpoint", _READ + "select * from read_churn")
+
+# Late events: after a correction the stream's closed windows are those of the batch.
+
+oracle(
+    "friction_loops_late_events",
+    """
+, middle as (
+  select min(epoch_us(ts)) + (max(epoch_us(ts)) + 1 - min(epoch_us(ts))) // 2 as micros from events
+)
+select account_id, category, mrr, event_timestamp, window_start, window_start + interval 4 days as window_end
+from sliding, middle where event_type = 'error' and mrr >= 5000 and epoch_us(event_timestamp) < middle.micros
+  and window_start + interval 4 days <= (
+    select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000 and event_type = 'error')
+""",
+)
+ORACLE["friction_loops_late_corrected"] = ORACLE["friction_loops_stream"]
+ORACLE["silent_churners_late_corrected"] = ORACLE["silent_churners_stream"]

@@ -23,7 +23,7 @@ from accountwatch.sources import events as event_source
 from accountwatch.sources import lanes as lane_store
 from accountwatch.sources import tables
 from accountwatch.streaming import lanes as streaming
-from accountwatch.streaming import router
+from accountwatch.streaming import late, router
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -602,8 +602,8 @@ def lanes_stream(spark, sf_dir):
     return stored[0].union(stored[1]).union(stored[2])
 
 
-def _run_slices(spark: SparkSession, sf_dir: str, lane: Lane, mode: str, slices: list[int], of: int) -> str:
-    """The events delivered slice by slice of their time span, one start of the stream for each."""
+def _run_slices(spark: SparkSession, sf_dir: str, lane: Lane, mode: str, slices: list[int], of: int, watch: bool = False) -> str:
+    """The events delivered slice by slice of their time span, one start of the stream (and of the watch for late events) for each."""
     root = shared_folder(spark, "stream")
     sink = lane_store.parquet_sink(f"{root}/lanes", lane_store.new_run_id())
     events = data.table(spark, sf_dir, "events")
@@ -617,6 +617,10 @@ def _run_slices(spark: SparkSession, sf_dir: str, lane: Lane, mode: str, slices:
             data.streamed_events(spark, sf_dir, f"{root}/events"), lane, sink, f"{root}/checkpoints", CFG, mode, trigger={"availableNow": True}
         )
         streaming.await_lanes({lane.name: started})
+        if watch:
+            watched = data.streamed_events(spark, sf_dir, f"{root}/events")
+            started = late.start_late_watch(watched, lane, f"{root}/lanes", f"{root}/checkpoints/late", CFG, trigger={"availableNow": True})
+            streaming.await_lanes({lane.name: started})
     return f"{root}/lanes"
 
 
@@ -703,3 +707,32 @@ def routed_loops_after_lost_checkpoint(spark, sf_dir):
 def routed_churn_after_lost_checkpoint(spark, sf_dir):
     """Counts that go on after a start from the beginning, in which half of the messages are stored already."""
     return _plain_times(router.read_alerts(spark, _after_lost_checkpoint(spark, sf_dir, again=True), CHURN, CFG))
+
+
+# Late events, kept and corrected
+
+
+@query
+def friction_loops_late_events(spark, sf_dir):
+    """The events that the stream of ``friction_loops_late_rows`` drops, with the windows they are late for."""
+    path = _run_slices(spark, sf_dir, LOOPS, "append", [1, 0], 2, watch=True)
+    return _plain_times(late.read_late(spark, path, LOOPS).where("certain").drop("certain"))
+
+
+def _corrected(spark: SparkSession, sf_dir: str, lane: Lane) -> DataFrame:
+    path = _run_slices(spark, sf_dir, lane, "append", [1, 0], 2, watch=True)
+    events = data.account_events(spark, sf_dir).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    late.correct_lane(spark, path, lane, events, CFG)
+    return _plain_times(streaming.read_early_lane(spark, path, lane, CFG))
+
+
+@query
+def friction_loops_late_corrected(spark, sf_dir):
+    """The same stream, and the windows of its late events counted again."""
+    return _corrected(spark, sf_dir, LOOPS)
+
+
+@query
+def silent_churners_late_corrected(spark, sf_dir):
+    """Late logins add alerts and late feature uses take them back."""
+    return _corrected(spark, sf_dir, CHURN)

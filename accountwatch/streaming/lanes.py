@@ -23,16 +23,19 @@ _COUNTED = {LOOPS.name: detect.ticket_counts, CHURN.name: detect.usage_counts}
 _THRESHOLD = {LOOPS.name: detect.enough_incidents, CHURN.name: detect.no_feature_use}
 
 
+def qualifying(events: DataFrame, cfg: RiskConfig, lane: Lane) -> DataFrame:
+    """The events that can count in a lane and that move its watermark."""
+    events = events.filter(F.col("mrr") >= cfg.min_mrr)
+    return events.filter(F.col("event_type") == cfg.ticket_type) if lane is LOOPS else events
+
+
 def watermarked(events: DataFrame, cfg: RiskConfig, lane: Lane) -> DataFrame:
     """Event time with a watermark that only the lane's qualifying events move.
 
     Spark pushes these filters below the watermark anyway; stating them here
     makes the lateness rule independent of the optimizer.
     """
-    qualifying = events.filter(F.col("mrr") >= cfg.min_mrr)
-    if lane is LOOPS:
-        qualifying = qualifying.filter(F.col("event_type") == cfg.ticket_type)
-    return qualifying.withWatermark("event_timestamp", cfg.watermark)
+    return qualifying(events, cfg, lane).withWatermark("event_timestamp", cfg.watermark)
 
 
 def lane_stream(events: DataFrame, lane: Lane, cfg: RiskConfig = DEFAULT, mode: str = "append") -> DataFrame:

@@ -13,6 +13,7 @@ from accountwatch.operators import detect
 from accountwatch.sources import lanes as store
 from accountwatch.sources.events import parse_events, read_event_files
 from accountwatch.streaming import lanes as streaming
+from accountwatch.streaming import late
 from accountwatch.streaming.__main__ import arguments, main
 
 _IDS = itertools.count()
@@ -179,3 +180,52 @@ def test_command_line(spark, topic):
     assert store.read_lane(spark, topic.lanes, LOOPS).count() == 2
     with pytest.raises(SystemExit):
         arguments(["--topic", "events", "--console", "--checkpoints", "x"])
+
+
+def watched(spark, topic, lane, mode="append"):
+    topic.run(spark, lane, mode)
+    query = late.start_late_watch(topic.stream(spark), lane, topic.lanes, f"{topic.checkpoints}/late", trigger={"availableNow": True})
+    streaming.await_lanes({"late": query})
+
+
+def test_late_rows_are_kept_and_corrected(spark, topic):
+    """Late logins complete a window, a late feature use takes another one's alert back, the rest stays."""
+    topic.send(logins_at(5, 6, 7, 8, 9) + logins_at(5, 6, 7, account_id="Quiet") + logins_at(5, 6, 7, 8, 9, account_id="Left"))
+    topic.send(logins_at(600))
+    topic.send(logins_at(601))
+    topic.send(tickets_at(10, event_type="feature_access") + logins_at(10, 11, account_id="Quiet"))
+    topic.send(logins_at(1200))
+    watched(spark, topic, CHURN)
+    found = late.read_late(spark, topic.lanes, CHURN)
+    assert sorted(r.account_id for r in found.where("certain").collect()) == ["Acme"] * 2 + ["Quiet"] * 4
+    stream = {r.account_id for r in streaming.read_early_lane(spark, topic.lanes, CHURN).collect()}
+    assert stream == {"Acme", "Left"}
+    late.correct_lane(spark, topic.lanes, CHURN, topic.batch(spark))
+    closed = f"window_end <= timestamp_seconds({T0 + 1200 - 60})"
+    want = rows(detect.silent_churners(topic.batch(spark)).filter(closed))
+    assert rows(streaming.read_early_lane(spark, topic.lanes, CHURN)) == want
+    assert {row[0] for row in want} == {"Left", "Quiet"}
+
+
+def test_a_watch_goes_on_over_restarts(spark, topic):
+    """The clock is stored: after a restart, earlier events are late at once, also without a checkpoint."""
+    topic.send(tickets_at(600))
+    watched(spark, topic, LOOPS)
+    assert late.read_late(spark, topic.lanes, LOOPS).count() == 0
+    topic.checkpoints += "-new"
+    topic.send(tickets_at(5, 6, 7, category=None) + tickets_at(599))
+    watched(spark, topic, LOOPS)
+    found = late.read_late(spark, topic.lanes, LOOPS)
+    assert found.where("certain").count() == 6 and found.where("category is null").count() == 6
+    late.correct_lane(spark, topic.lanes, LOOPS, topic.batch(spark))
+    early = streaming.read_early_lane(spark, topic.lanes, LOOPS)
+    assert rows(early) == rows(detect.friction_loops(topic.batch(spark))) and early.count() == 2
+
+
+def test_nothing_late_corrects_nothing(spark, topic):
+    topic.send(tickets_at(5, 6, 7))
+    topic.send(CLOSER)
+    watched(spark, topic, LOOPS)
+    before = rows(streaming.read_early_lane(spark, topic.lanes, LOOPS))
+    late.correct_lane(spark, topic.lanes, LOOPS, topic.batch(spark))
+    assert rows(streaming.read_early_lane(spark, topic.lanes, LOOPS)) == before
