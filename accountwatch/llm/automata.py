@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import zstandard
@@ -17,65 +18,96 @@ Phrase = tuple[bytes, ...]
 
 
 class CountTransducer:
-    """From phrases to counts. ``states`` are (final, arcs), an arc is (word, state); the last state is the root."""
+    """From phrases to counts.
 
-    def __init__(self, states: list[tuple[bool, tuple[tuple[bytes, int], ...]]], weights: list[int]):
+    ``words`` are the labels in ascending order; ``states`` are (final, arcs), an arc is
+    (number of a word, state); the last state is the root.
+    """
+
+    def __init__(self, words: list[bytes], states: list[tuple[bool, tuple[tuple[int, int], ...]]], weights: list[int]):
+        self.words = words
         self.states = states
         self.weights = weights
-        self.behind: list[int] = []
-        for final, arcs in states:
-            self.behind.append(final + sum(self.behind[state] for _, state in arcs))
 
     @classmethod
     def build(cls, entries: Iterable[tuple[Phrase, int]]) -> CountTransducer:
-        """From distinct phrases in ascending order: what no later phrase can change is minimised at once."""
-        known: dict[tuple, int] = {}
-        states: list[tuple] = []
-        weights: list[int] = []
-        path: list[tuple[list[bool], list]] = [([False], [])]
-        last: Phrase = ()
-
-        def freeze(final: bool, arcs: list) -> int:
-            state = (final, tuple(arcs))
-            number = known.setdefault(state, len(states))
-            if number == len(states):
-                states.append(state)
-            return number
-
-        def close(depth: int) -> None:
-            while len(path) > depth + 1:
-                (final,), arcs = path.pop()
-                path[-1][1].append((last[len(path) - 1], freeze(final, arcs)))
-
+        """From distinct phrases in ascending order."""
+        phrases, weights = [], []
         for phrase, weight in entries:
-            common = 0
-            for a, b in zip(phrase, last, strict=False):
-                if a != b:
-                    break
-                common += 1
-            close(common)
-            path.extend(([False], []) for _ in phrase[common:])
-            path[-1][0][0] = True
+            phrases.append(phrase)
             weights.append(weight)
-            last = phrase
+        words = sorted(set().union(*phrases))
+        number = {word: i for i, word in enumerate(words)}
+        width = max(map(len, phrases), default=0)
+        rows = np.full((len(phrases), width), -1, dtype=np.int64)
+        for i, phrase in enumerate(phrases):
+            rows[i, : len(phrase)] = [number[word] for word in phrase]
+        return cls.from_rows(words, rows, weights)
+
+    @classmethod
+    def from_rows(cls, words: list[bytes], rows: np.ndarray, weights: list[int]) -> CountTransducer:
+        """From distinct phrases in ascending order, as rows of word numbers with -1 behind their ends.
+
+        What no later phrase can change is minimised at once: only the states on the last
+        phrase's path are still open.
+        """
+        width = rows.shape[1]
+        lengths = (rows >= 0).sum(axis=1).tolist()
+        same = np.zeros(rows.shape, dtype=bool)
+        same[1:] = (rows[1:] == rows[:-1]) & (rows[1:] >= 0)
+        shared = np.cumprod(same, axis=1).sum(axis=1).tolist()
+        leaf = (True, ())
+        states: list[tuple] = [leaf]
+        known = {leaf: 0}
+        arcs: list[list] = [[] for _ in range(width + 1)]
+        final = [False] * (width + 1)
+        depth, last = 0, []
+
+        def close(down_to: int) -> None:
+            nonlocal depth
+            while depth > down_to:
+                number = 0
+                if arcs[depth]:
+                    state = (final[depth], tuple(arcs[depth]))
+                    number = known.setdefault(state, len(states))
+                    if number == len(states):
+                        states.append(state)
+                    arcs[depth] = []
+                final[depth] = False
+                depth -= 1
+                arcs[depth].append((last[depth], number))
+
+        for row, length, common in zip(rows.tolist(), lengths, shared, strict=True):
+            if depth > common:
+                close(common)
+            last, depth = row, length
+            final[length] = True
         close(0)
         # The root is a state of its own, even where another one equals it, and stands last.
-        states.append((path[0][0][0], tuple(path[0][1])))
-        return cls(states, weights)
+        states.append((final[0], tuple(arcs[0])))
+        return cls(words, states, weights)
+
+    @cached_property
+    def behind(self) -> list[int]:
+        """How many phrases each state accepts."""
+        many: list[int] = []
+        for final, arcs in self.states:
+            many.append(final + sum(many[state] for _, state in arcs))
+        return many
 
     def __len__(self) -> int:
         return len(self.weights)
 
     def items(self) -> Iterator[tuple[Phrase, int]]:
         """Phrases in order with their counts."""
-        weights = iter(self.weights)
+        weights, words = iter(self.weights), self.words
         waiting: list[tuple[Phrase, int]] = [((), len(self.states) - 1)]
         while waiting:
             prefix, state = waiting.pop()
             final, arcs = self.states[state]
             if final:
                 yield prefix, next(weights)
-            waiting.extend(((*prefix, word), target) for word, target in reversed(arcs))
+            waiting.extend([((*prefix, words[word]), target) for word, target in reversed(arcs)])
 
     def compose(self, other: CountTransducer) -> Iterator[tuple[Phrase, int, int]]:
         """The phrases that both accept, with the count of each: one walk over the pairs of states that meet."""
@@ -88,37 +120,34 @@ class CountTransducer:
             there: dict[bytes, tuple[int, int]] = {}
             skip_b += final_b
             for word, target in arcs_b:
-                there[word] = target, skip_b
+                there[other.words[word]] = target, skip_b
                 skip_b += other.behind[target]
             skip_a += final_a
-            for word, target in arcs_a:
+            for number, target in arcs_a:
+                word = self.words[number]
                 if word in there:
                     waiting.append(((*prefix, word), target, skip_a, *there[word]))
                 skip_a += self.behind[target]
 
     def to_bytes(self) -> bytes:
-        words = sorted({word for _, arcs in self.states for word, _ in arcs})
-        number = {word: i for i, word in enumerate(words)}
         arcs = [arc for _, arcs in self.states for arc in arcs]
         stored = (
-            b"\xff".join(words),
+            b"\xff".join(self.words),
             np.array([2 * len(arcs) + final for final, arcs in self.states], dtype="<u4").tobytes(),
-            np.array([number[word] for word, _ in arcs], dtype="<u4").tobytes(),
-            np.array([state for _, state in arcs], dtype="<u4").tobytes(),
+            np.array(arcs, dtype="<u4").tobytes(),
             np.array(self.weights, dtype="<u8").tobytes(),
         )
         return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(stored))
 
     @classmethod
     def from_bytes(cls, stored: bytes) -> CountTransducer:
-        joined, heads, labels, targets, weights = pickle.loads(zstandard.ZstdDecompressor().decompress(stored))
-        words = joined.split(b"\xff")
-        arcs = list(zip((words[i] for i in np.frombuffer(labels, "<u4").tolist()), np.frombuffer(targets, "<u4").tolist(), strict=True))
+        joined, heads, arcs, weights = pickle.loads(zstandard.ZstdDecompressor().decompress(stored))
+        arcs = list(map(tuple, np.frombuffer(arcs, "<u4").reshape(-1, 2).tolist()))
         states, at = [], 0
         for head in np.frombuffer(heads, "<u4").tolist():
             states.append((bool(head & 1), tuple(arcs[at : at + head // 2])))
             at += head // 2
-        return cls(states, np.frombuffer(weights, "<u8").tolist())
+        return cls(joined.split(b"\xff"), states, np.frombuffer(weights, "<u8").tolist())
 
 
 def union(transducers: Iterable[CountTransducer]) -> dict[Phrase, int]:

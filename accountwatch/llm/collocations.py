@@ -44,7 +44,7 @@ SKETCHED = 3
 #: Counters of a row on their way to their sums.
 COUNTER_BLOCK = 1 << 14
 #: Characters of a shard, and words of the corpus for each range.
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 12_000_000
 RANGE_WORDS = 1_000_000
 
 _FACTOR = 0x9E3779B97F4A7C15
@@ -112,30 +112,46 @@ class Shard:
                 keys = keys[:-1] * np.uint64(_FACTOR) + self.hashes[self.ids[length - 1 :]]
             yield begins, keys
 
-    def counted(self, bitmaps: np.ndarray, most: int, ranges: int) -> Iterator[tuple[str, int, Phrase, int]]:
-        """Language, range, phrase and count of what the counters let through."""
+    def counted(self, bitmaps: np.ndarray, most: int, ranges: int) -> Iterator[tuple[str, int, CountTransducer]]:
+        """Language, range and automaton of what the counters let through."""
         shift = np.uint64(65 - bitmaps.shape[1].bit_length())
-        at = np.zeros(0, dtype=np.int64)
-        ordinal = np.zeros(len(self.ids), dtype=np.int64)
         begins = self.ids > 0
+        ordinal = np.zeros(len(self.ids), dtype=np.int64)
+        rows, weights, places = [], [], []
         for length, (_, keys) in enumerate(self.phrases(most), 1):
             if length > 1:
                 begins = begins[:-1] & begins[1:]
             if length <= len(bitmaps):
                 begins = begins & bitmaps[length - 1][keys >> shift]
+            if length <= 2:
+                prefix = keys
             at = np.flatnonzero(begins)
             # A phrase is the number of its beginning without the last word, and that word.
             codes = ordinal[at] * len(self.names) + self.ids[at + length - 1]
             _, first, inverse, many = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-            ordinal = np.zeros(len(self.ids), dtype=np.int64)
             ordinal[at] = inverse
             first = at[first]
-            prefix = keys if length <= 2 else prefix
-            where = (prefix[first] % np.uint64(ranges)).tolist()
-            langs = self.lang[self.ids[first]].tolist()
-            words = self.ids[first[:, None] + np.arange(length)].tolist()
-            for lang, place, row, n in zip(langs, where, words, many.tolist(), strict=True):
-                yield self.langs[lang], place, tuple(map(self.names.__getitem__, row)), n
+            row = np.zeros((len(first), most), dtype=np.int64)
+            row[:, :length] = self.ids[first[:, None] + np.arange(length)]
+            rows.append(row)
+            weights.append(many)
+            places.append((prefix[first] % np.uint64(ranges)).astype(np.int64))
+        ids, weight, place = np.concatenate(rows), np.concatenate(weights), np.concatenate(places)
+        # Words by number in their own order; only those of a phrase are sorted.
+        used = np.flatnonzero(np.bincount(ids.ravel(), minlength=len(self.names)))[1:].tolist()
+        ordered = sorted(used, key=self.names.__getitem__)
+        rank = np.full(len(self.names), -1, dtype=np.int64)
+        rank[ordered] = np.arange(len(ordered))
+        lang, ranked = self.lang[ids[:, 0]], rank[ids]
+        order = np.lexsort((*ranked.T[::-1], place, lang))
+        ranked, weight, place, lang = ranked[order], weight[order], place[order], lang[order]
+        starts = np.flatnonzero(np.r_[True, (np.diff(place) != 0) | (np.diff(lang) != 0)]) if len(order) else np.zeros(0, dtype=np.int64)
+        for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(order)], strict=False):
+            labels, own = np.unique(ranked[begin:end], return_inverse=True)
+            padded = int(labels[0] < 0)
+            words = [self.names[ordered[i]] for i in labels[padded:].tolist()]
+            automaton = CountTransducer.from_rows(words, own.reshape(-1, most) - padded, weight[begin:end].tolist())
+            yield self.langs[lang[begin]], int(place[begin]), automaton
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
@@ -201,9 +217,7 @@ def shard_automata(texts: DataFrame, bitmaps: np.ndarray, most: int, ranges: int
         bits = np.unpackbits(shipped.value, axis=1).astype(bool)
         for shard in _shards(batches):
             rows = [(None, lang, n, None) for lang, n in shard.words_by_lang().items()]
-            held = sorted(shard.counted(bits, most, ranges))
-            for (lang, place), phrases in groupby(held, key=lambda row: row[:2]):
-                rows.append((place, lang, 0, CountTransducer.build(row[2:] for row in phrases).to_bytes()))
+            rows += [(place, lang, 0, automaton.to_bytes()) for lang, place, automaton in shard.counted(bits, most, ranges)]
             yield _batch(rows, _SHARD_KINDS)
 
     return texts.mapInArrow(run, "range int, lang string, words bigint, automaton binary")

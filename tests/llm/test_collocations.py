@@ -11,7 +11,7 @@ from accountwatch.llm import collocations
 from accountwatch.llm.automata import CountTransducer, union
 
 
-def drawn_phrases(seed, count, words=b"abcdef"):
+def drawn_phrases(seed, count, words=b"abcdefghi"):
     rnd = random.Random(seed)
     return {tuple(bytes([rnd.choice(words)]) for _ in range(rnd.randint(1, 4))): rnd.randint(1, 1 << 40) for _ in range(count)}
 
