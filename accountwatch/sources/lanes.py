@@ -5,18 +5,20 @@ A stream may deliver a batch twice. Each batch therefore owns the folder
 again. Either way a reader keeps the newest row of each row key.
 
 ``fold_batches`` keeps a lane cheap to read: it puts the current rows of all batches but
-the newest of each run into one table by day. Readers then scan that table and the later
-batches of each run. Several runs may write a lane at a time.
+the newest of each run into one table by day, of which it rewrites only the days that they
+touch. Readers then scan that table and, by their paths, the later batches of each run;
+the files of folded batches are neither listed nor read. Several runs may write a lane at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountwatch.lanes import Lane
@@ -106,36 +108,82 @@ def _day(lane: Lane) -> Column:
     return F.to_date(F.timestamp_seconds(lane.time) if lane.count is None else F.col(lane.time))
 
 
-def _last_fold(spark: SparkSession, root: str, lane: Lane) -> list[Row]:
-    """The newest complete fold of a lane: its folder, with the last folded batch of each run."""
+#: Spark's folder for rows without a day.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+_FOLDS = "fold string, run_id string, batch_id long, day string, held_by string"
+
+
+@dataclass(frozen=True)
+class Fold:
+    """What is folded: the last batch of each run, and for each day the fold that has last written it."""
+
+    marks: dict[str, int] = field(default_factory=dict)
+    days: dict[str, str] = field(default_factory=dict)
+
+
+def _last_fold(spark: SparkSession, root: str, lane: Lane) -> Fold:
+    """The newest complete fold of a lane."""
     try:
-        folds = spark.read.schema("base string, run_id string, batch_id long").parquet(f"{root}/{lane.name}-folds")
+        folds = spark.read.schema(_FOLDS).parquet(f"{root}/{lane.name}-folds")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return Fold()
+    rows = folds.where(F.col("fold") == folds.agg(F.max("fold")).first()[0]).collect()
+    marks = {r.run_id: r.batch_id for r in rows if r.run_id is not None}
+    return Fold(marks, {r.day: r.held_by for r in rows if r.run_id is None})
+
+
+def _folders(spark: SparkSession, path: str, key: str) -> list[str]:
+    """The values of ``key`` in the names of folders directly below a path. Nothing below them is listed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
         return []
-    newest = folds.agg(F.max("base")).first()[0]
-    return folds.where(F.col("base") == newest).collect()
+    names = (status.getPath().getName() for status in system.listStatus(folder))
+    return sorted(name.removeprefix(f"{key}=") for name in names if name.startswith(f"{key}="))
+
 
+def _batches_after(spark: SparkSession, root: str, lane: Lane, marks: dict[str, int]) -> dict[str, list[int]]:
+    """The batches of each run above its mark; a run without a mark has none folded."""
+    path = f"{root}/{lane.name}"
+    later = {
+        run: sorted(batch for batch in map(int, _folders(spark, f"{path}/run_id={run}", "batch_id")) if batch > marks.get(run, -1))
+        for run in _folders(spark, path, "run_id")
+    }
+    return {run: batches for run, batches in later.items() if batches}
 
-def _up_to(marks: dict[str, int]) -> Column:
-    """Whether a batch is not above its own run's mark; a run without a mark has no such batch."""
-    by_run = F.create_map(*[F.lit(x) for mark in marks.items() for x in mark])
-    return F.coalesce(F.col("batch_id") <= F.try_element_at(by_run, F.col("run_id")), F.lit(False))
 
+def _read_batches(spark: SparkSession, root: str, lane: Lane, batches: dict[str, list[int]]) -> DataFrame:
+    path = f"{root}/{lane.name}"
+    paths = [f"{path}/run_id={run}/batch_id={batch}" for run, ids in batches.items() for batch in ids]
+    rows = spark.read.option("basePath", path).parquet(*paths)
+    return rows.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("long")})
 
-def _stored_since(spark: SparkSession, root: str, lane: Lane, fold: list[Row], since: str | None) -> tuple[DataFrame | None, DataFrame]:
-    """The folded rows, if any, and the batches after them, both with their tags."""
-    batches = spark.read.option("basePath", f"{root}/{lane.name}").parquet(f"{root}/{lane.name}")
-    batches = batches.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("long")})
-    if since is not None:
+
+def _read_days(spark: SparkSession, root: str, lane: Lane, days: dict[str, str]) -> DataFrame | None:
+    """Folded rows of some days, each from the fold that has last written it."""
+    path = f"{root}/{lane.name}-bases"
+    paths = [f"{path}/fold={fold}/day={day}" for day, fold in sorted(days.items())]
+    return spark.read.option("basePath", path).parquet(*paths).drop("fold", "day") if paths else None
+
+
+def _together(parts: list[DataFrame | None]) -> DataFrame | None:
+    parts = [part for part in parts if part is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _stored_since(spark: SparkSession, root: str, lane: Lane, since: str | None) -> DataFrame:
+    """The folded rows and the batches after them, both with their tags."""
+    fold = _last_fold(spark, root, lane)
+    days = {day: held for day, held in fold.days.items() if since is None or (day != _NO_DAY and day >= since)}
+    later = _batches_after(spark, root, lane, fold.marks)
+    if not later and not fold.marks:
+        return spark.read.parquet(f"{root}/{lane.name}")
+    batches = _read_batches(spark, root, lane, later) if later else None
+    if since is not None and batches is not None:
         batches = batches.where(_day(lane) >= F.lit(since).cast("date"))
-    if not fold:
-        return None, batches
-    folded = spark.read.parquet(f"{root}/{lane.name}-bases/{fold[0].base}")
-    if since is not None:
-        folded = folded.where(F.col("day").cast("date") >= F.lit(since).cast("date"))
-    return folded.drop("day"), batches.where(~_up_to({mark.run_id: mark.batch_id for mark in fold}))
+    return _together([_read_days(spark, root, lane, days), batches])
 
 
 def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = None, since: str | None = None) -> DataFrame:
@@ -144,34 +192,38 @@ def read_lane(spark: SparkSession, root: str, lane: Lane, schema: str | None = N
     With a schema, a lane nobody has written yet reads as empty.
     """
     try:
-        folded, batches = _stored_since(spark, root, lane, _last_fold(spark, root, lane), since)
+        stored = _stored_since(spark, root, lane, since)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return newest_rows(batches if folded is None else folded.unionByName(batches), lane)
+    return newest_rows(stored, lane)
 
 
 def fold_batches(spark: SparkSession, root: str, lane: Lane) -> None:
-    """Put the current rows of all batches but the newest of each run into one table by day, for ``read_lane``.
+    """Put the current rows of all batches but the newest of each run into the lane's table by day, for ``read_lane``.
 
-    The newest batch of a run stays out, since it may still be written or delivered again.
-    The new table counts once its marks are stored; a fold that breaks off before leaves
-    the lane as it was. One fold of a lane runs at a time. Folded batches are no longer read.
+    Only days that these batches touch are written again; the others stay with the fold
+    that has written them. The newest batch of a run stays out, since it may still be
+    written or delivered again. A fold counts once its marks are stored; one that breaks
+    off before leaves the lane as it was. One fold of a lane runs at a time.
     """
     fold = _last_fold(spark, root, lane)
-    folded, batches = _stored_since(spark, root, lane, fold, None)
-    last_but_one = F.try_element_at(F.array_sort(F.collect_set("batch_id")), F.lit(-2))
-    marks = {r.run_id: r.batch_id for r in batches.groupBy("run_id").agg(last_but_one.alias("batch_id")).dropna().collect()}
-    if not marks:
+    done = {run: ids[:-1] for run, ids in _batches_after(spark, root, lane, fold.marks).items() if ids[:-1]}
+    if not done:
         return
-    done = batches.where(_up_to(marks))
-    rows = _newest_stored(done if folded is None else folded.unionByName(done), lane)
-    base = new_run_id()
-    _write_by_day(rows, lane, f"{root}/{lane.name}-bases/{base}")
-    marks = {mark.run_id: mark.batch_id for mark in fold} | marks
-    stored = spark.createDataFrame([(base, *mark) for mark in marks.items()], "base string, run_id string, batch_id long")
-    stored.coalesce(1).write.mode("append").parquet(f"{root}/{lane.name}-folds")
+    new = _read_batches(spark, root, lane, done)
+    day = F.coalesce(_day(lane).cast("string"), F.lit(_NO_DAY))
+    touched = {r[0] for r in new.select(day).distinct().collect()}
+    old = _read_days(spark, root, lane, {d: held for d, held in fold.days.items() if d in touched})
+    name = new_run_id()
+    path = f"{root}/{lane.name}-bases/fold={name}"
+    _write_by_day(_newest_stored(_together([old, new]), lane), lane, path)
+    # A row that has moved to another day may leave its old one empty.
+    days = {d: held for d, held in fold.days.items() if d not in touched} | dict.fromkeys(_folders(spark, path, "day"), name)
+    marks = fold.marks | {run: ids[-1] for run, ids in done.items()}
+    rows = [(name, run, batch, None, None) for run, batch in marks.items()] + [(name, None, None, d, held) for d, held in days.items()]
+    spark.createDataFrame(rows, _FOLDS).coalesce(1).write.mode("append").parquet(f"{root}/{lane.name}-folds")
 
 
 def read_lane_jdbc(

@@ -1,7 +1,8 @@
 import json
+import re
 
 import pytest
-from helpers import raw, tickets_at
+from helpers import T0, raw, tickets_at
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -175,19 +176,40 @@ def test_folds_of_two_runs_at_a_time(spark, tmp_path):
     assert counts_in(spark, root) == sorted([*want, ("later", 1), ("backfill", 1)])
 
 
-def test_folded_batches_are_not_scanned(spark, tmp_path):
+def test_a_fold_rewrites_one_day_and_a_read_lists_no_folded_folder(spark, tmp_path):
     root = str(tmp_path)
-    for batch in range(3):
-        written(spark, root, "run-1", batch, [("a", batch, "2024-01-01")])
+    for batch in range(4):
+        written(spark, root, "run-1", batch, [("a", batch, f"2024-01-0{1 + batch}"), (f"b{batch}", 1, "2024-01-09")])
     store.fold_batches(spark, root, LOOPS)
-    for batch in range(2):
-        for file in (tmp_path / f"loops/run_id=run-1/batch_id={batch}").glob("*.parquet"):
-            file.rename(file.with_name(f"_{file.name}"))
-    assert counts_in(spark, root) == [("a", 2)]
-    plan = store.read_lane(spark, root, LOOPS, since="2024-01-01")._jdf.queryExecution().executedPlan().toString()
-    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
-    assert any("batch_id" in f.split("PartitionFilters")[1].split("Pushed")[0] for f in filters)
-    assert any("day" in f.split("PartitionFilters")[1].split("Pushed")[0] for f in filters)
+    (first,) = (tmp_path / "loops-bases").iterdir()
+    assert sorted(p.name for p in first.glob("day=*")) == ["day=2024-01-01", "day=2024-01-02", "day=2024-01-03", "day=2024-01-09"]
+    written(spark, root, "run-1", 4, [("c", 1, "2024-01-05")])
+    store.fold_batches(spark, root, LOOPS)
+    (second,) = set((tmp_path / "loops-bases").iterdir()) - {first}
+    assert sorted(p.name for p in second.glob("day=*")) == ["day=2024-01-04", "day=2024-01-09"], "the days of batch 3"
+    want = [("a", 0), ("a", 1), ("a", 2), ("a", 3), *[(f"b{i}", 1) for i in range(4)], ("c", 1)]
+    assert counts_in(spark, root) == want
+    # Whoever looks into a folded batch, or a day that a later fold has written, fails on these.
+    for folder in [*(tmp_path / f"loops/run_id=run-1/batch_id={i}" for i in range(4)), first / "day=2024-01-09"]:
+        for file in folder.glob("*.parquet"):
+            file.write_bytes(b"not parquet")
+    assert counts_in(spark, root) == want
+    read = store.read_lane(spark, root, LOOPS, since="2024-01-04").inputFiles()
+    assert {re.search(r"(?:day|batch_id)=([^/]+)", f)[1] for f in read} == {"2024-01-04", "2024-01-09", "4"}
+    store.fold_batches(spark, root, LOOPS)
+    assert counts_in(spark, root) == want, "nothing new to fold"
+
+
+def test_a_row_that_moves_to_another_day(spark, tmp_path):
+    """An alert delivered again with another time counts once, by its last delivery."""
+    write = store.parquet_sink(str(tmp_path), "run-1")(TICKETS)
+    for batch, second in enumerate((0, 86_400, 86_401)):
+        write(ticket_alerts(raw(spark, tickets_at(second))), batch)
+    store.fold_batches(spark, str(tmp_path), TICKETS)
+    write(ticket_alerts(raw(spark, tickets_at(172_800))), 3)
+    store.fold_batches(spark, str(tmp_path), TICKETS)
+    rows = store.read_lane(spark, str(tmp_path), TICKETS).collect()
+    assert [r.timestamp for r in rows] == [T0 + 172_800]
 
 
 class Frame:
