@@ -27,6 +27,9 @@ def ticket_alerts(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     return priority_score(low_csat_risk(tickets, cfg), cfg)
 
 
+_LOOP = ("account_id", "category", "mrr")
+
+
 def event_window(cfg: RiskConfig) -> Column:
     if cfg.window_slide is None:
         return F.window("event_timestamp", cfg.window_width)
@@ -49,6 +52,10 @@ def no_feature_use(counts: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     return counts.filter((F.col("login_count") >= cfg.min_logins) & (F.col("feature_count") <= cfg.max_features))
 
 
+def _tickets_of_value(events: DataFrame, cfg: RiskConfig) -> DataFrame:
+    return events.filter((F.col("event_type") == cfg.ticket_type) & (F.col("mrr") >= cfg.min_mrr))
+
+
 def ticket_counts(events: DataFrame, cfg: RiskConfig = DEFAULT, summary: str = "first") -> DataFrame:
     """Tickets per window, account, category and revenue, with the first (or last) text.
 
@@ -56,26 +63,33 @@ def ticket_counts(events: DataFrame, cfg: RiskConfig = DEFAULT, summary: str = "
     tickets sends one row per task and window.
     """
     pick = {"first": F.min_by, "last": F.max_by}[summary]
-    counts = (
-        events.filter((F.col("event_type") == cfg.ticket_type) & (F.col("mrr") >= cfg.min_mrr))
-        .groupBy(event_window(cfg), "account_id", "category", "mrr")
-        .agg(
-            F.count("*").alias("incident_count"),
-            pick("event_body", F.struct("event_timestamp", "event_id")).alias("event_summary"),
-        )
+    counts = _tickets_of_value(events, cfg).groupBy(event_window(cfg), *_LOOP).agg(
+        F.count("*").alias("incident_count"),
+        pick("event_body", F.struct("event_timestamp", "event_id")).alias("event_summary"),
+    )
+    return _with_bounds(counts, *_LOOP, "incident_count", "event_summary")
+
+
+def _with_texts(counts: DataFrame, events: DataFrame, summary: str) -> DataFrame:
+    """The first (or last) text of each window by the time of that event, ``__at``; at one time the event id decides."""
+    pick = {"first": F.min_by, "last": F.max_by}[summary]
+    counts = counts.withColumnsRenamed({c: f"__{c}" for c in _LOOP})
+    same = [events[c].eqNullSafe(counts[f"__{c}"]) for c in _LOOP]
+    found = counts.join(events, [*same, events["event_timestamp"] == counts["__at"]])
+    texts = found.groupBy("window_start", "window_end", *_LOOP, "incident_count").agg(
+        pick("event_body", F.struct("event_id")).alias("event_summary")
     )
-    return _with_bounds(counts, "account_id", "category", "mrr", "incident_count", "event_summary")
+    return texts.select(*_LOOP, "incident_count", "event_summary", "window_start", "window_end")
 
 
 def added_tickets(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """What some events add to the counts of their windows, with the first text and where it stands in time."""
     first = F.struct("event_timestamp", "event_id")
     counts = (
-        events.filter((F.col("event_type") == cfg.ticket_type) & (F.col("mrr") >= cfg.min_mrr))
-        .groupBy(event_window(cfg), "account_id", "category", "mrr")
+        _tickets_of_value(events, cfg).groupBy(event_window(cfg), *_LOOP)
         .agg(F.count("*").alias("incident_count"), F.min_by("event_body", first).alias("event_summary"), F.min(first).alias("__first"))
-    )
-    bounded = _with_bounds(counts, "account_id", "category", "mrr", "incident_count", "event_summary", "__first")
+    )
+    bounded = _with_bounds(counts, *_LOOP, "incident_count", "event_summary", "__first")
     return bounded.withColumns({"first_at": F.col("__first.event_timestamp"), "first_id": F.col("__first.event_id")}).drop("__first")
 
 
@@ -88,8 +102,19 @@ def summed_tickets(added: DataFrame) -> DataFrame:
 
 
 def friction_loops(events: DataFrame, cfg: RiskConfig = DEFAULT, summary: str = "first") -> DataFrame:
-    """The same account reporting the same category again and again."""
-    return enough_incidents(ticket_counts(events, cfg, summary), cfg)
+    """The same account reporting the same category again and again.
+
+    In batch no text is shuffled or sorted to be counted: windows are counted with the
+    time of the text they will show, those below the bound go, and only then are the texts
+    of the others fetched. A stream has one pass and carries the texts along.
+    """
+    if events.isStreaming:
+        return enough_incidents(ticket_counts(events, cfg, summary), cfg)
+    tickets = _tickets_of_value(events, cfg)
+    at = {"first": F.min, "last": F.max}[summary]("event_timestamp").alias("__at")
+    counts = tickets.groupBy(event_window(cfg), *_LOOP).agg(F.count("*").alias("incident_count"), at)
+    loops = enough_incidents(_with_bounds(counts, *_LOOP, "incident_count", "__at"), cfg)
+    return _with_texts(loops, tickets.select(*_LOOP, "event_timestamp", "event_id", "event_body"), summary)
 
 
 def usage_counts(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:

@@ -5,7 +5,7 @@ from helpers import T0, events, logins_at, raw, tickets_at
 from pyspark.sql import functions as F
 
 from accountwatch import RiskConfig
-from accountwatch.config import LOW_CSAT
+from accountwatch.config import DEFAULT, LOW_CSAT
 from accountwatch.operators import detect
 
 MINUTE = timedelta(minutes=1)
@@ -143,3 +143,15 @@ def test_empty_input(spark):
     e = events(spark, [])
     for found in (detect.ticket_alerts(e), detect.friction_loops(e), detect.silent_churners(e)):
         assert found.count() == 0
+
+
+def test_summary_of_ties_and_missing_values(spark):
+    """Equal times go by event id; a missing category or text is a value like any other."""
+    rows = tickets_at(5, 5, 6, 7, category=None)
+    rows = [{**row, "event_id": f"e-{9 - i}", "event_body": None if i == 1 else f"text {i}"} for i, row in enumerate(rows)]
+    frame = events(spark, rows)
+    for summary, body in (("first", None), ("last", "text 3")):
+        fetched = detect.friction_loops(frame, DEFAULT, summary)
+        carried = detect.enough_incidents(detect.ticket_counts(frame, DEFAULT, summary), DEFAULT)
+        assert sorted(map(repr, fetched.collect())) == sorted(map(repr, carried.select(*fetched.columns).collect()))
+        assert {r.event_summary for r in fetched.collect()} == {body} and fetched.count() == 2

@@ -117,3 +117,17 @@ def test_hot_account_results_are_whole(spark):
     loops = detect.ticket_counts(detect.with_event_time(rows))
     assert loops.agg(F.sum("incident_count")).first()[0] == 2 * n
     assert LOOPS.count in loops.columns
+
+
+@pytest.mark.parametrize("name", ["friction_loops", "friction_loops_last_report", "friction_loops_tumbling"])
+def test_texts_are_fetched_after_the_count(spark, no_broadcast, name):
+    """Raw rows are counted by hash without their texts; only what is left of them is sorted."""
+    frame = QUERIES[name](spark, SF_DIR)
+    lines = plan(frame).splitlines()
+    aggregates = [line for line in lines if "Aggregate" in line]
+    texts = [line for line in aggregates if "event_body" in line]
+    assert sum("HashAggregate" in line and "count(1)" in line for line in aggregates) == 2
+    assert texts and not any("count(1)" in line for line in texts)
+    counted = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "partial_count" in line)
+    scan = next(line for line in lines[counted:] if "FileScan" in line and "event_type" in line)
+    assert all("SortAggregate" not in line or i < counted for i, line in enumerate(lines)) and scan
