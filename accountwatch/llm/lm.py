@@ -45,8 +45,8 @@ from accountwatch.session import shared_folder
 #: Counts that are discounted.
 DISCOUNTED = 5
 #: Characters of texts taken together, and characters of the corpus for each part of a table.
-SHARD_CHARS = 8_000_000
-PART_CHARS = 16_000_000
+SHARD_CHARS = 5_000_000
+PART_CHARS = 8_000_000
 #: A word is common if it is one in so many of all training tokens; so there are no more such words.
 COMMON = 400
 
@@ -117,13 +117,14 @@ class Shard:
         for text in texts:
             found = words(text, PLAIN)
             found.append(EDGE)
-            rows.append(np.fromiter(map(numbers.__getitem__, found), dtype=np.int64, count=len(found)))
+            rows.append(np.fromiter(map(numbers.__getitem__, found), dtype=np.int32, count=len(found)))
         self.names = list(numbers)
         self.lengths = np.array([len(row) for row in rows], dtype=np.int64)
         self.second = np.concatenate(rows)
         # A text ends where the next one begins, and both are the edge.
-        self.first = np.r_[0, self.second[:-1]]
-        self.doc = np.repeat(np.arange(len(texts)), self.lengths)
+        self.first = np.zeros_like(self.second)
+        self.first[1:] = self.second[:-1]
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.lengths)
         self.train = train
         self.crc = np.fromiter(map(zlib.crc32, self.names), dtype=np.int64, count=len(self.names))
 
@@ -245,10 +246,11 @@ def placed_pairs(texts: DataFrame, common: dict[bytes, int], parts: int) -> Data
             place = (shard.crc[shard.first] + np.where(spread[shard.first], stirred[shard.second], 0)) % parts
             size = len(shard.names)
             order = np.argsort((place * size + shard.first) * size + shard.second, kind="stable")
+            place = place[order]
             first, second, doc = shard.first[order], shard.second[order], shard.doc[order]
-            at = np.flatnonzero(np.r_[True, np.diff(place[order]) > 0])
+            at = np.flatnonzero(np.r_[True, np.diff(place) > 0])
             for begin, end in zip(at.tolist(), [*at[1:].tolist(), len(order)], strict=True):
-                rows.append((int(place[order[begin]]), name, _runs(shard, first[begin:end], second[begin:end], doc[begin:end])))
+                rows.append((int(place[begin]), name, _runs(shard, first[begin:end], second[begin:end], doc[begin:end])))
             for row in rows:
                 yield _batch([row], schema)
 
