@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from typing import NamedTuple
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountwatch.llm.chunks import ChunkEncoder, slices
+from accountwatch.llm.chunks import ChunkEncoder, text_batches
 from accountwatch.llm.text import whole
 
 #: Bytes of distinct words that are replayed together.
@@ -91,20 +91,21 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.wide = 1 << (max(ranks.values()) + 1).bit_length()
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        #: Every pair that has a merge: all the ways to cut a token into two others.
         self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left * self.wide + right] = rank
+        self.pair_codes = np.array(sorted(self.pairs), dtype=np.int64)
+        self.pair_merges = np.array([self.pairs[code] for code in self.pair_codes.tolist()], dtype=np.int64)
 
     def pair_rank(self, pair: int) -> int:
         """The merge of a pair of ids, -1 for none."""
-        rank = self.pairs.get(pair)
-        if rank is None:
-            rank = self.ranks.get(self.tokens[pair // self.wide] + self.tokens[pair % self.wide], -1)
-            if len(self.pairs) > 4_000_000:
-                self.pairs.clear()
-            self.pairs[pair] = rank
-        return rank
+        return self.pairs.get(pair, -1)
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         if sum(map(len, words)) < SHORT_PART and all(len(word) <= SHORT_WORD for word in words):
@@ -161,9 +162,12 @@ class MergeReplay:
 
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The merge of each pair, -1 for none; looked up once for each distinct pair."""
-        distinct, which = np.unique(left.astype(np.int64) * self.wide + right, return_inverse=True)
-        return np.fromiter(map(self.pair_rank, distinct.tolist()), dtype=np.int64, count=len(distinct))[which]
+        """The merge of each pair, -1 for none."""
+        if not len(self.pair_codes):
+            return np.full(len(left), -1, dtype=np.int64)
+        codes = left.astype(np.int64) * self.wide + right
+        at = np.minimum(np.searchsorted(self.pair_codes, codes), len(self.pair_codes) - 1)
+        return np.where(self.pair_codes[at] == codes, self.pair_merges[at], -1)
 
     def _merge_all(self, s: _State, index: _Index, rank: int, spots: np.ndarray) -> bool:
         """Applies a merge to all its places at once.
@@ -266,17 +270,34 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker_bpe(path, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for begin, end in slices(texts):
-                ids = bpe.encode(texts[begin:end])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(ids, pa.binary())], names=[id_col, "ids"]
-                )
+            for begin, texts in text_batches(batch.column(1)):
+                ids = pa.array(bpe.encode(texts), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), ids], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, whole(text).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
 
 
+_DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def _digests(bpe: Bpe, encoded: Iterable[bytes]) -> list[pa.Array]:
+    """Number of ids, the digest of the ids and that of the bytes they decode to."""
+    counts, ids_hash, decoded_hash = [], [], []
+    for ids in encoded:
+        digest = hashlib.sha256()
+        for part in bpe.decode(ids):
+            digest.update(part)
+        counts.append(len(ids) // 4)
+        ids_hash.append(hashlib.sha256(ids).hexdigest())
+        decoded_hash.append(digest.hexdigest())
+    return [pa.array(counts, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(decoded_hash, pa.string())]
+
+
+def _digest_schema(kind: str, id_col: str) -> str:
+    return f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
 def decode_documents(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids: str = "ids") -> DataFrame:
     """id, ``n_tokens`` and the digests of the ids and of the bytes they decode to.
 
@@ -287,20 +308,22 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker_bpe(path, pattern)
         for batch in batches:
-            counts, encoded_hash, decoded_hash = [], [], []
-            for value in batch.column(1):
-                value = value.as_py() or b""
-                digest = hashlib.sha256()
-                for part in bpe.decode(value):
-                    digest.update(part)
-                counts.append(len(value) // 4)
-                encoded_hash.append(hashlib.sha256(value).hexdigest())
-                decoded_hash.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded_hash, pa.string()), pa.array(decoded_hash, pa.string())],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            digests = _digests(bpe, (value.as_py() or b"" for value in batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *digests], names=[id_col, *_DIGESTS])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return encoded.select(id_col, F.col(ids)).mapInArrow(run, schema)
+    return encoded.select(id_col, F.col(ids)).mapInArrow(run, _digest_schema(kind, id_col))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``decode_documents`` gives for ``encode_documents``, in one pass and one worker a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = worker_bpe(path, pattern)
+        for batch in batches:
+            for begin, texts in text_batches(batch.column(1)):
+                digests = _digests(bpe, bpe.encode(texts))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), *digests], names=[id_col, *_DIGESTS])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, whole(text).alias("_text")).mapInArrow(run, _digest_schema(kind, id_col))

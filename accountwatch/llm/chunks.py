@@ -7,32 +7,39 @@ stands before a non-blank: the space begins the next match. Texts are cut there.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-#: Entries of a generation; about 250 bytes each, and a worker holds up to two generations.
-ENTRIES = 300_000
+from accountwatch.llm.words import text_slices
+
+#: Bytes of a generation, its texts and values and what the dictionary adds to each; a worker holds up to two generations of a cache.
+CACHE_BYTES = 32_000_000
+_ENTRY_BYTES = 160
 
 
 class Generations:
-    """A bounded cache: what was not asked for during a whole generation is forgotten."""
+    """A cache of bounded size: what was not asked for during a whole generation is forgotten."""
 
-    def __init__(self, entries: int = ENTRIES):
-        self.entries = entries
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+    def __init__(self, most: int = CACHE_BYTES):
+        self.most = most
+        self.size = 0
+        self.young: dict = {}
+        self.old: dict = {}
 
-    def holding(self, keys: set[str], make: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+    def holding(self, keys: set[str], make: Callable[[list[str]], list]) -> dict:
         """A dictionary that has all ``keys``; the missing ones are made together."""
         missing = keys.difference(self.young)
-        if len(self.young) + len(missing) > self.entries:
-            self.old, self.young = self.young, {}
+        if missing and self.size > self.most:
+            self.old, self.young, self.size = self.young, {}, 0
             missing = keys
-        again = {key for key in missing if key in self.old}
-        self.young.update((key, self.old[key]) for key in again)
+        again = {key: self.old[key] for key in missing if key in self.old}
         new = list(missing.difference(again))
-        self.young.update(zip(new, make(new), strict=True))
+        again.update(zip(new, make(new), strict=True))
+        self.young.update(again)
+        self.size += _ENTRY_BYTES * len(again) + sum(map(len, again)) + sum(len(value) for value in again.values() if isinstance(value, bytes))
         return self.young
 
 
@@ -43,12 +50,12 @@ class ChunkEncoder:
     words of a batch together. Chunks and words are both remembered.
     """
 
-    def __init__(self, pattern: str, encode_words: Callable[[list[str]], list[bytes]], entries: int = ENTRIES):
+    def __init__(self, pattern: str, encode_words: Callable[[list[str]], list[bytes]], most: int = CACHE_BYTES):
         self.pattern = regex.compile(pattern)
         self.encode_words = encode_words
-        self.words = Generations(entries)
-        self.spaced = Generations(entries)
-        self.whole = Generations(entries)
+        self.words = Generations(most)
+        self.spaced = Generations(most)
+        self.counts = Generations(most)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # One piece stands for a text that may not be cut at its spaces.
@@ -64,15 +71,14 @@ class ChunkEncoder:
         first, *rest = text.split(" ")
         return [first, *(" " + piece for piece in rest)] if first else [" " + piece for piece in rest]
 
-    def prepare(self, texts: list[str]) -> list[list[str]]:
-        """The pieces of each text; all new ones are encoded together, so that each text finds its own known."""
+    def counted(self, texts: list[str]) -> list[tuple[list[str], list[int]]]:
+        """The pieces of each text with their numbers of tokens; all new ones are encoded together."""
         cut = [self.pieces(text) for text in texts]
-        self.whole.holding(set().union(*cut), self._encode_chunks)
-        return cut
+        known = self.counts.holding(set().union(*cut), self._count_chunks)
+        return [(pieces, list(map(known.__getitem__, pieces))) for pieces in cut]
 
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        known = self.whole.holding(set(pieces), self._encode_chunks)
-        return list(map(known.__getitem__, pieces))
+    def _count_chunks(self, chunks: list[str]) -> list[int]:
+        return [len(ids) // 4 for ids in self._encode_chunks(chunks)]
 
     def encode_words_known(self, words: list[str]) -> list[bytes]:
         known = self.words.holding(set(words), self.encode_words)
@@ -93,11 +99,10 @@ _UNCUT = re.compile(r" (?:\s|\Z)")
 
 def slices(texts: list[str], most: int = 4_000_000):
     """Ranges of consecutive texts of about ``most`` characters, one text at least."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+    yield from text_slices(map(len, texts), most)
+
+
+def text_batches(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Where a slice of a text column begins, and its texts; a slice is cut before its texts are unpacked."""
+    for begin, end in text_slices(pc.utf8_length(column).to_pylist(), most):
+        yield begin, column.slice(begin, end - begin).to_pylist()

@@ -44,8 +44,7 @@ def op2_toxicity(spark, sf_dir):
 @query
 def op3_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode_documents(encoded, ranks, public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 @query
