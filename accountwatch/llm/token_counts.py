@@ -22,12 +22,13 @@ import zlib
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountwatch.llm.bpe import Bpe, worker_bpe
-from accountwatch.llm.chunks import slices
+from accountwatch.llm.chunks import text_batches
 from accountwatch.llm.text import whole
 
 #: Pre-token runs (cut at spaces) of a leaf.
@@ -75,21 +76,22 @@ class TokenTree:
 class CountedText:
     """A text whose token count follows its edits."""
 
-    def __init__(self, text: str, bpe: Bpe, pieces: list[str] | None = None):
+    def __init__(self, text: str, bpe: Bpe, counted: tuple[list[str], list[int]] | None = None):
         self.text = text
         self.bpe = bpe
         self.recoded = 0
-        self.tree = self._tree(bpe.chunks.pieces(text) if pieces is None else pieces)
+        self.tree = self._tree(*(bpe.chunks.counted([text])[0] if counted is None else counted))
 
     @property
     def n_tokens(self) -> int:
         return self.tree.tokens[1]
 
-    def _tree(self, pieces: list[str]) -> TokenTree:
-        chars = list(map(len, pieces))
-        tokens = [len(ids) // 4 for ids in self.bpe.chunks.encode_pieces(pieces)]
-        groups = range(0, len(pieces), LEAF)
-        return TokenTree([sum(chars[g : g + LEAF]) for g in groups], [sum(tokens[g : g + LEAF]) for g in groups])
+    def _tree(self, pieces: list[str], counts: list[int]) -> TokenTree:
+        if not pieces:
+            return TokenTree([], [])
+        leaves = np.arange(0, len(pieces), LEAF)
+        chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        return TokenTree(np.add.reduceat(chars, leaves).tolist(), np.add.reduceat(np.array(counts), leaves).tolist())
 
     def edit(self, begin: int, end: int, new: str) -> None:
         """Replaces the characters from ``begin`` to ``end``."""
@@ -149,12 +151,11 @@ def count_with_edits(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker_bpe(path, pattern)
         for batch in batches:
-            texts, scripts = batch.column(1).to_pylist(), batch.column(2)
-            for begin, stop in slices(texts):
+            for begin, texts in text_batches(batch.column(1)):
                 rows = []
-                cut = bpe.chunks.prepare(texts[begin:stop])
-                for text, pieces, script in zip(texts[begin:stop], cut, scripts.slice(begin, stop - begin).to_pylist(), strict=True):
-                    counted = CountedText(text, bpe, pieces)
+                scripts = batch.column(2).slice(begin, len(texts)).to_pylist()
+                for text, cut, script in zip(texts, bpe.chunks.counted(texts), scripts, strict=True):
+                    counted = CountedText(text, bpe, cut)
                     before = counted.n_tokens
                     script = [edit for edit in script or [] if edit]
                     for edit in script:
@@ -165,7 +166,7 @@ def count_with_edits(
                         (before, counted.n_tokens, len(script), counted.recoded, counted.tree.leaves, zlib.crc32(counted.text.encode("utf-8")))
                     )
                 columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, stop - begin), *columns], names=[id_col, *names])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), *columns], names=[id_col, *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{name} bigint" for name in names)
