@@ -1,27 +1,34 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
-An entity's surrogate depends on the key, its type and its own value, so the same
-entity has the same surrogate in every document and mapping needs no lookup. A check
-over the distinct entities finds surrogates that two entities share, or that are
-themselves an entity of the corpus; all but one of them draw again, until every
-surrogate is distinct. Only these few are looked up when texts are rewritten.
+An entity's surrogate depends on the caller's key, its type and its own value in normal
+form (a phone, card or account number without separators, mail addresses and names in
+lower case), so the same entity has the same surrogate in every document, however it is
+written, and mapping needs no lookup. A check over the distinct entities finds surrogates
+that two entities share, or that are themselves an entity of the corpus; all but one of them
+draw again, until every surrogate is distinct: given names among given names, whatever their
+gender, family names among family names, all other values across types. Only these few
+are looked up when texts are rewritten.
 
 Kept: letters stay letters of their case, digits digits, hexadecimal stays
 hexadecimal, separators and lengths stay (an address's octets may differ in length);
 a card keeps its first digit and its valid check digit, a phone number its country
 code, an access key its prefix, a mail address the reserved domain. A person after a
-title keeps the title; the given name gets one of the same gender and script. Family
-and given names are replaced one by one, so "Mr. A B" and "Mr. B" stay related. Not
-found: names without one of the titles below, which no pattern tells from other words.
+title keeps the title; the given name gets one of the same gender and script. After a
+title of either gender it gets that which the name has after another title, if there is one.
+Family and given names are replaced one by one, so "Mr. A B" and "Mr. B" stay related. Digits
+are a card only if their check digit holds, and a secret has a digit; such a number or
+word stays. Not found: names without one of the titles below, which no pattern tells from
+other words, and secrets that nothing beside them names.
 
 Defined results: a null text stays null, an empty one empty; texts without entities
 are returned as they are; repeated rows are rewritten alike; columns other than the text are
-never read. An empty table gives an empty result. The table is read more than once
+never read. No pattern repeats a group without bound, so texts of any length and content are safe. An empty table gives an empty result. The table is read more than once
 and must give the same rows in the same order then, as a stored table does.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,7 +57,9 @@ SYLLABLES = {
     "cyrillic": "ба бе бо да де до га го ка ке ла ле ло ма ме мо на не но па пе ра ре ро са се та те ва ве зо ми ни".split(),
 }
 _NAME = r"\p{Lu}[\p{L}'’\-]*+"
-_ALL_TITLES = "|".join(t for group in TITLES.values() for t in group)
+#: Titles as listed and in capitals.
+_TITLES = {kind: tuple(dict.fromkeys(t for title in group for t in (title, title.upper()))) for kind, group in TITLES.items()}
+_ALL_TITLES = "|".join(t for group in _TITLES.values() for t in group)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
 _HEX = r"[0-9A-Fa-f]{1,4}"
@@ -64,10 +73,15 @@ _LOCAL_PHONE = r"\(\d{3}\) ?\d{3}[.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}"
 # A phone number ends where its next group begins another entity.
 _GROUP = rf"(?! (?:{_IP}|{_SSN}|{_CARD}|{_LOCAL_PHONE})(?!\d))[ .\-]?\d{{2,4}}"
 
+_SECRET = r"(?=[A-Za-z_+/\-]*\d)[0-9A-Za-z_+/\-]{8,}+"
+
 #: Type and pattern, the first that fits wins. Patterns start at a token's edge and do not backtrack over words.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
-    "secret": r"(?<=(?i:password|passwd|token|secret|api_key|apikey)[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?)[0-9A-Za-z_+/\-]{8,}+",
+    # No name has more labels, or longer ones.
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]{1,63}\.){1,126}[A-Za-z]{2,63}",
+    "secret": rf"(?<=(?i:password|passwd|token|secret|api_key|apikey)[\"']?[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?){_SECRET}"
+    rf"|(?<=(?i:password|passwd) is ){_SECRET}|(?<=(?i:bearer) )(?=[A-Za-z_+/.~\-]*\d)[0-9A-Za-z_+/.~\-]{{16,}}+"
+    r"|(?<=PRIVATE KEY-----)[A-Za-z0-9+/=\s]{16,}+",
     "access_key": r"(?<![0-9A-Za-z_])(?:AKIA|ASIA|ghp_|sk-)[0-9A-Za-z]{16,}+(?![0-9A-Za-z_])",
     "iban": rf"(?<![0-9A-Za-z]){_IBAN}(?![0-9A-Za-z])",
     "ip": rf"(?<![\w.]){_IP}(?!\w|\.\d)",
@@ -83,18 +97,37 @@ MOST_ROUNDS = 64
 
 @dataclass(frozen=True)
 class Key:
-    secret: str = "training-data"
+    """What surrogates are drawn with; who has it can draw them again."""
+
+    secret: str
+
+    def __post_init__(self) -> None:
+        if not self.secret:
+            raise ValueError("surrogates need a key")
+
+
+def _bound(body: Callable[[Column], Column], **values: Column) -> Column:
+    """``body`` of a struct of values that are computed once, however often it uses them."""
+    return F.element_at(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), 1)
 
 
 def found(text: Column) -> Column:
-    """The entities of a text in order, as written."""
-    none = F.array().cast("array<string>")
+    """The matches of a text in order: ``kind`` and ``match`` as written. Digits in the shape of a card that are none have no kind."""
+    none = F.array().cast("array<struct<kind:string,match:string>>")
     # Every entity has a digit, an at sign, a title or a secret's sign; most texts end here.
     likely = whole(text).rlike(r"[0-9@=:]")
-    for titles in TITLES.values():
+    for titles in _TITLES.values():
         for title in titles:
             likely = likely | whole(text).contains(f"{title} ") | whole(text).contains(f"{title}. ")
-    return F.when(likely | whole(text).contains("sk-") | whole(text).contains("ghp_"), F.regexp_extract_all(whole(text), F.lit(ANY), F.lit(0))).otherwise(none)
+    return F.when(likely | whole(text).contains("sk-") | whole(text).contains("ghp_"), F.transform(F.regexp_extract_all(whole(text), F.lit(ANY), F.lit(0)), _with_kind)).otherwise(none)
+
+
+def _with_kind(match: Column) -> Column:
+    def checked(s: Column) -> Column:
+        none = (s["kind"] == "card") & (_check_sum(s["match"]) % 10 != 0)
+        return F.struct(F.when(~none, s["kind"]).alias("kind"), s["match"].alias("match"))
+
+    return _bound(checked, kind=kind_of(match), match=match)
 
 
 def kind_of(entity: Column) -> Column:
@@ -116,26 +149,71 @@ def kind_of(entity: Column) -> Column:
     return out
 
 
-def parts(entity: Column) -> Column:
-    """What gets a surrogate of its own: an entity as a whole, of a person each name.
+def _normal(kind: Column, value: Column) -> Column:
+    """What an entity is whichever way it is written."""
+    return (
+        F.when(kind.isin("email", "ip6") | kind.startswith("given ") | kind.startswith("family "), F.lower(value))
+        .when(kind.isin("phone", "card"), F.regexp_replace(value, r"[^+0-9]", ""))
+        .when(kind == "iban", F.regexp_replace(value, r"[ \-]", ""))
+        .otherwise(value)
+    )
+
+
+def is_entity(hit: Column) -> Column:
+    return hit["kind"].isNotNull()
+
+
+def parts(hit: Column) -> Column:
+    """What gets a surrogate of its own: an entity as a whole, of a person each name. ``value`` is the normal form of ``shown``.
 
     A name carries the gender and script of its title if it is a given name.
     """
-    pieces = F.split(entity, " ")
-    title = F.regexp_replace(F.element_at(pieces, 1), r"\.$", "")
+
+    def part(kind: Column, shown: Column) -> Column:
+        return F.struct(kind.alias("kind"), _normal(kind, shown).alias("value"), shown.alias("shown"))
+
+    def names(s: Column) -> Column:
+        pieces = s["pieces"]
+        given, family = F.concat(F.lit("given "), s["sort"]), F.concat(F.lit("family "), F.split(s["sort"], " ")[1])
+        last = _bound(lambda n: part(n["kind"], n["shown"]), kind=family, shown=F.element_at(pieces, -1))
+        first = _bound(lambda n: part(n["kind"], n["shown"]), kind=given, shown=F.get(pieces, F.lit(1)))
+        return F.when(F.size(pieces) >= 3, F.array(first, last)).otherwise(F.array(last))
+
+    title = F.regexp_replace(F.split(hit["match"], " ")[0], r"\.$", "")
     sort = F.lit("m latin")
-    for (gender, script), titles in TITLES.items():
+    for (gender, script), titles in _TITLES.items():
         sort = F.when(title.isin(*titles), F.lit(f"{gender} {script}")).otherwise(sort)
-    script = F.split(sort, " ")[1]
-    names = F.when(
-        F.size(pieces) >= 3,
-        F.array(
-            F.struct(F.concat(F.lit("given "), sort).alias("kind"), F.element_at(pieces, 2).alias("value")),
-            F.struct(F.concat(F.lit("family "), script).alias("kind"), F.element_at(pieces, 3).alias("value")),
-        ),
-    ).otherwise(F.array(F.struct(F.concat(F.lit("family "), script).alias("kind"), F.element_at(pieces, -1).alias("value"))))
-    kind = kind_of(entity)
-    return F.when(kind == "person", names).otherwise(F.array(F.struct(kind.alias("kind"), entity.alias("value"))))
+    person = _bound(names, pieces=F.split(hit["match"], " "), sort=sort)
+    return F.when(hit["kind"] == "person", person).otherwise(F.array(part(hit["kind"], hit["match"])))
+
+
+def _shown(s: Column) -> Column:
+    """A surrogate ``new`` in normal form as the entity ``shown`` was written: its separators, its capitals."""
+    kind, shown, new = s["kind"], s["shown"], s["new"]
+
+    def placed(c: Column, i: Column) -> Column:
+        at = F.length(F.regexp_replace(F.substring(shown, F.lit(1), i + 1), r"[^+0-9A-Za-z]", ""))
+        return F.when(c.rlike(r"[+0-9A-Za-z]"), F.substring(new, at, F.lit(1))).otherwise(c)
+
+    # A local part keeps its length, the domain need not.
+    at = F.instr(shown, "@")
+
+    def cased(c: Column, i: Column) -> Column:
+        own = F.substring(new, i + 1, F.lit(1))
+        return F.when((i + 1 < at) & c.rlike("[A-Z]"), F.upper(own)).otherwise(own)
+
+    characters = F.filter(F.split(shown, ""), lambda c: c != "")
+    capitals = (F.length(shown) > 1) & (shown == F.upper(shown))
+    return (
+        F.when(kind.isin("phone", "card", "iban"), F.array_join(F.transform(characters, placed), ""))
+        .when(
+            (kind == "email") & shown.rlike("[A-Z].*@"),
+            F.concat(F.array_join(F.transform(F.slice(characters, 1, at), cased), ""), F.substring(new, at + 1, F.length(new))),
+        )
+        .when((kind == "ip6") & (shown != F.lower(shown)), F.upper(new))
+        .when((kind.startswith("given ") | kind.startswith("family ")) & capitals, F.upper(new))
+        .otherwise(new)
+    )
 
 
 def _draw(digest: Column, at: Column, below: int) -> Column:
@@ -148,15 +226,13 @@ def _pick(alphabet: str, at: Column) -> Column:
 
 
 def _same_format(value: Column, digest: Column, fixed: Column, lead: bool = False, hexadecimal: Column | None = None) -> Column:
-    """Each character drawn from its own class; the first ``fixed`` stay. ``lead``: no digit 0 or 1 begins a group."""
-    if hexadecimal is None:
-        hexadecimal = value.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
+    """Each character drawn from its own class; the first ``fixed`` stay. ``lead``: no digit 0 or 1 begins a group of three."""
+    hexadecimal = F.lit(False) if hexadecimal is None else hexadecimal
 
     def drawn(c: Column, i: Column) -> Column:
-        before = F.substring(value, i, F.lit(1))
         digit = _pick("0123456789", _draw(digest, i, 10))
         if lead:
-            digit = F.when(before.rlike(r"\d"), digit).otherwise(_pick("23456789", _draw(digest, i, 8)))
+            digit = F.when((i - fixed) % 3 != 0, digit).otherwise(_pick("23456789", _draw(digest, i, 8)))
         lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
         return (
             F.when(i < fixed, c)
@@ -168,7 +244,8 @@ def _same_format(value: Column, digest: Column, fixed: Column, lead: bool = Fals
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), drawn), "")
+    characters = F.filter(F.split(value, ""), lambda c: c != "")
+    return F.array_join(F.transform(characters, drawn), "")
 
 
 def _check_sum(digits: Column) -> Column:
@@ -183,10 +260,14 @@ def _check_sum(digits: Column) -> Column:
 
 
 def _card(value: Column, digest: Column) -> Column:
-    new = _same_format(value, digest, F.lit(1))
-    body = F.substring(new, F.lit(1), F.length(new) - 1)
-    last = ((10 - _check_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
-    return F.when(_check_sum(value) % 10 == 0, F.concat(body, last)).otherwise(new)
+    """All but the last digit drawn anew, and the check digit that fits them."""
+    new = F.substring(_same_format(value, digest, F.lit(1)), F.lit(1), F.length(value) - 1)
+
+    def checked(s: Column) -> Column:
+        last = (10 - _check_sum(F.concat(s["kept"], F.lit("0"))) % 10) % 10
+        return F.concat(s["kept"], last.cast("string"))
+
+    return _bound(checked, kept=new)
 
 
 def _email(value: Column, digest: Column) -> Column:
@@ -221,10 +302,17 @@ def _name(kind: Column, attempt: Column, digest: Column) -> Column:
     return out
 
 
-def surrogate(kind: Column, value: Column, attempt: Column, key: Key = Key()) -> Column:
+def surrogate(kind: Column, value: Column, attempt: Column, key: Key) -> Column:
     """The replacement of an entity's part on its ``attempt``-th draw, from 0."""
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key.secret), kind, value, attempt.cast("string")).cast("binary"), 512)
-    country = F.length(F.regexp_extract(value, r"^\+\d+", 0))
+    hexadecimal = value.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
+    return _bound(_drawn, kind=kind, value=value, attempt=attempt, digest=digest, hexadecimal=hexadecimal)
+
+
+def _drawn(s: Column) -> Column:
+    kind, value, digest = s["kind"], s["value"], s["digest"]
+    # Country codes that begin with 1 or 7 have one digit; of the others two are kept.
+    country = F.when(value.rlike(r"^\+[17]"), 2).when(value.startswith("+"), 3).otherwise(0)
     prefix = F.length(F.regexp_extract(value, r"^(?:AKIA|ASIA|ghp_|sk-)", 0))
     return (
         F.when(kind == "email", _email(value, digest))
@@ -232,34 +320,48 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: Key = Key()) ->
         .when(kind == "ip6", _same_format(value, digest, F.lit(0), hexadecimal=F.lit(True)))
         .when(kind == "card", _card(value, digest))
         .when(kind == "phone", _same_format(value, digest, country, lead=True))
-        .when(kind == "access_key", _same_format(value, digest, prefix))
+        .when(kind == "access_key", _same_format(value, digest, prefix, hexadecimal=s["hexadecimal"]))
         .when(kind == "iban", _same_format(value, digest, F.lit(2)))
-        .when(kind.isin("ssn", "secret"), _same_format(value, digest, F.lit(0)))
-        .otherwise(_name(kind, attempt, digest))
+        .when(kind.isin("ssn", "secret"), _same_format(value, digest, F.lit(0), hexadecimal=s["hexadecimal"]))
+        .otherwise(_name(kind, s["attempt"], digest))
     )
 
 
-def surrogate_table(docs: DataFrame, text: str = "text", key: Key = Key()) -> DataFrame:
-    """kind, value, ``attempt`` and ``surrogate`` of every distinct part, all surrogates distinct.
+def surrogate_table(docs: DataFrame, key: Key, text: str = "text") -> DataFrame:
+    """kind, value, ``attempt`` and ``surrogate`` of every distinct part, in normal form; all surrogates of a space distinct.
 
-    Distinct values only leave a map task once. A family name and a given name may be
-    alike, so names are kept apart by kind, all other values across kinds.
+    Distinct values only leave a map task once. A given name after a title of either gender
+    is the one that stands after another title, if there is one; then its row repeats that one's.
     """
-    values = (
-        docs.select(F.explode(F.flatten(F.transform(found(F.col(text)), parts))).alias("p"))
-        .select("p.kind", "p.value")
-        .distinct()
-        .checkpoint()
-    )
-    table = values.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
-    originals = values.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("_taken"))
+    matches = F.filter(found(F.col(text)), is_entity)
+    values = docs.select(F.explode(F.flatten(F.transform(matches, parts))).alias("p")).select("p.kind", "p.value").distinct().checkpoint()
+    gendered = values.where(F.col("kind").rlike("^given [mf] ")).groupBy("value", F.split("kind", " ")[2].alias("_script"))
+    twins = gendered.agg(F.min("kind").alias("_twin"))
+    either = values.where("kind like 'given n %'").withColumn("_script", F.split("kind", " ")[2])
+    same = either.join(twins, ["value", "_script"]).select("kind", "value", "_twin").checkpoint()
+    own = values.join(same.select("kind", "value"), ["kind", "value"], "left_anti")
+    settled = _distinct_surrogates(own, values, key)
+    repeated = settled.select(F.col("kind").alias("_twin"), "value", "attempt", "surrogate")
+    repeated = same.join(repeated, ["_twin", "value"]).select("kind", "value", F.greatest("attempt", F.lit(1)).alias("attempt"), "surrogate")
+    return settled.unionByName(repeated)
+
+
+def _space() -> Column:
+    """Among what surrogates must differ."""
+    return F.when(F.col("kind").startswith("given "), "given").when(F.col("kind").startswith("family "), "family").otherwise("value")
+
+
+def _distinct_surrogates(own: DataFrame, values: DataFrame, key: Key) -> DataFrame:
+    table = own.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
+    originals = values.select(_space().alias("_space"), F.col("value").alias("_normal")).distinct().withColumn("_taken", F.lit(True))
     for _ in range(MOST_ROUNDS):
         table = table.checkpoint()
         # The longest settled keeps a shared surrogate; at most two rows of one matter, so groups stay small.
-        first = Window.partitionBy("kind", "surrogate").orderBy("attempt", "value")
+        first = Window.partitionBy("_space", "_normal").orderBy("attempt", "kind", "value")
         judged = (
-            table.withColumn("_rank", F.row_number().over(first))
-            .join(originals, ["kind", "surrogate"], "left")
+            table.withColumns({"_space": _space(), "_normal": _normal(F.col("kind"), F.col("surrogate"))})
+            .withColumn("_rank", F.row_number().over(first))
+            .join(originals, ["_space", "_normal"], "left")
             .withColumn("_again", (F.col("_rank") > 1) | F.col("_taken").isNotNull())
         )
         if judged.where("_again").isEmpty():
@@ -278,43 +380,42 @@ def _rewritten(text: Column, matches: Column, others: Column | None, key: Key) -
     """The text with every match replaced: the pieces between matches, and the new matches."""
 
     def part(p: Column) -> Column:
-        fresh = surrogate(p["kind"], p["value"], F.lit(0), key)
-        if others is None:
-            return fresh
-        return F.coalesce(F.try_element_at(others, F.concat_ws("\x1f", p["kind"], p["value"])), fresh)
+        new = surrogate(p["kind"], p["value"], F.lit(0), key)
+        if others is not None:
+            new = F.coalesce(F.try_element_at(others, F.concat_ws("\x1f", p["kind"], p["value"])), new)
+        return _bound(_shown, kind=p["kind"], shown=p["shown"], new=new)
 
     def renamed(m: Column) -> Column:
         new = F.array_join(F.transform(parts(m), part), " ")
-        title = F.concat(F.split(m, " ")[0], F.lit(" "))
-        return F.when(kind_of(m) == "person", F.concat(title, new)).otherwise(new)
+        title = F.when(m["kind"] == "person", F.concat(F.split(m["match"], " ")[0], F.lit(" "))).otherwise("")
+        return F.when(is_entity(m), F.concat(title, new)).otherwise(m["match"])
 
     pieces = F.split(text, ANY, -1)
     filled = F.concat(F.transform(matches, renamed), F.array(F.lit("")))
     return F.when(F.size(matches) == 0, text).otherwise(F.array_join(F.zip_with(pieces, filled, lambda a, b: F.concat(a, b)), ""))
 
 
-def replace_entities(docs: DataFrame, text: str = "text", key: Key = Key()) -> DataFrame:
-    """``docs`` with surrogates in the text. Rows are joined only if some surrogate was drawn again."""
-    redrawn = surrogate_table(docs, text, key).where("attempt > 0")
+def replace_entities(docs: DataFrame, key: Key, text: str = "text", counted: str | None = None) -> DataFrame:
+    """``docs`` with surrogates in the text, and with the number of entities as ``counted`` if that is named.
+
+    Rows are joined only if some surrogate was drawn again.
+    """
+    redrawn = surrogate_table(docs, key, text).where("attempt > 0")
     row, held, hits = (unused(docs, n) for n in ("row_number", "redrawn_names", "entities_found"))
     rows = docs.withColumn(hits, found(F.col(text)))
+    out = [F.col(c) for c in docs.columns]
+    if counted is not None:
+        out.append(F.size(F.filter(F.col(hits), is_entity)).cast("bigint").alias(counted))
     if redrawn.isEmpty():
-        return rows.withColumn(text, _rewritten(F.col(text), F.col(hits), None, key)).drop(hits)
+        return rows.withColumn(text, _rewritten(F.col(text), F.col(hits), None, key)).select(*out)
     rows = rows.withColumn(row, F.monotonically_increasing_id())
     names = redrawn.select(F.concat_ws("\x1f", "kind", "value").alias("name"), "surrogate")
-    uses = rows.select(row, F.explode(F.array_distinct(F.flatten(F.transform(hits, parts)))).alias("p"))
+    uses = rows.select(row, F.explode(F.array_distinct(F.flatten(F.transform(F.filter(hits, is_entity), parts)))).alias("p"))
     per_row = (
         uses.select(row, F.concat_ws("\x1f", "p.kind", "p.value").alias("name"))
+        .distinct()
         .join(names, "name")
         .groupBy(row)
         .agg(F.map_from_entries(F.collect_list(F.struct("name", "surrogate"))).alias(held))
     )
-    return (
-        rows.join(per_row, row, "left")
-        .withColumn(text, _rewritten(F.col(text), F.col(hits), F.col(held), key))
-        .select(*docs.columns)
-    )
-
-
-def entity_counts(text: Column) -> Column:
-    return F.size(found(text)).cast("bigint")
+    return rows.join(per_row, row, "left").withColumn(text, _rewritten(F.col(text), F.col(hits), F.col(held), key)).select(*out)
