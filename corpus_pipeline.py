@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from accountwatch.llm import exact, packing, pii, simhash, toxicity
-from accountwatch.llm.queries import table
+from accountwatch.llm.queries import surrogate_key, table
 from accountwatch.session import shared_folder
 
 
@@ -31,7 +31,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    return pii.replace_entities(docs, surrogate_key(spark)).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
