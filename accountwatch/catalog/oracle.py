@@ -463,6 +463,29 @@ oracle("top_exposed_accounts", "select account_id, mrr from exposed order by mrr
 oracle("alert_counts", "select account_id, is_approved, count(*) as alerts from latest_tickets group by all")
 oracle("alert_counts_loops", "select account_id, is_approved, count(*) as alerts from latest_loops group by all")
 oracle("alert_counts_churn", "select account_id, is_approved, count(*) as alerts from latest_churn group by all")
+oracle(
+    "overview",
+    """
+, kpis as (
+  select 'total_risk_events' as figure, count(*)::double as number from lanes
+  union all select 'success_rate', coalesce((select avg(is_approved::int) * 100 from latest_tickets), 0)
+  union all select 'revenue_actioned', coalesce((select sum(mrr) from (
+    select mrr from latest_tickets where is_approved qualify row_number() over (partition by account_id
+      order by ai_draft is not null desc, "timestamp" desc, category desc) = 1)), 0)
+  union all select 'revenue_at_risk', coalesce((select sum(mrr) from exposed), 0)
+  union all select 'Total Revenue Risk Detected', coalesce(sum(mrr), 0) from accounts
+  union all select 'AI Draft Generated', coalesce(sum(mrr), 0) from accounts where ai_draft is not null and ai_draft <> ''
+  union all select 'Revenue Actioned', coalesce(sum(mrr), 0) from accounts where is_approved
+)
+select figure, null::varchar as lane, null::varchar as account_id, null::boolean as is_approved, round(number, 2) as number from kpis
+union all
+select 'pending_revenue', lane, null, null, round(coalesce(sum(mrr) filter (where not is_approved), 0), 2) from lanes group by lane
+union all
+select 'alerts', lane, account_id, is_approved, count(*)::double from lanes group by lane, account_id, is_approved
+union all
+select * from (select 'top_exposed', null, account_id, null, mrr from exposed order by mrr desc, account_id limit 10)
+""",
+)
 oracle(
     "draft_backlog",
     """
@@ -518,7 +541,8 @@ oracle(
 )
 oracle("folded_lane", "select * from loop_rows")
 oracle("knowledge_base", "select sop_id, category, content, cast(len(embedding) as int) as dimensions from kb")
-oracle("export_actioned", "select account_id, mrr, is_approved, ai_draft from accounts where is_approved")
+oracle("export_actioned", "select account_id, mrr, is_approved, ai_draft, 'Actioned' as status from accounts where is_approved")
+oracle("ticket_library", "select lang as category, text as support_text, cast(doc_id % 2 + 1 as int) as suggested_csat from documents")
 
 # Streams: append mode leaves out the windows the watermark has not closed.
 

@@ -18,6 +18,7 @@ from accountwatch.operators import briefs, detect, figures, keep, state
 from accountwatch.operators.nearest import nearest_policy
 from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs, ticket_briefs
 from accountwatch.plans.drafting import screened_drafts as screen_and_draft
+from accountwatch.plans.overview import stored_overview
 from accountwatch.session import shared_folder
 from accountwatch.sources import events as event_source
 from accountwatch.sources import lanes as lane_store
@@ -474,6 +475,13 @@ def exposure_by_category(spark, sf_dir):
     return _rounded_sums(figures.exposure_by_category(data.tickets(spark, sf_dir)), "mrr")
 
 
+@query
+def overview(spark, sf_dir):
+    """All numbers of the overview from one row per account."""
+    lanes = [data.state(spark, sf_dir, lane) for lane in LANES]
+    return _rounded_sums(stored_overview(*lanes, f"{shared_folder(spark, 'overview')}/accounts"), "number")
+
+
 @query
 def status_kpis(spark, sf_dir):
     return _rounded_sums(figures.status_kpis(data.status_alerts(spark, sf_dir)), "revenue_pending")
@@ -539,12 +547,23 @@ def knowledge_base(spark, sf_dir):
     return kb.select("sop_id", "category", "content", F.size("embedding").alias("dimensions"))
 
 
+@query
+def ticket_library(spark, sf_dir):
+    """Documents as a library of sample tickets in JSON arrays of a hundred, one a file, read back."""
+    path = f"{shared_folder(spark, 'library')}/library"
+    entry = F.struct(F.col("lang").alias("category"), F.col("text").alias("support_text"), F.expr("cast(doc_id % 2 + 1 as int)").alias("suggested_csat"))
+    arrays = data.table(spark, sf_dir, "documents").groupBy(F.expr("doc_id div 100")).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return tables.read_ticket_library(spark, path)
+
+
 @query
 def export_actioned(spark, sf_dir):
     path = f"{shared_folder(spark, 'report')}/actioned"
-    tables.export_actioned(figures.actioned_accounts(*data.views(spark, sf_dir)).select("account_id", "mrr", "is_approved", "ai_draft"), path)
+    columns = ["account_id", "mrr", "is_approved", "ai_draft", "status"]
+    tables.export_actioned(figures.actioned_accounts(*data.views(spark, sf_dir)).select(*columns), path)
     # A null value other than '' keeps an empty draft ("" in the file) apart from none.
-    report = spark.read.schema("account_id string, mrr double, is_approved boolean, ai_draft string")
+    report = spark.read.schema("account_id string, mrr double, is_approved boolean, ai_draft string, status string")
     return report.csv(path, header=True, nullValue="\\N")
 
 

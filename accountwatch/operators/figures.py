@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accountwatch.lanes import CHURN, LOOPS, TICKETS, Lane
+from accountwatch.lanes import CHURN, LANES, LOOPS, TICKETS, Lane
 from accountwatch.operators.keep import keep_first
+from accountwatch.operators.state import alert_status
 
 _LANE_COLUMNS = ("account_id", "mrr", "is_approved", "ai_draft", "lane", "lane_rank")
 
@@ -139,9 +140,79 @@ def top_exposed_accounts(tickets: DataFrame, loops: DataFrame, churn: DataFrame,
     return exposed.orderBy(F.desc_nulls_last("mrr"), F.asc_nulls_last("account_id")).limit(n)
 
 
+def account_overview(tickets: DataFrame, loops: DataFrame, churn: DataFrame) -> DataFrame:
+    """One row per account, from which every figure of the overview is read; each lane is read once.
+
+    Alerts and pending revenue by lane, the revenue of the first approved ticket and of
+    the first pending row, and what its leading row says.
+    """
+    rank = _account_rank()
+    ticket = F.col("lane_rank") == TICKETS.rank
+    by_lane = []
+    for lane in LANES:
+        own = F.col("lane_rank") == lane.rank
+        by_lane += [
+            F.count_if(own & _pending()).alias(f"{lane.name}_pending"),
+            F.count_if(own & _approved()).alias(f"{lane.name}_approved"),
+            F.sum(F.when(own & _pending(), F.col("mrr"))).alias(f"{lane.name}_risk"),
+        ]
+    leading = F.struct("mrr", _drafted().alias("drafted"), _approved().alias("approved"))
+    return (
+        _tagged(tickets, loops, churn)
+        .groupBy("account_id")
+        .agg(
+            *by_lane,
+            F.max_by("mrr", F.when(ticket & _approved(), rank)).alias("actioned"),
+            F.max_by("mrr", F.when(_pending(), rank)).alias("at_risk"),
+            F.max_by(leading, rank).alias("leading"),
+        )
+    )
+
+
+def overview_figures(accounts: DataFrame, n: int = 10) -> DataFrame:
+    """Every figure of the overview in long form: ``figure``, the ``lane``, account and approval it is of, and ``number``.
+
+    ``accounts`` is an ``account_overview``, stored, as three small passes read it.
+    """
+
+    def row(figure: str, number: Column, lane: Lane | None = None) -> Column:
+        return F.struct(F.lit(figure).alias("figure"), F.lit(lane.label if lane else None).alias("lane"), number.cast("double").alias("number"))
+
+    approved = F.sum(f"{TICKETS.name}_approved")
+    tickets = approved + F.sum(f"{TICKETS.name}_pending")
+    every = sum((F.col(f"{lane.name}_{state}") for lane in LANES for state in ("pending", "approved")), F.lit(0))
+    lead = F.col("leading")
+    totals = [
+        row("total_risk_events", F.coalesce(F.sum(every), F.lit(0))),
+        row("success_rate", F.coalesce(F.try_divide(approved * 100.0, tickets), F.lit(0.0))),
+        row("revenue_actioned", _sum("actioned")),
+        row("revenue_at_risk", _sum("at_risk")),
+        row("Total Revenue Risk Detected", _sum(lead["mrr"])),
+        row("AI Draft Generated", _sum(lead["mrr"], lead["drafted"])),
+        row("Revenue Actioned", _sum(lead["mrr"], lead["approved"])),
+    ]
+    for lane in LANES:
+        rows = F.sum(F.col(f"{lane.name}_pending") + F.col(f"{lane.name}_approved"))
+        totals.append(F.when(rows > 0, row("pending_revenue", _sum(f"{lane.name}_risk"), lane)))
+    totals = accounts.agg(F.array_compact(F.array(*totals)).alias("rows")).select(F.inline("rows"))
+    counts = F.array(
+        *[
+            F.struct(F.lit(lane.label).alias("lane"), F.lit(state == "approved").alias("is_approved"), F.col(f"{lane.name}_{state}").cast("double").alias("number"))
+            for lane in LANES
+            for state in ("pending", "approved")
+        ]
+    )
+    alerts = accounts.select("account_id", F.inline(counts)).where("number > 0").withColumn("figure", F.lit("alerts"))
+    pending = sum((F.col(f"{lane.name}_pending") for lane in LANES), F.lit(0))
+    exposed = accounts.where(pending > 0).orderBy(F.desc_nulls_last("at_risk"), F.asc_nulls_last("account_id")).limit(n)
+    exposed = exposed.select("account_id", F.col("at_risk").alias("number"), F.lit("top_exposed").alias("figure"))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (totals, alerts, exposed))
+    return together.select("figure", "lane", "account_id", "is_approved", "number")
+
+
 def actioned_accounts(tickets: DataFrame, loops: DataFrame, churn: DataFrame) -> DataFrame:
-    """The operational report: accounts whose leading row is approved."""
-    return one_row_per_account(tickets, loops, churn).filter(_approved())
+    """The operational report: accounts whose leading row is approved, with their status."""
+    return one_row_per_account(tickets, loops, churn).filter(_approved()).withColumn("status", alert_status())
 
 
 def report_columns(rows: DataFrame) -> DataFrame:
@@ -158,10 +229,8 @@ def exposure_by(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def exposure_by_category(rows: DataFrame) -> DataFrame:
     """Revenue per category; no rows at all while no row has a category."""
-    sums = exposure_by(rows, ["category"])
-    # One row per category is left here, so looking at all of them at once is cheap.
-    categorised = F.count("category").over(Window.partitionBy())
-    return sums.withColumn("__categorised", categorised).filter("__categorised > 0").drop("__categorised")
+    categorised = rows.where(F.col("category").isNotNull()).select(F.lit(1).alias("one")).limit(1)
+    return exposure_by(rows, ["category"]).where(categorised.exists())
 
 
 def draft_backlog(rows: DataFrame) -> DataFrame:

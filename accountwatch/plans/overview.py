@@ -9,6 +9,13 @@ from accountwatch.operators import figures
 from accountwatch.operators.keep import latest, pending, ready_for_review
 
 
+def stored_overview(tickets: DataFrame, loops: DataFrame, churn: DataFrame, path: str) -> DataFrame:
+    """Every figure in long form, read from one stored row per account: the lanes are read once."""
+    accounts = figures.account_overview(latest(tickets, TICKETS), latest(loops, LOOPS), latest(churn, CHURN))
+    accounts.write.mode("overwrite").parquet(path)
+    return figures.overview_figures(tickets.sparkSession.read.schema(accounts.schema).parquet(path))
+
+
 def overview(tickets: DataFrame, loops: DataFrame, churn: DataFrame) -> dict[str, DataFrame]:
     """Small result tables by name, and the three review lists."""
     views = latest(tickets, TICKETS), latest(loops, LOOPS), latest(churn, CHURN)

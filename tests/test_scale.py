@@ -131,3 +131,19 @@ def test_texts_are_fetched_after_the_count(spark, no_broadcast, name):
     counted = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "partial_count" in line)
     scan = next(line for line in lines[counted:] if "FileScan" in line and "event_type" in line)
     assert all("SortAggregate" not in line or i < counted for i, line in enumerate(lines)) and scan
+
+
+def test_the_overview_reads_each_lane_once(spark):
+    """As many scans as the three lanes have, and none of them for the figures themselves."""
+    lanes = data.views(spark, SF_DIR)
+
+    def scans(df):
+        return plan(df).count("FileScan")
+
+    accounts = figures.account_overview(*lanes)
+    assert scans(accounts) == sum(map(scans, lanes))
+
+
+def test_categories_do_not_meet_in_one_task(spark):
+    text = plan(figures.exposure_by_category(data.tickets(spark, SF_DIR)))
+    assert "Window" not in text and "NestedLoopJoin" not in text
