@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountwatch.config import RiskConfig
+from accountwatch.config import Band, RiskConfig
 from accountwatch.functions.text import contact_address
 from accountwatch.lanes import CHURN, LOOPS, TICKETS, Lane
 from accountwatch.operators import detect
@@ -24,6 +24,9 @@ CFG = RiskConfig(
     window_slide="2 days",
 )
 
+# Shorter windows for accounts of more revenue.
+BANDS = (Band(5000.0, "8 days", "4 days"), Band(7000.0, "4 days", "2 days"), Band(9000.0, "2 days"))
+
 # Declared, so that building a query starts no job to infer them.
 _SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",

@@ -655,3 +655,31 @@ from sliding, middle where event_type = 'error' and mrr >= 5000 and epoch_us(eve
 )
 ORACLE["friction_loops_late_corrected"] = ORACLE["friction_loops_stream"]
 ORACLE["silent_churners_late_corrected"] = ORACLE["silent_churners_stream"]
+
+# Windows by revenue band: a run for each band, put together.
+
+_BANDED = """
+, banded as (
+  select a.*, time_bucket(interval 4 days, event_timestamp, timestamp '1970-01-01') - i * interval 4 days as window_start, interval 8 days as width
+  from account_events a, (values (0), (1)) steps(i) where mrr >= 5000 and mrr < 7000
+  union all
+  select a.*, time_bucket(interval 2 days, event_timestamp, timestamp '1970-01-01') - i * interval 2 days, interval 4 days
+  from account_events a, (values (0), (1)) steps(i) where mrr >= 7000 and mrr < 9000
+  union all
+  select a.*, time_bucket(interval 2 days, event_timestamp, timestamp '1970-01-01'), interval 2 days from account_events a where mrr >= 9000
+),
+band_loops as (
+  select account_id, category, mrr, count(*) as incident_count, first(event_body order by event_timestamp, event_id) as event_summary,
+    window_start, window_start + any_value(width) as window_end
+  from banded where event_type = 'error' group by window_start, account_id, category, mrr having count(*) >= 3
+)
+"""
+oracle("friction_loops_by_band", _BANDED + "select * from band_loops")
+oracle(
+    "friction_loops_by_band_stream",
+    _BANDED
+    + """
+select * from band_loops where window_end <= (
+  select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000 and event_type = 'error')
+""",
+)

@@ -755,3 +755,23 @@ def friction_loops_late_corrected(spark, sf_dir):
 def silent_churners_late_corrected(spark, sf_dir):
     """Late logins add alerts and late feature uses take them back."""
     return _corrected(spark, sf_dir, CHURN)
+
+
+# Windows by revenue band
+
+
+@query
+def friction_loops_by_band(spark, sf_dir):
+    return detect.friction_loops_by_band(data.account_events(spark, sf_dir), data.BANDS, CFG)
+
+
+@query
+def friction_loops_by_band_stream(spark, sf_dir):
+    """The same in append mode: one state for all bands, closed windows only."""
+    root = shared_folder(spark, "stream")
+    events = streaming.watermarked(data.account_events_stream(spark, sf_dir), CFG, LOOPS)
+    sink = lane_store.parquet_sink(f"{root}/lanes", lane_store.new_run_id())
+    loops = detect.friction_loops_by_band(events, data.BANDS, CFG).writeStream.outputMode("append")
+    started = loops.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(sink(LOOPS)).start()
+    streaming.await_lanes({LOOPS.name: started})
+    return _plain_times(lane_store.read_lane(spark, f"{root}/lanes", LOOPS))

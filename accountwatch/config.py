@@ -28,6 +28,15 @@ class RiskConfig:
         return replace(self, window_slide=None)
 
 
+@dataclass(frozen=True)
+class Band:
+    """Windows of the accounts from ``min_mrr`` up to the next band."""
+
+    min_mrr: float
+    width: str
+    slide: str | None = None
+
+
 DEFAULT = RiskConfig()
 
 # The early prototype's looser screen: any event type, a tenth of the revenue.

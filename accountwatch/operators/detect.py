@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountwatch.config import DEFAULT, RiskConfig
+from accountwatch.config import DEFAULT, Band, RiskConfig
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -117,6 +120,32 @@ def friction_loops(events: DataFrame, cfg: RiskConfig = DEFAULT, summary: str =
     return _with_texts(loops, tickets.select(*_LOOP, "event_timestamp", "event_id", "event_body"), summary)
 
 
+def windowed_by_band(events: DataFrame, bands: Sequence[Band]) -> DataFrame:
+    """Events with the windows of their account's revenue band, as ``window``; none for accounts below all bands.
+
+    Bands share no event, so each is a filter that reaches the scan, and what follows is one
+    aggregation over all of them, on a stream with one state.
+    """
+    bands = sorted(bands, key=lambda band: band.min_mrr)
+    parts = []
+    for band, above in zip(bands, [*bands[1:], None], strict=True):
+        own = F.col("mrr") >= band.min_mrr
+        own = own if above is None else own & (F.col("mrr") < above.min_mrr)
+        window = F.window("event_timestamp", band.width, band.slide) if band.slide else F.window("event_timestamp", band.width)
+        parts.append(events.filter(own).select("*", window.alias("window")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def friction_loops_by_band(events: DataFrame, bands: Sequence[Band], cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """``friction_loops`` where each revenue band has a window width of its own."""
+    first = F.struct("event_timestamp", "event_id")
+    counts = windowed_by_band(_tickets_of_value(events, cfg), bands).groupBy("window", *_LOOP).agg(
+        F.count("*").alias("incident_count"), F.min_by("event_body", first).alias("event_summary")
+    )
+    loops = _with_bounds(counts, *_LOOP, "incident_count", "event_summary")
+    return enough_incidents(loops, cfg)
+
+
 def usage_counts(events: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Logins and feature uses per window, account and revenue."""
     events = events.filter(F.col("mrr") >= cfg.min_mrr)

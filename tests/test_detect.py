@@ -5,7 +5,7 @@ from helpers import T0, events, logins_at, raw, tickets_at
 from pyspark.sql import functions as F
 
 from accountwatch import RiskConfig
-from accountwatch.config import DEFAULT, LOW_CSAT
+from accountwatch.config import DEFAULT, LOW_CSAT, Band
 from accountwatch.operators import detect
 
 MINUTE = timedelta(minutes=1)
@@ -155,3 +155,16 @@ def test_summary_of_ties_and_missing_values(spark):
         carried = detect.enough_incidents(detect.ticket_counts(frame, DEFAULT, summary), DEFAULT)
         assert sorted(map(repr, fetched.collect())) == sorted(map(repr, carried.select(*fetched.columns).collect()))
         assert {r.event_summary for r in fetched.collect()} == {body} and fetched.count() == 2
+
+
+def test_windows_by_band(spark):
+    """Each band by itself and all together give the same loops; a revenue on a bound is in the upper band."""
+    rows = [row for mrr in (10000.0, 14999.0, 15000.0, 30000.0, 9000.0) for row in tickets_at(0, 50, 70, 110, 170, mrr=mrr)]
+    frame = events(spark, rows)
+    bands = (Band(15000.0, "1 minute", "30 seconds"), Band(10000.0, "3 minutes"))
+    got = detect.friction_loops_by_band(frame, bands).collect()
+    alone = [
+        detect.friction_loops(frame.filter("mrr >= 15000"), RiskConfig(window_width="1 minute", window_slide="30 seconds")),
+        detect.friction_loops(frame.filter("mrr < 15000"), RiskConfig(window_width="3 minutes", window_slide=None)),
+    ]
+    assert sorted(map(repr, got)) == sorted(map(repr, alone[0].union(alone[1]).collect())) and len({r.mrr for r in got}) >= 2
