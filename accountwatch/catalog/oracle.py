@@ -683,3 +683,7 @@ select * from band_loops where window_end <= (
   select max(event_timestamp) - interval 1 minute from account_events where mrr >= 5000 and event_type = 'error')
 """,
 )
+
+ORACLE["lane_state_by_key"] = ORACLE["lane_state_by_time"]
+
+ORACLE["overview_refreshed"] = ORACLE["overview"]

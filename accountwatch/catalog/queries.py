@@ -18,7 +18,7 @@ from accountwatch.operators import briefs, detect, figures, keep, state
 from accountwatch.operators.nearest import nearest_policy
 from accountwatch.plans.drafting import draft_lane, draft_tickets, offer_briefs, ticket_briefs
 from accountwatch.plans.drafting import screened_drafts as screen_and_draft
-from accountwatch.plans.overview import stored_overview
+from accountwatch.plans.overview import current_overview, refresh_overview, start_overview, stored_overview
 from accountwatch.session import shared_folder
 from accountwatch.sources import events as event_source
 from accountwatch.sources import lanes as lane_store
@@ -206,6 +206,23 @@ def lane_state_by_time(spark, sf_dir):
     return _plain_times(state.lane_state(rows, drafts, approvals, LOOPS))
 
 
+def _by_key(spark: SparkSession, rows: DataFrame, log: DataFrame, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+    root = shared_folder(spark, "by-key")
+    name = root.rsplit("-", 1)[-1]
+    return (
+        tables.store_by_key(rows, LOOPS, f"loops_{name}", f"{root}/loops", buckets),
+        tables.store_by_key(log, LOOPS, f"loops_log_{name}", f"{root}/log", buckets),
+    )
+
+
+@query
+def lane_state_by_key(spark, sf_dir):
+    """The lane and its log stored in matching buckets and joined as they lie."""
+    rows = detect.friction_loops(data.account_events(spark, sf_dir), CFG)
+    log = state.change_log(*data.timed_loop_changes(spark, sf_dir), LOOPS)
+    return _plain_times(state.state_from_log(*_by_key(spark, rows, log), LOOPS))
+
+
 @query
 def alert_status(spark, sf_dir):
     return data.tickets(spark, sf_dir).select("event_id", state.alert_status().alias("status"))
@@ -482,6 +499,31 @@ def overview(spark, sf_dir):
     return _rounded_sums(stored_overview(*lanes, f"{shared_folder(spark, 'overview')}/accounts"), "number")
 
 
+@query
+def overview_refreshed(spark, sf_dir):
+    """Alerts of three batches, and drafts and approvals that come in two turns, each followed by a refresh of what it touches."""
+    path = f"{shared_folder(spark, 'overview')}/accounts"
+    lanes = {lane: data.state(spark, sf_dir, lane) for lane in LANES}
+    account = F.col("account_id").cast("long")
+
+    def at(batches: int, turns: int) -> list[DataFrame]:
+        """The lanes after some batches of alerts and turns of changes; an alert of a later turn is undrafted and not approved."""
+        told = account % 2 < turns
+        rows = {TICKETS: F.col("event_id") % 3 < batches, LOOPS: account % 3 < batches, CHURN: account % 3 < batches}
+        return [
+            lanes[lane].where(rows[lane]).withColumns({"ai_draft": F.when(told, F.col("ai_draft")), "is_approved": told & F.col("is_approved")})
+            for lane in LANES
+        ]
+
+    start_overview(*at(1, 0), path, buckets=8)
+    for batches, turns, touched in ((2, 0, None), (2, 1, account % 2 == 0), (3, 1, None), (3, 2, account % 2 == 1)):
+        state_now = at(batches, turns)
+        new = [rows.where(F.col("event_id") % 3 == batches - 1 if lane is TICKETS else account % 3 == batches - 1) for lane, rows in zip(LANES, state_now, strict=True)]
+        parts = [rows.select("account_id") for rows in (new if touched is None else [r.where(touched) for r in state_now])]
+        refresh_overview(*state_now, parts[0].union(parts[1]).union(parts[2]), path, buckets=8)
+    return _rounded_sums(current_overview(spark, path), "number")
+
+
 @query
 def status_kpis(spark, sf_dir):
     return _rounded_sums(figures.status_kpis(data.status_alerts(spark, sf_dir)), "revenue_pending")

@@ -61,28 +61,35 @@ def apply_approvals(rows: DataFrame, approvals: DataFrame, lane: Lane) -> DataFr
     )
 
 
+def change_log(drafts: DataFrame, approvals: DataFrame, lane: Lane) -> DataFrame:
+    """Drafts and approvals of a lane as one log: change key, ``text``, ``at`` and whether it is a reviewer's ``edit``."""
+    log = _storable(drafts, lane).select(
+        *lane.change_key, F.col("draft").alias("text"), F.col("drafted_at").alias("at"), F.lit(False).alias("edit")
+    )
+    edits = approvals.select(
+        *lane.change_key, F.col("final_draft").alias("text"), F.col("approved_at").alias("at"), F.lit(True).alias("edit")
+    )
+    return log.unionByName(edits)
+
+
 def lane_state(rows: DataFrame, drafts: DataFrame, approvals: DataFrame, lane: Lane) -> DataFrame:
     """The view every queue and figure reads: the last text wins, be it a draft or a reviewer's edit.
 
     Drafts and approvals are one log, reduced to one row per key before the one join.
     At the same time an edit outranks a draft; an approval without a text only approves.
     """
+    return state_from_log(rows, change_log(drafts, approvals, lane), lane)
+
+
+def state_from_log(rows: DataFrame, log: DataFrame, lane: Lane) -> DataFrame:
+    """``lane_state`` from a stored log. Where rows and log are stored by the change key, nothing is shuffled."""
     rows = with_state_columns(rows)
-    log = _storable(drafts, lane).select(
-        *lane.change_key, F.col("draft").alias("__text"), F.col("drafted_at").alias("__at"), F.lit(False).alias("__edit")
-    )
-    edits = approvals.select(
-        *lane.change_key, F.col("final_draft").alias("__text"), F.col("approved_at").alias("__at"), F.lit(True).alias("__edit")
-    )
+    log = log.withColumnsRenamed({"text": "__text", "at": "__at", "edit": "__edit"})
     turn = F.struct("__at", "__edit", "__text")
-    changes = (
-        log.unionByName(edits)
-        .groupBy(*lane.change_key)
-        .agg(
-            F.max_by("__text", F.when(F.col("__text").isNotNull(), turn)).alias("__text"),
-            F.max(F.when(~F.col("__edit"), F.col("__at"))).alias("__drafted_at"),
-            F.bool_or("__edit").alias("__approved"),
-        )
+    changes = log.groupBy(*lane.change_key).agg(
+        F.max_by("__text", F.when(F.col("__text").isNotNull(), turn)).alias("__text"),
+        F.max(F.when(~F.col("__edit"), F.col("__at"))).alias("__drafted_at"),
+        F.bool_or("__edit").alias("__approved"),
     )
     return (
         rows.join(changes, list(lane.change_key), "left")

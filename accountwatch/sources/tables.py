@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from accountwatch.lanes import Lane
 from accountwatch.schemas import KNOWLEDGE_BASE, TICKET_LIBRARY
 
 
@@ -24,3 +25,15 @@ def read_knowledge_base(spark: SparkSession, path: str) -> DataFrame:
 def export_actioned(rows: DataFrame, path: str) -> None:
     """CSV with a header in every part file; parts are as many as the rows need."""
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def store_by_key(rows: DataFrame, lane: Lane, table: str, path: str, buckets: int = 64) -> DataFrame:
+    """A lane or its change log as a table in buckets of the change key, sorted within; the stored table.
+
+    Tables with the same number of buckets meet without a shuffle. Each task
+    writes the one file of a bucket. Choose the number so that a bucket fits a task.
+    """
+    keys = list(lane.change_key)
+    writer = rows.repartition(buckets, *keys).write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return rows.sparkSession.table(table)

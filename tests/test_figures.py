@@ -1,9 +1,15 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from test_state import CHURN_ROW, LOOP, TICKET
 
+from accountwatch import lanes as all_lanes
+from accountwatch.catalog import canonical as data
 from accountwatch.operators import figures
+from accountwatch.plans.overview import current_overview, refresh_overview, start_overview, stored_overview
+
+SF_DIR = "/root/testdata/sf0.001"
 
 T0 = datetime(2024, 1, 1)
 
@@ -114,3 +120,18 @@ def test_mean_time_to_draft(spark):
     df = spark.createDataFrame(rows, "event_timestamp timestamp, drafted_at timestamp")
     assert figures.mean_time_to_draft(df).first()[0] == 1.0
     assert figures.mean_time_to_draft(df.filter("drafted_at is null")).first()[0] == 0.0
+
+
+def test_a_refresh_takes_an_account_out_and_leaves_other_buckets_alone(spark, tmp_path):
+    """An account whose only alert is taken back no longer counts; files of untouched buckets stay."""
+    path = str(tmp_path / "accounts")
+    lanes = [data.state(spark, SF_DIR, lane) for lane in all_lanes.LANES]
+    start_overview(*lanes, path, buckets=8)
+    assert rows(current_overview(spark, path)) == rows(stored_overview(*lanes, str(tmp_path / "whole")))
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "accounts").glob("bucket=*/*.parquet")}
+    gone = lanes[2].select("account_id").limit(1).first()[0]
+    left = [lane.where(F.col("account_id") != gone) for lane in lanes]
+    refresh_overview(*left, spark.createDataFrame([(gone,)], "account_id string"), path, buckets=8)
+    assert rows(current_overview(spark, path)) == rows(stored_overview(*left, str(tmp_path / "again")))
+    same = [p for p, at in before.items() if p.exists() and p.stat().st_mtime_ns == at]
+    assert len({p.parent for p in same}) == len({p.parent for p in before}) - 1
