@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -76,11 +77,17 @@ CLOSED_BY = {
     "th": ({"td", "th"}, {"tr"}),
 }
 
+# A quoted value ends where its quote is followed by what may follow one; any other quote is a character like others,
+# so that one which nothing closes swallows its own tag at most. A tag that the next one cuts short is a tag, too.
+# Every character is looked at a bounded number of times.
+_ATTRIBUTES = r"(?:\"[^\"]*\"(?=[\s/>])|'[^']*'(?=[\s/>])|[^'\"<>]++|['\"])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:script|style|textarea|xmp)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?:script|style|textarea|xmp)\s*>|\Z)"
-    r"|<[!?][^>]*>|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:\-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
+    rf"<!--.*?(?:-->|\Z)|<(?:script|style|textarea|xmp)\b{_ATTRIBUTES}>.*?(?:</(?:script|style|textarea|xmp)\s*>|\Z)"
+    rf"|<[!?][^<>]*+(?:>|(?=<)|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:\-]*+)(?P<attributes>{_ATTRIBUTES})(?:>|(?=<)|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+#: Elements within each other that a path tells apart, as many as pages have; deeper ones add nothing to it.
+DEEPEST = 256
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+")
 
@@ -129,7 +136,9 @@ def blocks(page: str) -> list[Block]:
     """The text slots of a page in order, each with the path of block-level tags around it."""
     out: list[Block] = []
     names: list[str] = []
-    labels: list[str] = []
+    paths: list[str] = [""]  # of the open elements; equal ones are one string
+    known: dict[str, str] = {}
+    deeper: Counter[str] = Counter()
     buffer: list[str] = []
     links = link_chars = 0
 
@@ -138,11 +147,12 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(entities.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
-            out.append(Block("/".join(labels), text, link_chars))
+            out.append(Block(paths[-1], text, link_chars))
         link_chars = 0
 
     def leave(depth: int) -> None:
-        del names[depth:], labels[depth:]
+        del names[depth:], paths[depth + 1 :]
+        deeper.clear()
 
     def add(text: str) -> None:
         nonlocal link_chars
@@ -169,7 +179,9 @@ def blocks(page: str) -> list[Block]:
         flush()
         links = 0
         if token["close"]:
-            if name in names:
+            if deeper[name]:
+                deeper[name] -= 1
+            elif name in names:
                 leave(len(names) - 1 - names[::-1].index(name))
         elif name not in VOID and not token["attributes"].endswith("/"):
             if names and names[-1] == "p":
@@ -181,8 +193,13 @@ def blocks(page: str) -> list[Block]:
                 if names[depth] in closes:
                     leave(depth)
                     break
+            if len(names) == DEEPEST:
+                deeper[name] += 1
+                continue
             names.append(name)
-            labels.append(_label(name, token["attributes"]))
+            label = _label(name, token["attributes"])
+            path = f"{paths[-1]}/{label}" if paths[-1] else label
+            paths.append(known.setdefault(path, path))
     add(page[at:])
     flush()
     return out

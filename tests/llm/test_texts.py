@@ -328,3 +328,35 @@ def test_pipeline_stages(spark):
         assert stage(spark, docs.where("false"), SF).count() == 0
     whole = corpus_pipeline.run(spark, SF)
     assert whole.agg(F.sum("length")).first()[0] == whole.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+
+
+def test_broken_tags_are_tags():
+    def read(page):
+        return [b.text for b in html.blocks(page)]
+
+    assert read('<p class="x>two</p><p id="y">three</p>') == ["two", "three"]
+    assert read("<p class='x>two</p><p>it's</p>") == ["two", "it's"]
+    assert read('<p title="a <b>c</b> d">e</p>') == ["e"] and read('<p title="1 > 0" class=x>f<p>g') == ["f", "g"]
+    assert read("<div<p>x</p>") == ["x"] and read("a <p") == ["a"] and read('<p "') == [] and read("1 < 2 <3") == ["1 < 2 <3"]
+    assert read("<!doctype html><!-- a > b --><p>x<!") == ["x"] and read('<script src="a.js">var a = "<p>";</script><p>x') == ["x"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>x", "<p \"", "<p '", "<!", "<script ", "<li>x", "</div>", "<a \"'", "<b>&", "<td>", "<div a=\"b\"c"])
+def test_pages_are_read_in_linear_time(piece):
+    import time
+
+    def seconds(n):
+        begin = time.process_time()
+        found = html.blocks(piece * n)
+        assert sum(len(path) for path in {id(b.path): b.path for b in found}.values()) < 20_000_000
+        return time.process_time() - begin
+
+    seconds(1000)
+    # Eight times the page; sixty-four times the time if it were quadratic.
+    assert seconds(80_000) < 24 * max(seconds(10_000), 0.02)
+
+
+def test_deep_elements_close_where_they_open():
+    page = "<main>" + "<div>" * 400 + "<p>deep</p>" + "</div>" * 400 + "<p>after</p></main><p>out</p>"
+    deep, after, out = html.blocks(page)
+    assert after.path.count("/") == 1 and after.path.startswith("+main") and out.path == "p" and deep.path.count("/") <= html.DEEPEST
