@@ -114,13 +114,25 @@ def merge_ranks(path: str) -> dict[bytes, int]:
     return {bytes(map(alphabet.__getitem__, token)): rank for token, rank in vocabulary.items()}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The file's added tokens, which are cut out of a text before it is encoded."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(token.get(flag) for token in added for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError(f"{path}: an added token takes more than its own characters")
+    return {token["content"]: token["id"] for token in added}
+
+
 @lru_cache(maxsize=2)
 def worker_encoder(path: str, pattern: str) -> Callable[[str], bytes]:
-    """Encodes a whole text by the file's vocabulary and merges, without special tokens."""
+    """Encodes a whole text as the file's own tokenizer does, with no token that the text does not hold."""
     import tiktoken
 
-    encode = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=merge_ranks(path), special_tokens={}).encode_ordinary
-    return lambda text: np.array(encode(text), dtype="<u4").tobytes()
+    added, ranks = added_tokens(path), merge_ranks(path)
+    special = {token: rank for token, rank in added.items() if token.encode() not in ranks or ranks[token.encode()] != rank}
+    ranks = {token: rank for token, rank in ranks.items() if rank not in special.values()}
+    encoding = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: np.array(encoding.encode(text, allowed_special="all"), dtype="<u4").tobytes()
 
 
 def pieces(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -83,7 +83,6 @@ def check_packing(rows, ids_of):
 
 def test_op4_whole_table(spark):
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     ids_of = {r.doc_id: np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4") for r in docs}
     tokens, sequences = check_packing(QUERIES["op4_packing"](spark, SF).collect(), ids_of)
@@ -92,9 +91,8 @@ def test_op4_whole_table(spark):
 
 def test_packing_encodes_as_the_file_says(hard_texts):
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     encode = packing.worker_encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
-    for text in [t or "" for t in hard_texts] + drawn_texts(5, 2000) + ["<|endoftext|>", "a" * 50_000, " \n" * 50_000, "é日" * 5000]:
+    for text in [t or "" for t in hard_texts] + drawn_texts(5, 2000) + ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>x", " x<|endoftext|>", "<|endoftext|", "<|ENDOFTEXT|>", "a" * 50_000, " \n" * 50_000, "é日" * 5000]:
         assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
