@@ -9,7 +9,8 @@ with another group costs a hash too many and never changes a result.
 Defined results: a null text is empty, and empty texts equal each other. Among equal
 texts the row with the most code points stays, then the smallest id (null last), then
 the first row; of rows repeated in every column exactly one stays. An empty table
-gives an empty result. Other columns are carried along or left out, never read.
+gives an empty result. Other columns are carried along or left out, never read. A result's name that
+an id or carried column has already gets underscores.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ PREFIX = 64
 FILTER_BITS = 1 << 23
 #: What Spark's bitmap functions hold in one value.
 PART_BITS = 1 << 15
+#: Bits of a row's number below that of the task which read it.
+ROW_BITS = 33
+#: So many numbers of rows are sent to all tasks, a few MB.
+SHIPPED_ROWS = 500_000
 
 
 def normalised(text: str | Column) -> Column:
@@ -67,57 +72,60 @@ def mark_survivors(docs: DataFrame, bare: str, flag: str, prefix: int = PREFIX)
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One narrow row per row of ``docs``: id, ``carry``, ``keep_id``, ``group_size``, ``kept``.
 
-    The texts themselves are not shuffled; a group's rows meet only in a combined
-    count and winner, and take these back in a join that Spark may split.
+    The texts themselves are not shuffled. A group is counted by the task that read its
+    rows, then over tasks, and its rows take count and winner back by group and task: a
+    text that a third of all rows share lies in as many places as tasks have read it.
     """
     plain = [id_col, *carry]
+    chars, row, bare, maybe, full, task, best, size = (
+        unused(docs, n) for n in ("chars", "row", "bare", "maybe_equal", "full_hash", "task", "best", "size")
+    )
     rows = docs.select(
         *plain,
-        F.length(whole(text)).alias("_chars"),
-        F.monotonically_increasing_id().alias("_row"),
-        normalised(text).alias("_bare"),
-    )
-    rows = mark_survivors(rows, "_bare", "_maybe")
-    rows = rows.select(*plain, "_chars", "_row", F.when(F.col("_maybe"), full_hash(F.col("_bare"))).alias("_hash")).checkpoint()
-    order = F.struct((-F.col("_chars")).alias("c"), F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("_row").alias("r"))
-    groups = (
-        rows.where("_hash is not null")
-        .groupBy("_hash")
-        .agg(F.min(order).alias("_best"), F.count("*").alias("_size"))
-        .where("_size > 1")
+        F.length(whole(text)).alias(chars),
+        F.monotonically_increasing_id().alias(row),
+        normalised(text).alias(bare),
     )
-    best = F.col("_best")
+    rows = mark_survivors(rows, bare, maybe)
+    hashed = F.when(F.col(maybe), full_hash(F.col(bare))).alias(full)
+    rows = rows.select(*plain, chars, row, F.shiftright(row, ROW_BITS).alias(task), hashed).checkpoint()
+    order = F.struct((-F.col(chars)).alias("c"), F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col(row).alias("r"))
     # Rows without a full hash are alone; in the join their nulls would meet in one task.
-    alone = rows.where("_hash is null").select(*plain, F.col(id_col).alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"))
-    return alone.union(
-        rows.where("_hash is not null")
-        .join(groups, "_hash", "left")
-        .select(
+    alone, survivors = rows.where(F.col(full).isNull()), rows.where(F.col(full).isNotNull())
+    parts = survivors.groupBy(full, task).agg(F.min(order).alias(best), F.count("*").alias(size))
+    groups = parts.groupBy(full).agg(F.min(best).alias(best), F.sum(size).alias(size)).where(F.col(size) > 1)
+    found = parts.select(full, task).join(groups, full)
+    winner = F.col(best)
+    keep_id, group_size, kept = (unused(docs.select(*plain), n) for n in ("keep_id", "group_size", "kept"))
+    return alone.select(
+        *plain, F.col(id_col).alias(keep_id), F.lit(1).cast("bigint").alias(group_size), F.lit(True).alias(kept)
+    ).union(
+        survivors.join(found, [full, task], "left").select(
             *plain,
-            F.when(best.isNull(), F.col(id_col)).otherwise(best["i"]).alias("keep_id"),
-            F.coalesce("_size", F.lit(1)).alias("group_size"),
-            F.coalesce(best["r"] == F.col("_row"), F.lit(True)).alias("kept"),
+            F.when(winner.isNull(), F.col(id_col)).otherwise(winner["i"]).alias(keep_id),
+            F.coalesce(size, F.lit(1)).alias(group_size),
+            F.coalesce(winner["r"] == F.col(row), F.lit(True)).alias(kept),
         )
     )
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_exact_copies(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", shipped_rows: int = SHIPPED_ROWS
+) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns and nothing else.
 
-    Rows that cannot have a copy pass without a shuffle. Of the others at most one row
-    per text leaves a map task, so a group of any size stays cheap.
+    Winners are found on narrow rows. Up to ``shipped_rows`` numbers of rows that go are
+    sent to the tasks, which read the texts once more and shuffle none. Beyond that, rows
+    that may have a copy meet these numbers in a join, spread evenly by row; the others
+    pass without a shuffle. ``docs`` is read twice and must give the same rows in the
+    same order, as a stored table does.
     """
-    bare, flag, full, rank = (unused(docs, n) for n in ("bare", "maybe_equal", "full_hash", "copy_rank"))
-    marked = mark_survivors(docs.withColumn(bare, normalised(text)), bare, flag)
-    best = Window.partitionBy(full).orderBy(F.length(whole(text)).desc(), F.col(id_col).asc_nulls_last())
-    return (
-        marked.where(~F.col(flag))
-        .select(*docs.columns)
-        .union(
-            marked.where(F.col(flag))
-            .withColumn(full, full_hash(F.col(bare)))
-            .withColumn(rank, F.row_number().over(best))
-            .where(F.col(rank) == 1)
-            .select(*docs.columns)
-        )
-    )
+    row, bare, flag = (unused(docs, n) for n in ("row_number", "bare", "maybe_equal"))
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = exact_groups(numbered, id_col, text, carry=(row,))
+    lost = groups.where(~F.col(groups.columns[-1])).select(row).checkpoint()
+    if lost.count() <= shipped_rows:
+        return numbered.join(F.broadcast(lost), row, "left_anti").select(*docs.columns)
+    marked = mark_survivors(numbered.withColumn(bare, normalised(text)), bare, flag)
+    shared = marked.where(flag).join(lost, row, "left_anti")
+    return marked.where(~F.col(flag)).select(*docs.columns).union(shared.select(*docs.columns))

@@ -35,10 +35,34 @@ def test_exact_groups_of_hard_rows(spark, hard_docs):
     assert exact.drop_exact_copies(hard_docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("shipped", [exact.SHIPPED_ROWS, 0])
+def test_exact_copies_of_a_hot_text(spark, tmp_path, shipped):
+    """A third of all rows share a text, in blanks and places that differ; ties go to the first row."""
+    rows = [(i % 40 if i % 3 else None, "hot  text" if i % 2 else "hot text ", i) if i % 3 else (i, f"text {i % 50}", i) for i in range(600)]
+    spark.createDataFrame(rows, "_hash bigint, text string, kept int").repartition(7).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    best = {}
+    for at, r in enumerate(docs.collect()):
+        key = (-len(r.text), r._hash is None, r._hash or 0, at)
+        if bare(r.text) not in best or key < best[bare(r.text)][0]:
+            best[bare(r.text)] = key, r
+    kept = exact.drop_exact_copies(docs, "_hash", shipped_rows=shipped)
+    assert sorted(r.kept for r in kept.collect()) == sorted(r.kept for _, r in best.values())
+    groups = exact.exact_groups(docs, "_hash", carry=("kept",))
+    assert groups.columns == ["_hash", "kept", "keep_id", "group_size", "kept_"]
+    assert groups.where("kept_").count() == len(best) and groups.agg({"group_size": "max"}).first()[0] == 400
+
+
+def test_no_text_is_shuffled_to_drop_few_copies(spark, hard_docs):
+    plan = exact.drop_exact_copies(hard_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_a_shared_bit_changes_nothing(spark, hard_docs, monkeypatch):
     monkeypatch.setattr(exact, "FILTER_BITS", 1 << 15)
     monkeypatch.setattr(exact, "_slot", lambda length, prefix: length * 0 + 7)
-    assert exact.drop_exact_copies(hard_docs).count() == len({bare(r.text) for r in hard_docs.collect()})
+    for shipped in (exact.SHIPPED_ROWS, 0):
+        assert exact.drop_exact_copies(hard_docs, shipped_rows=shipped).count() == len({bare(r.text) for r in hard_docs.collect()})
 
 
 def plain_fingerprint(text, shingle=3):
