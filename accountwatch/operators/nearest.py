@@ -2,8 +2,8 @@
 
 Distances are matrix products over Arrow batches: one row of numbers per
 complaint, never one row per pair. A knowledge base whose vectors fit the size
-bound is shipped to the tasks; a larger one is cut into blocks that meet slices
-of the complaints in co-grouped tasks of bounded size.
+bound is shipped to the tasks; a larger one is searched cell by cell
+(``operators/cells.py``).
 """
 
 from __future__ import annotations
@@ -14,76 +14,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from accountwatch.functions.matrix import search_kernel
 from accountwatch.functions.tiers import policy_or_default
+from accountwatch.operators.cells import MATCH, search_cells
 from accountwatch.operators.keep import keep_first
-from accountwatch.session import shared_folder
 
 SHIPPED_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
 
-_MATCH = T.StructType(
-    [
-        T.StructField("sop_id", T.LongType()),
-        T.StructField("distance", T.DoubleType()),
-        T.StructField("rank", T.IntegerType()),
-    ]
-)
-
-
-def _kernel(k: int) -> Callable:
-    """Build the per-batch function. Nested, so that it travels to the tasks by value."""
-
-    def matrix(vectors, dim):
-        """Vectors of the right length as a matrix, with the row numbers they came from."""
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        if isinstance(vectors, pa.ChunkedArray):
-            vectors = vectors.combine_chunks()
-        fits = pc.fill_null(pc.equal(pc.list_value_length(vectors), dim), False)
-        rows = np.flatnonzero(fits.to_numpy(zero_copy_only=False))
-        flat = vectors.filter(fits).flatten().to_numpy(zero_copy_only=False)
-        values = flat.astype("float64").reshape(len(rows), dim)
-        norms = np.sqrt((values * values).sum(axis=1))
-        usable = np.isfinite(norms) & (norms > 0)
-        return rows[usable], values[usable] / norms[usable, None]
-
-    def nearest(queries, ids, policies):
-        """Row numbers, policy ids, distances and ranks of the k best, ids breaking ties."""
-        import numpy as np
-
-        out = ([], [], [], [])
-        rows, values = queries
-        k_here = min(k, len(ids))
-        step = max(1, (4 << 20) // max(1, len(ids)))
-        for start in range(0, len(rows) if k_here else 0, step):
-            # Rounded, so that equal vectors tie whatever the order of additions.
-            distance = np.round(1.0 - values[start : start + step] @ policies.T, 12)
-            if k_here == 1:
-                best = distance.argmin(axis=1)[:, None]
-            else:
-                best = np.argsort(distance, axis=1, kind="stable")[:, :k_here]
-            n = len(best)
-            out[0].append(np.repeat(rows[start : start + step], k_here))
-            out[1].append(ids[best].ravel())
-            out[2].append(np.take_along_axis(distance, best, axis=1).ravel())
-            out[3].append(np.tile(np.arange(1, k_here + 1, dtype="int32"), n))
-        empty = (np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0), np.empty(0, "int32"))
-        return tuple(np.concatenate(part) if part else none for part, none in zip(out, empty))
-
-    return matrix, nearest
-
 
 def _shipped(complaints: DataFrame, kb: DataFrame, vector: str, dim: int, k: int) -> DataFrame:
-    matrix, nearest = _kernel(k)
+    matrix, nearest = search_kernel(k)
     # The caller has checked that this fits the size bound.
     table = kb.select("sop_id", "embedding").toArrow().sort_by("sop_id")
     rows, policies = matrix(table["embedding"], dim)
     shipped = complaints.sparkSession.sparkContext.broadcast((table["sop_id"].to_numpy()[rows], policies))
     kept = [f for f in complaints.schema.fields if f.name != vector]
     names = [f.name for f in kept]
-    schema = T.StructType(kept + _MATCH.fields)
+    schema = T.StructType(kept + MATCH.fields)
 
     def search(batches):
         import numpy as np
@@ -107,66 +55,32 @@ def _shipped(complaints: DataFrame, kb: DataFrame, vector: str, dim: int, k: int
     return complaints.mapInArrow(search, schema)
 
 
-def _blocked(complaints: DataFrame, kb: DataFrame, vector: str, dim: int, k: int, blocks: int, block_bytes: int) -> DataFrame:
-    """Every slice of complaints against every block of policies, k candidates from each.
-
-    Complaints are written once with a row number, which names them whatever their own
-    keys are. A task holds one slice and one block; numbers spread both evenly, and the
-    candidates merge by a bounded keep-first.
-    """
-    matrix, nearest = _kernel(k)
-    schema = T.StructType([T.StructField("__row", T.LongType())] + _MATCH.fields)
-    spark = complaints.sparkSession
-    path = shared_folder(spark, "complaints")
-    complaints.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.parquet(path)
-    slices = max(1, -(-numbered.count() * dim * 8 // block_bytes))
-
-    def spread(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = numbered.filter(F.col(vector).isNotNull()).select(
-        "__row", F.col(vector).alias("__vector"), spread("__row", slices).alias("slice"), every(blocks).alias("block")
-    )
-    right = kb.select(
-        "sop_id", "embedding", every(slices).alias("slice"), spread("sop_id", blocks).alias("block")
-    )
-
-    def search(asked, known):
-        import pyarrow as pa
-
-        known = known.sort_by("sop_id")
-        rows, policies = matrix(known["embedding"], dim)
-        ids = known["sop_id"].to_numpy()[rows]
-        hit, sop, distance, rank = nearest(matrix(asked["__vector"], dim), ids, policies)
-        return pa.table(
-            {
-                "__row": asked["__row"].combine_chunks().take(pa.array(hit)),
-                "sop_id": pa.array(sop),
-                "distance": pa.array(distance),
-                "rank": pa.array(rank),
-            }
+def _measured(kb: DataFrame) -> tuple[dict[int, tuple[int, int]], int, int]:
+    """The six most frequent vector lengths with rows and first ``sop_id``, rows and bytes of text in all: one job."""
+    figures = (
+        kb.select("sop_id", "content", F.size("embedding").alias("dim"))
+        .rollup("dim")
+        .agg(
+            F.grouping("dim").alias("whole"),
+            F.count("*").alias("n"),
+            F.min("sop_id").alias("first"),
+            F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("text_bytes"),
         )
-
-    candidates = (
-        left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(search, schema).drop("rank")
+        .orderBy(F.desc("whole"), F.col("dim").isNull(), F.desc("n"), "dim")
+        .limit(7)
+        .collect()
     )
-    best = keep_first(candidates, ["__row"], [F.asc("distance"), F.asc("sop_id")], k, rank="rank")
-    joined = numbered.drop(vector).join(best, "__row", "left").drop("__row")
-    return joined.withColumn("rank", F.coalesce("rank", F.lit(1)))
+    lengths = {r["dim"]: (r["n"], r["first"]) for r in figures if not r["whole"] and r["dim"] is not None and r["dim"] >= 0}
+    total = next((r for r in figures if r["whole"]), None)
+    return lengths, total["n"] if total else 0, total["text_bytes"] if total else 0
 
 
-def _dimension(vectors: DataFrame) -> int:
+def _dimension(lengths: dict[int, tuple[int, int]]) -> int:
     """The one length of the policies' vectors; names those that stand out."""
-    lengths = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"), F.min("sop_id").alias("first"))
-    found = lengths.orderBy(F.desc("n"), "dim").limit(6).collect()
-    if len(found) > 1:
-        told = ", ".join(f"{r['n']} of length {r['dim']} (first sop_id {r['first']})" for r in found)
+    if len(lengths) > 1:
+        told = ", ".join(f"{n} of length {dim} (first sop_id {first})" for dim, (n, first) in lengths.items())
         raise ValueError(f"policy vectors differ in length: {told}; pass dim to search one length only")
-    return max(found[0]["dim"], 1) if found else 1
+    return max(*lengths, 1) if lengths else 1
 
 
 def nearest_policy(
@@ -177,6 +91,7 @@ def nearest_policy(
     dim: int | None = None,
     shipped_bytes: int = SHIPPED_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    report: Callable[[dict], None] | None = None,
 ) -> DataFrame:
     """Add sop_id, distance, rank and policy for the ``k`` nearest policies of each complaint.
 
@@ -185,24 +100,23 @@ def nearest_policy(
     stored; of rows with one ``sop_id`` the first by content stays, one with a vector
     before others. Policies without an id or a vector are not searched. All their vectors
     have one length, or ``dim`` says which length is searched. Both forms, for a small
-    and a large knowledge base, give the same rows.
+    and a large knowledge base, give the same rows. ``report`` gets the large form's
+    numbers: blocks, complaints, blocks searched and the share skipped.
     """
     kb = keep_first(
         kb.filter(F.col("sop_id").isNotNull()), ["sop_id"], [F.col("embedding").isNull().asc(), F.asc("content"), F.asc("embedding")]
     )
-    vectors = kb.filter(F.col("embedding").isNotNull())
+    lengths, rows, text_bytes = _measured(kb)
     if dim is None:
-        dim = _dimension(vectors)
-    vectors = vectors.filter(F.size("embedding") == dim)
-    size = kb.agg(
-        F.count(F.when(F.size("embedding") == dim, F.lit(1))).alias("n"), F.sum(F.octet_length("content")).alias("text_bytes")
-    ).first()
-    kb_bytes = size["n"] * dim * 8
+        dim = _dimension(lengths)
+    vectors = kb.filter(F.size("embedding") == dim)
+    # A length beyond the six most frequent ones is taken to be that of all rows.
+    kb_bytes = (lengths[dim][0] if dim in lengths else rows if len(lengths) > 5 else 0) * dim * 8
     if kb_bytes <= shipped_bytes:
         ranked = _shipped(complaints, vectors, vector, dim, k)
     else:
-        ranked = _blocked(complaints, vectors, vector, dim, k, -(-kb_bytes // block_bytes), block_bytes)
+        ranked = search_cells(complaints, vectors, vector, dim, k, block_bytes, report)
     policies = kb.select("sop_id", F.col("content").alias("policy"))
-    if kb_bytes + (size["text_bytes"] or 0) <= shipped_bytes:
+    if kb_bytes + text_bytes <= shipped_bytes:
         policies = F.broadcast(policies)
     return ranked.join(policies, "sop_id", "left").withColumn("policy", policy_or_default("policy"))

@@ -89,3 +89,43 @@ def test_doubled_policies_and_odd_keys(spark, form):
     got = nearest_policy(q, kb.union(kb), k=2, **FORMS[form]).filter("rank = 1").select("k", "sop_id").collect()
     assert sorted(((r["k"] or "", r["sop_id"] or 0) for r in got)) == [("", 1), ("", 2), ("a", 1), ("a", 2), ("b", 0)]
     assert nearest_policy(q, kb.union(kb), k=2, **FORMS[form]).count() == 9
+
+
+def clustered(rng, centres, each, dim, spread):
+    middle = rng.normal(size=(centres, dim))
+    return (np.repeat(middle, each, axis=0) + spread * rng.normal(size=(centres * each, dim))).round(4)
+
+
+@pytest.mark.parametrize("k,block_bytes", [(1, 512), (3, 1024)])
+def test_cells_that_cannot_hold_the_nearest_are_skipped(spark, k, block_bytes):
+    """Clustered vectors with doubles, ties, a zero and a hot complaint: both forms agree."""
+    rng = np.random.default_rng(3)
+    known = clustered(rng, 12, 20, 8, 0.05).tolist()
+    known += [known[0]] * 30 + [[2 * x for x in known[25]]] * 3 + [[0.0] * 8]
+    kb = base(spark, dict(enumerate(known)))
+    rows = clustered(np.random.default_rng(3), 12, 5, 8, 0.05).tolist() + [known[0]] * 60 + [[0.0] * 8, None]
+    q = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "k int, embedding array<float>").repartition(4)
+    told = []
+    got = nearest_policy(q, kb, k=k, shipped_bytes=0, block_bytes=block_bytes, report=told.append)
+    want = nearest_policy(q, kb, k=k)
+    columns = ["k", "sop_id", "distance", "rank", "policy"]
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+    assert told[0]["complaints"] == len(rows) - 2 and told[0]["blocks"] > 12
+    assert told[0]["skipped_share"] > 0.6
+    assert told[0]["searched"] < told[0]["complaints"] * told[0]["blocks"] * 0.4
+
+
+def test_vectors_without_clusters_cost_blocks_but_no_rows(spark):
+    rng = np.random.default_rng(8)
+    kb = base(spark, {i: v for i, v in enumerate(rng.normal(size=(120, 24)).tolist())})
+    q = spark.createDataFrame(list(enumerate(rng.normal(size=(40, 24)).tolist())), "k int, embedding array<float>")
+    columns = ["k", "sop_id", "rank"]
+    got = nearest_policy(q, kb, k=5, shipped_bytes=0, block_bytes=24 * 8 * 10).select(columns)
+    assert sorted(got.collect()) == sorted(nearest_policy(q, kb, k=5).select(columns).collect())
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_only_zero_vectors(spark, form):
+    kb = base(spark, {1: [0.0, 0.0], 2: [0.0, 0.0]})
+    got = nearest_policy(asked(spark, {"a": [1.0, 0.0], "b": None}), kb, **FORMS[form]).collect()
+    assert sorted((r["k"], r["sop_id"], r["rank"], r["policy"]) for r in got) == [("a", None, 1, NO_POLICY), ("b", None, 1, NO_POLICY)]
