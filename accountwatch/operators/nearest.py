@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,36 +25,43 @@ SHIPPED_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
 
 
-def _shipped(complaints: DataFrame, kb: DataFrame, vector: str, dim: int, k: int) -> DataFrame:
+def _shipped(complaints: DataFrame, table: pa.Table, vector: str, dim: int, k: int) -> DataFrame:
+    """Complaints with the k best of ``table``, which every task gets; with the policies' texts if it holds them."""
     matrix, nearest = search_kernel(k)
-    # The caller has checked that this fits the size bound.
-    table = kb.select("sop_id", "embedding").toArrow().sort_by("sop_id")
+    table = table.sort_by("sop_id")
     rows, policies = matrix(table["embedding"], dim)
-    shipped = complaints.sparkSession.sparkContext.broadcast((table["sop_id"].to_numpy()[rows], policies))
+    ids, texts = table["sop_id"].to_numpy()[rows], None
+    if "content" in table.column_names:
+        texts = pa.array(table["content"].take(pa.array(rows)).to_pylist(), pa.string())
+    shipped = complaints.sparkSession.sparkContext.broadcast((ids, policies, texts))
     kept = [f for f in complaints.schema.fields if f.name != vector]
     names = [f.name for f in kept]
-    schema = T.StructType(kept + MATCH.fields)
+    added = [*MATCH.fields, T.StructField("policy", T.StringType())] if texts is not None else MATCH.fields
+    out = [*names, *(f.name for f in added)]
 
     def search(batches):
         import numpy as np
         import pyarrow as pa
 
-        ids, policies = shipped.value
+        ids, policies, texts = shipped.value
         for batch in batches:
-            hit, sop, distance, rank = nearest(matrix(batch.column(vector), dim), ids, policies)
+            hit, place, distance, rank = nearest(matrix(batch.column(vector), dim), np.arange(len(ids)), policies)
             missed = np.setdiff1d(np.arange(batch.num_rows), hit)
             take = pa.array(np.concatenate([hit, missed]))
             gone = np.arange(len(hit) + len(missed)) >= len(hit)
             pad = np.zeros(len(missed))
+            places = pa.array(np.concatenate([place, pad.astype("int64")]), mask=gone)
             columns = [batch.column(name).take(take) for name in names]
             columns += [
-                pa.array(np.concatenate([sop, pad.astype("int64")]), mask=gone),
+                pa.array(ids).take(places),
                 pa.array(np.concatenate([distance, pad]), mask=gone),
                 pa.array(np.concatenate([rank, pad.astype("int32") + np.int32(1)])),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "sop_id", "distance", "rank"])
+            if texts is not None:
+                columns.append(texts.take(places))
+            yield pa.RecordBatch.from_arrays(columns, names=out)
 
-    return complaints.mapInArrow(search, schema)
+    return complaints.mapInArrow(search, T.StructType([*kept, *added]))
 
 
 def _measured(kb: DataFrame) -> tuple[dict[int, tuple[int, int]], int, int]:
@@ -75,6 +84,14 @@ def _measured(kb: DataFrame) -> tuple[dict[int, tuple[int, int]], int, int]:
     return lengths, total["n"] if total else 0, total["text_bytes"] if total else 0
 
 
+def _lengths(table: pa.Table) -> dict[int, tuple[int, int]]:
+    """As ``_measured`` gives them, of a table that has been fetched."""
+    sizes = table.select(["sop_id"]).append_column("dim", pc.list_value_length(table["embedding"]))
+    found = sizes.group_by("dim").aggregate([("sop_id", "count"), ("sop_id", "min")])
+    found = found.sort_by([("sop_id_count", "descending"), ("dim", "ascending")]).slice(0, 6).to_pylist()
+    return {r["dim"]: (r["sop_id_count"], r["sop_id_min"]) for r in found}
+
+
 def _dimension(lengths: dict[int, tuple[int, int]]) -> int:
     """The one length of the policies' vectors; names those that stand out."""
     if len(lengths) > 1:
@@ -103,9 +120,16 @@ def nearest_policy(
     and a large knowledge base, give the same rows. ``report`` gets the large form's
     numbers: blocks, complaints, blocks searched and the share skipped.
     """
-    kb = keep_first(
-        kb.filter(F.col("sop_id").isNotNull()), ["sop_id"], [F.col("embedding").isNull().asc(), F.asc("content"), F.asc("embedding")]
-    )
+    known = kb.filter(F.col("sop_id").isNotNull()).select("sop_id", "content", "embedding")
+    kb = keep_first(known, ["sop_id"], [F.col("embedding").isNull().asc(), F.asc("content"), F.asc("embedding")])
+    stored = known.agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("content")).alias("text_bytes"), F.sum(F.size("embedding")).alias("numbers")
+    ).first()
+    if 8 * stored["n"] + (stored["text_bytes"] or 0) + 8 * max(stored["numbers"] or 0, 0) <= shipped_bytes:
+        # Doubled rows included, the whole knowledge base fits: it is fetched once, texts and all.
+        table = kb.filter(F.col("embedding").isNotNull()).toArrow()
+        ranked = _shipped(complaints, table, vector, _dimension(_lengths(table)) if dim is None else dim, k)
+        return ranked.withColumn("policy", policy_or_default("policy"))
     lengths, rows, text_bytes = _measured(kb)
     if dim is None:
         dim = _dimension(lengths)
@@ -113,7 +137,7 @@ def nearest_policy(
     # A length beyond the six most frequent ones is taken to be that of all rows.
     kb_bytes = (lengths[dim][0] if dim in lengths else rows if len(lengths) > 5 else 0) * dim * 8
     if kb_bytes <= shipped_bytes:
-        ranked = _shipped(complaints, vectors, vector, dim, k)
+        ranked = _shipped(complaints, vectors.select("sop_id", "embedding").toArrow(), vector, dim, k)
     else:
         ranked = search_cells(complaints, vectors, vector, dim, k, block_bytes, report)
     policies = kb.select("sop_id", F.col("content").alias("policy"))
