@@ -16,6 +16,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accountwatch.llm.text import unused
+
 # Fixed values of the published generator: multiplier and the span of its draws.
 MULTIPLIER = Decimal(2862933555777941757)
 SPAN = float(1 << 31)
@@ -68,12 +70,14 @@ def assign_shards(
     overhead: int = 8,
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
-    """key, ``size``, ``text_crc32``, ``shard``, ``slot`` and the shard among ``grown``.
+    """key, ``size``, ``text_crc32``, ``shard``, ``slot`` and ``grown_shard``, the shard among ``grown``.
 
-    Slots are gapless within a shard. They come from a rank within a piece of a shard
+    A result's name that the key already has gets underscores. Slots are gapless within a shard. They come from a rank within a piece of a shard
     plus the rows of the pieces before it, so no task sorts a whole shard.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    given, key = docs.select(key), "_key"
+    docs = docs.select(F.col(given.columns[0]).alias(key), F.col(text).alias("_text"))
+    body = F.coalesce(F.col("_text"), F.lit(""))
     rows = docs.select(
         F.col(key),
         (F.octet_length(body) + overhead).cast("bigint").alias("size"),
@@ -95,8 +99,9 @@ def assign_shards(
         .select("shard", "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     within = Window.partitionBy("shard", "_piece").orderBy("_tie", key, "size", "text_crc32")
-    return (
+    placed = (
         rows.withColumn("_rank", F.row_number().over(within) - 1)
         .join(starts, ["shard", "_piece"])
         .select(key, "size", "text_crc32", "shard", (F.col("_start") + F.col("_rank")).alias("slot"), "grown_shard")
     )
+    return placed.toDF(*given.columns, *(unused(given, name) for name in placed.columns[1:]))
