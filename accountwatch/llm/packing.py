@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accountwatch.llm.chunks import slices
-from accountwatch.llm.text import whole
+from accountwatch.llm.text import unused, whole
 
 CAPACITY = 1024
 END = 0
@@ -162,8 +162,13 @@ def pieces(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
 
 def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text", batch_ids: int = BATCH_IDS) -> DataFrame:
-    """The pieces with ``sequence_id`` and their ``offset`` in the sequence, gapless from 0."""
-    cut_up = pieces(docs, path, pattern, id_col, text).withColumn("_piece", F.monotonically_increasing_id()).checkpoint()
+    """The pieces with ``sequence_id`` and their ``offset`` in the sequence, gapless from 0.
+
+    A result's name that the id already has gets underscores.
+    """
+    given, id_col = docs.select(id_col), "_id"
+    docs = docs.select(F.col(given.columns[0]).alias(id_col), F.col(text).alias("_text"))
+    cut_up = pieces(docs, path, pattern, id_col, "_text").withColumn("_piece", F.monotonically_increasing_id()).checkpoint()
     full = cut_up.where(F.col("length") == CAPACITY).select(
         id_col, "start", "length", "ids_crc32", "doc_tokens", (F.col("_piece") * 2 + 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
@@ -189,4 +194,4 @@ def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text:
 
     drawn = F.pmod(F.xxhash64("_piece"), F.lit(batches)).cast("bigint")
     packed = items.withColumn("_batch", drawn).groupBy("_batch").applyInArrow(run, full.schema)
-    return full.union(packed)
+    return full.union(packed).toDF(*given.columns, *(unused(given, name) for name in full.columns[1:]))
