@@ -37,6 +37,9 @@ MODEL_WORDS = 50_000
 #: A toxic word is so much likelier in toxic texts, and this many standard errors off zero.
 LEAST_ODDS = math.log(8.0)
 LEAST_Z = 3.0
+#: A word of the model is in so many toxic teaching texts, and in more of them than of the others. This decides the
+#: model where toxic labels are rare: words of one or two texts pass the odds by chance.
+LEAST_TEXTS = 3
 #: What the prior weighs: so much for any word, and so much in all by the words' share of both kinds.
 LEAST_PRIOR = 0.5
 PRIOR = 10.0
@@ -128,6 +131,8 @@ def learn_words(toxic: Counter[str], other: Counter[str]) -> Model:
     ranked = []
     for word, y1 in toxic.items():
         y0 = other.get(word, 0)
+        if y1 < LEAST_TEXTS or y1 <= y0:
+            continue
         prior = LEAST_PRIOR + PRIOR * (y1 + y0) / (n1 + n0)
         odds = math.log((y1 + prior) / (n1 + PRIOR - y1)) - math.log((y0 + prior) / (n0 + PRIOR - y0))
         z = odds / math.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
@@ -212,8 +217,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     )
     by_word = by_word.checkpoint()
     totals = by_word.agg(F.sum("y1"), F.sum("y0")).first()
-    # Words below the least odds for any prior cannot enter the model, so they stay where they are.
-    likely = by_word.where("y1 >= 3 and y1 > y0").select("word", "y1", "y0").toPandas()
+    # What learn_words leaves out for its few texts stays where it is.
+    likely = by_word.where((F.col("y1") >= LEAST_TEXTS) & (F.col("y1") > F.col("y0"))).select("word", "y1", "y0").toPandas()
     toxic, other = Counter(dict(zip(likely.word, likely.y1, strict=True))), Counter(dict(zip(likely.word, likely.y0, strict=True)))
     # One entry each stands for all words that stayed behind.
     toxic[""] += (totals[0] or 0) - sum(toxic.values())
