@@ -150,7 +150,7 @@ def test_a_key_is_needed(spark):
 def test_no_planted_value_survives(spark):
     """Over whole documents, in any case and next to another entity."""
     planted = r"(?i)(?:password|passwd|token|secret|api_?key)[\"']? {0,2}[=:] {0,2}[\"']?[0-9a-z_+/\-]{8,}|\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])"
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where(F.col("text").rlike(planted)).localCheckpoint()
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where(F.col("text").rlike(planted)).checkpoint()
     out = {r.doc_id: r.text for r in pii.replace_entities(docs, KEY).collect()}
     values = 0
     for r in docs.collect():
