@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountwatch.llm.chunks import ChunkEncoder, text_batches
+from accountwatch.llm.chunks import ChunkCounter, ChunkEncoder, text_batches
 from accountwatch.llm.text import whole
 
 #: Bytes of distinct words that are replayed together.
@@ -102,6 +102,9 @@ class MergeReplay:
                     self.pairs[left * self.wide + right] = rank
         self.pair_codes = np.array(sorted(self.pairs), dtype=np.int64)
         self.pair_merges = np.array([self.pairs[code] for code in self.pair_codes.tolist()], dtype=np.int64)
+        every = np.arange(256)
+        #: The merges of two bytes, by both.
+        self.byte_merges = self._lowest(self.byte_ids[every[:, None]].repeat(256, 1), self.byte_ids[every[None, :]].repeat(256, 0))
 
     def pair_rank(self, pair: int) -> int:
         """The merge of a pair of ids, -1 for none."""
@@ -119,6 +122,58 @@ class MergeReplay:
                 begin, size = i + 1, 0
         return out
 
+    def count(self, words: list[bytes]) -> list[int]:
+        """Numbers of ids. Short words of one length are merged side by side, one merge of each at a time."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        counts = lengths.copy()
+        order = np.argsort(lengths, kind="stable")
+        firsts = np.flatnonzero(np.diff(lengths[order], prepend=-1))
+        for which in np.split(order, firsts[1:]) if len(firsts) else []:
+            size = int(lengths[which[0]])
+            if size > SHORT_WORD:
+                counts[which] = [len(ids) for ids in self.encode([words[i] for i in which.tolist()])]
+            elif size > 1:
+                for begin in range(0, len(which), max(1, PART_BYTES // size)):
+                    part = which[begin : begin + max(1, PART_BYTES // size)]
+                    counts[part] -= self._merges(b"".join([words[i] for i in part.tolist()]), size)
+        return counts.tolist()
+
+    def _merges(self, joined: bytes, size: int) -> np.ndarray:
+        """How often each of the joined words, all of one size, is merged: its lowest merge, leftmost first, until it has none."""
+        letters = np.frombuffer(joined, dtype=np.uint8).reshape(-1, size)
+        ids = self.byte_ids[letters]
+        merges = self.byte_merges[letters[:, :-1], letters[:, 1:]]
+        done = np.zeros(len(ids), dtype=np.int64)
+        left = np.arange(len(ids))
+        while merges.shape[1]:
+            at = merges.argmin(axis=1)
+            lowest = merges[np.arange(len(at)), at]
+            going = np.flatnonzero(lowest < self.wide)
+            if not len(going):
+                break
+            if len(going) < len(left):
+                left, ids, merges, at, lowest = left[going], ids[going], merges[going], at[going], lowest[going]
+            done[left] += 1
+            # All that are left have equally many ids, and lose one each.
+            rows = np.arange(len(left))
+            ids[rows, at] = lowest
+            kept = np.ones(ids.shape, dtype=bool)
+            kept[rows, at + 1] = False
+            ids = ids[kept].reshape(len(rows), -1)
+            kept = np.ones(merges.shape, dtype=bool)
+            kept[rows, at] = False
+            merges = merges[kept].reshape(len(rows), -1)
+            inner = np.flatnonzero(at < merges.shape[1])
+            merges[inner, at[inner]] = self._lowest(lowest[inner], ids[inner, at[inner] + 1])
+            inner = np.flatnonzero(at > 0)
+            merges[inner, at[inner] - 1] = self._lowest(ids[inner, at[inner] - 1], lowest[inner])
+        return done
+
+    def _lowest(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The merge of each pair, ``wide`` for none, so that the lowest is one that there is."""
+        ranks = self._pair_ranks(left, right)
+        return np.where(ranks < 0, self.wide, ranks)
+
     def _merge_word(self, word: bytes) -> list[int]:
         """A short word by itself: its lowest merge, leftmost first, until it has none."""
         ids = [self.ranks[word[i : i + 1]] for i in range(len(word))]
@@ -237,6 +292,7 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks)
         self.chunks = ChunkEncoder(pattern, self._encode_words)
+        self.counter = ChunkCounter(pattern, lambda words: self.replay.count([word.encode("utf-8") for word in words]))
         self.lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)

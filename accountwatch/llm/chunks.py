@@ -1,4 +1,4 @@
-"""Encoding whole texts chunk by chunk, so that a chunk seen before costs one look-up.
+"""Encoding or counting whole texts chunk by chunk, so that a chunk seen before costs one look-up.
 
 The pattern of byte-level BPE never lets a match reach over a place where one space
 stands before a non-blank: the space begins the next match. Texts are cut there.
@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -55,7 +57,6 @@ class ChunkEncoder:
         self.encode_words = encode_words
         self.words = Generations(most)
         self.spaced = Generations(most)
-        self.counts = Generations(most)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # One piece stands for a text that may not be cut at its spaces.
@@ -64,26 +65,6 @@ class ChunkEncoder:
         known = self.spaced.holding(set().union(*(pieces[1:] for pieces in cut)), self._encode_spaced)
         return [head + b"".join(map(known.__getitem__, pieces[1:])) for head, pieces in zip(heads, cut, strict=True)]
 
-    def pieces(self, text: str) -> list[str]:
-        """The text in pieces that are encoded one by one: its chunks, or its words if it may not be cut."""
-        if _UNCUT.search(text):
-            return self.pattern.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + piece for piece in rest)] if first else [" " + piece for piece in rest]
-
-    def counted(self, texts: list[str]) -> list[tuple[list[str], list[int]]]:
-        """The pieces of each text with their numbers of tokens; all new ones are encoded together."""
-        cut = [self.pieces(text) for text in texts]
-        known = self.counts.holding(set().union(*cut), self._count_chunks)
-        return [(pieces, list(map(known.__getitem__, pieces))) for pieces in cut]
-
-    def _count_chunks(self, chunks: list[str]) -> list[int]:
-        return [len(ids) // 4 for ids in self._encode_chunks(chunks)]
-
-    def encode_words_known(self, words: list[str]) -> list[bytes]:
-        known = self.words.holding(set(words), self.encode_words)
-        return list(map(known.__getitem__, words))
-
     def _encode_spaced(self, pieces: list[str]) -> list[bytes]:
         return self._encode_chunks([" " + piece for piece in pieces])
 
@@ -93,6 +74,63 @@ class ChunkEncoder:
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
+class ChunkCounter:
+    """Texts to numbers of tokens; ``count_words`` counts the distinct new words of a batch together."""
+
+    def __init__(self, pattern: str, count_words: Callable[[list[str]], list[int]], most: int = CACHE_BYTES):
+        self.pattern = regex.compile(pattern)
+        self.count_words = count_words
+        self.words = Generations(most)
+        self.spaced = Generations(most)
+
+    def count(self, words: list[str]) -> np.ndarray:
+        """Tokens of every word."""
+        return self._numbers(self.words, words, self.count_words)
+
+    def runs(self, texts: list[str], size: int) -> list[tuple[list[int], list[int]]]:
+        """Characters and tokens of each run of ``size`` pieces of every text.
+
+        Pieces are a text's chunks, or its words if it may not be cut at its spaces.
+        """
+        uncut = [bool(_UNCUT.search(text)) for text in texts]
+        cut = [self.pattern.findall(text) if whole else text.split(" ") for text, whole in zip(texts, uncut, strict=True)]
+        # Words stand for themselves, or for the first chunk of a text, which has no space before it.
+        words = [pieces if whole else self.pattern.findall(pieces[0]) for pieces, whole in zip(cut, uncut, strict=True)]
+        spaced = [[] if whole else pieces[1:] for pieces, whole in zip(cut, uncut, strict=True)]
+        by_word = np.split(self.count([*chain(*words)]), np.cumsum([*map(len, words)]))
+        by_piece = np.split(self._numbers(self.spaced, [*chain(*spaced)], self._count_spaced), np.cumsum([*map(len, spaced)]))
+        out = []
+        for pieces, whole, own, others in zip(cut, uncut, by_word[:-1], by_piece[:-1], strict=True):
+            chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+            tokens = own
+            if not whole:
+                chars[1:] += 1
+                tokens = np.concatenate([[own.sum()], others])
+                if not pieces[0]:
+                    chars, tokens = chars[1:], tokens[1:]
+            firsts = np.arange(0, len(chars), size)
+            out.append((np.add.reduceat(chars, firsts).tolist(), np.add.reduceat(tokens, firsts).tolist()) if len(chars) else ([], []))
+        return out
+
+    def _count_spaced(self, pieces: list[str]) -> list[int]:
+        """Tokens of each piece with the space before it. All are one text, which may be cut before every piece."""
+        words = self.pattern.findall(" " + " ".join(pieces))
+        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 1
+        firsts = np.searchsorted(ends, np.cumsum(sizes) - sizes, side="right")
+        return np.add.reduceat(self.count(words), firsts).tolist()
+
+    def _numbers(self, cache: Generations, keys: list[str], make: Callable[[list[str]], list[int]]) -> np.ndarray:
+        """The cached number of every key; the missing ones are made together."""
+        numbers = np.fromiter(map(cache.young.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        places = np.flatnonzero(numbers < 0)
+        if len(places):
+            missing = [keys[i] for i in places.tolist()]
+            known = cache.holding(set(missing), lambda new: make(new) if new else [])
+            numbers[places] = [*map(known.__getitem__, missing)]
+        return numbers
+
+
 #: A space before a blank or the end, where the space does not begin a match.
 _UNCUT = re.compile(r" (?:\s|\Z)")
 

@@ -19,10 +19,10 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,25 +76,22 @@ class TokenTree:
 class CountedText:
     """A text whose token count follows its edits."""
 
-    def __init__(self, text: str, bpe: Bpe, counted: tuple[list[str], list[int]] | None = None):
+    def __init__(self, text: str, bpe: Bpe, leaves: tuple[list[int], list[int]] | None = None):
         self.text = text
         self.bpe = bpe
         self.recoded = 0
-        self.tree = self._tree(*(bpe.chunks.counted([text])[0] if counted is None else counted))
+        self.tree = TokenTree(*(bpe.counter.runs([text], LEAF)[0] if leaves is None else leaves))
 
     @property
     def n_tokens(self) -> int:
         return self.tree.tokens[1]
 
-    def _tree(self, pieces: list[str], counts: list[int]) -> TokenTree:
-        if not pieces:
-            return TokenTree([], [])
-        leaves = np.arange(0, len(pieces), LEAF)
-        chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        return TokenTree(np.add.reduceat(chars, leaves).tolist(), np.add.reduceat(np.array(counts), leaves).tolist())
-
     def edit(self, begin: int, end: int, new: str) -> None:
         """Replaces the characters from ``begin`` to ``end``."""
+        edit_together(self.bpe, [(self, begin, end, new)])
+
+    def splice(self, begin: int, end: int, new: str) -> tuple[int, int, list[str]]:
+        """Edits the text alone; the first and last leaf of the region, and its new pre-tokens."""
         old = len(self.text)
         begin = min(max(begin, 0), old)
         end = min(max(end, begin), old)
@@ -103,9 +100,15 @@ class CountedText:
         first, start = self.tree.leaf_at(max(0, begin - CONTEXT))
         last, last_start = self.tree.leaf_at(end)
         stop = last_start + self.tree.chars[self.tree.size + last]
+        # Mostly a new pre-token ends where the last leaf does. What lies within the context of the cut is left out.
+        words = self.bpe.counter.pattern.findall(text, start, stop + shift + CONTEXT)
+        ends = list(accumulate(map(len, words), initial=start))
+        at = bisect_left(ends, stop + shift)
+        if at < len(ends) and ends[at] == stop + shift > start:
+            return first, last, words[:at]
         # Pre-tokens from the region's start until one ends where an old leaf does, behind the edit.
         words, at = [], start
-        for match in self.bpe.chunks.pattern.finditer(text, start):
+        for match in self.bpe.counter.pattern.finditer(text, start):
             words.append(match.group())
             at = match.end()
             while stop + shift < at and last + 1 < self.tree.leaves:
@@ -113,7 +116,10 @@ class CountedText:
                 stop += self.tree.chars[self.tree.size + last]
             if at == stop + shift and at >= begin + len(new):
                 break
-        counts = [len(ids) // 4 for ids in self.bpe.chunks.encode_words_known(words)]
+        return first, last, words
+
+    def recount(self, first: int, last: int, words: list[str], counts: list[int]) -> None:
+        """Brings the tree up to the text, from the region that ``splice`` gave and the tokens of its pre-tokens."""
         self.recoded += sum(counts)
         self._replace(first, last, words, counts)
 
@@ -139,6 +145,16 @@ class CountedText:
             self.tree.set(first + k, sizes[b] - sizes[a], sums[b] - sums[a])
 
 
+def edit_together(bpe: Bpe, edits: list[tuple[CountedText, int, int, str]]) -> None:
+    """One edit of each of several texts: begin, end and replacement. All their new pre-tokens are counted together."""
+    regions = [(text, *text.splice(begin, end, new)) for text, begin, end, new in edits]
+    counts = bpe.counter.count([*chain(*(words for *_, words in regions))]).tolist()
+    at = 0
+    for text, first, last, words in regions:
+        text.recount(first, last, words, counts[at : at + len(words)])
+        at += len(words)
+
+
 def count_with_edits(
     docs: DataFrame, path: str, pattern: str, edits: str | Column = "edits", id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -152,19 +168,15 @@ def count_with_edits(
         bpe = worker_bpe(path, pattern)
         for batch in batches:
             for begin, texts in text_batches(batch.column(1)):
-                rows = []
-                scripts = batch.column(2).slice(begin, len(texts)).to_pylist()
-                for text, cut, script in zip(texts, bpe.chunks.counted(texts), scripts, strict=True):
-                    counted = CountedText(text, bpe, cut)
-                    before = counted.n_tokens
-                    script = [edit for edit in script or [] if edit]
-                    for edit in script:
-                        size = len(counted.text)
-                        first = size if edit["begin"] is None else edit["begin"]
-                        counted.edit(first, size if edit["end"] is None else edit["end"], edit["text"] or "")
-                    rows.append(
-                        (before, counted.n_tokens, len(script), counted.recoded, counted.tree.leaves, zlib.crc32(counted.text.encode("utf-8")))
-                    )
+                scripts = [[edit for edit in script or [] if edit] for script in batch.column(2).slice(begin, len(texts)).to_pylist()]
+                counted = [CountedText(text, bpe, leaves) for text, leaves in zip(texts, bpe.counter.runs(texts, LEAF), strict=True)]
+                before = [text.n_tokens for text in counted]
+                for k in range(max(map(len, scripts))):
+                    edit_together(bpe, [(text, *_places(text, script[k])) for text, script in zip(counted, scripts, strict=True) if k < len(script)])
+                rows = [
+                    (old, text.n_tokens, len(script), text.recoded, text.tree.leaves, zlib.crc32(text.text.encode("utf-8")))
+                    for old, text, script in zip(before, counted, scripts, strict=True)
+                ]
                 columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), *columns], names=[id_col, *names])
 
@@ -174,6 +186,12 @@ def count_with_edits(
     return docs.select(id_col, whole(text).alias("_text"), script.cast(EDITS).alias("_edits")).mapInArrow(run, schema)
 
 
+def _places(text: CountedText, edit: dict) -> tuple[int, int, str]:
+    """Begin, end and replacement of an edit of a text, null places being its end."""
+    begin, end = (len(text.text) if edit[name] is None else edit[name] for name in ("begin", "end"))
+    return begin, end, edit["text"] or ""
+
+
 def drawn_edits(id_col: str = "doc_id", text: str = "text", count: int = 4, most: int = 40) -> Column:
     """``count`` edits of a document, drawn from a hash of its id: each replaces up to ``most``
     characters by up to ``most`` that stand elsewhere in the same text."""

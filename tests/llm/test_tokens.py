@@ -12,6 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from accountwatch.llm import bpe, packing, token_counts
+from accountwatch.llm.chunks import ChunkCounter
 from accountwatch.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -131,6 +132,43 @@ def test_edits_leave_the_rest_alone(own):
     assert counted.recoded < counted.n_tokens / 100
 
 
+def test_counts_equal_the_library(hard_texts, library):
+    fresh = bpe.Bpe(bpe.read_ranks(RANKS), P.PATTERN)
+    texts = [t or "" for t in hard_texts] + drawn_texts(8, 1000)
+    for size in (1, 24):
+        for text, (chars, tokens) in zip(texts, fresh.counter.runs(texts, size), strict=True):
+            assert (sum(chars), sum(tokens)) == (len(text), len(library.encode_ordinary(text)))
+
+
+@pytest.mark.parametrize("part", [1, 100, 1 << 21])
+def test_words_merged_side_by_side_have_as_many_ids(monkeypatch, own, part):
+    monkeypatch.setattr(bpe, "PART_BYTES", part)
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 90))).encode() for letters in ("ah", "the", "aeinrst", "aé日😀") for _ in range(150)]
+    words += [b"", b"a", b"aaaa" * 16, b"aaaa" * 16 + b"a", b" internationalization"]
+    assert own.replay.count(words) == [len(ids) for word in words for ids in own.replay.encode([word])]
+    assert own.replay.count([]) == []
+
+
+@pytest.mark.parametrize("most", [0, 2000, 32_000_000])
+def test_counts_with_caches_that_forget(most, library):
+    counter = ChunkCounter(P.PATTERN, lambda words: [len(library.encode_ordinary(word)) for word in words], most)
+    for seed in range(20):
+        texts = drawn_texts(seed, 30)
+        assert [sum(tokens) for _, tokens in counter.runs(texts, 24)] == [len(library.encode_ordinary(t)) for t in texts]
+
+
+def test_edits_of_many_texts_count_their_words_together(library):
+    fresh = bpe.Bpe(bpe.read_ranks(RANKS), P.PATTERN)
+    texts = [token_counts.CountedText(text, fresh) for text in drawn_texts(10, 200)]
+    calls, count = [], fresh.counter.count_words
+    fresh.counter.count_words = lambda words: calls.append(len(words)) or count(words)
+    token_counts.edit_together(fresh, [(text, 3, 5, f" new{k}word") for k, text in enumerate(texts)])
+    assert len(calls) == 1
+    assert [text.n_tokens for text in texts] == [len(library.encode_ordinary(text.text)) for text in texts]
+    assert [sum(text.tree.tokens[text.tree.size :]) for text in texts] == [text.n_tokens for text in texts]
+
+
 def test_op7_whole_table(spark, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     scripts = {r.doc_id: r for r in docs.select("doc_id", "text", token_counts.drawn_edits().alias("e")).collect()}
